@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.llm import chat, sharding
+from noticeworks.llm import chat, quality, secrets, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_ownership": secrets.op1_secret_ownership,
         "op6_chat_format": chat.op6_chat_format,
+        "op9_risk_controlled_quality": quality.op9_risk_controlled_quality,
         "op10_jump_sharding": sharding.op10_jump_sharding,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_format": chat.OP6_SQL}
+    return {
+        "op1_secret_ownership": secrets.OP1_SQL,
+        "op6_chat_format": chat.OP6_SQL,
+    }
