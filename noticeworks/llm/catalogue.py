@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.llm import chat, lines, quality, secrets, sharding
+from noticeworks.llm import chat, lines, quality, secrets, sharding, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_ownership": secrets.op1_secret_ownership,
+        "op2_url_filter": urls.op2_url_filter,
         "op3_line_winnowing": lines.op3_line_winnowing,
         "op6_chat_format": chat.op6_chat_format,
         "op9_risk_controlled_quality": quality.op9_risk_controlled_quality,
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_secret_ownership": secrets.OP1_SQL,
+        "op2_url_filter": urls.OP2_SQL,
         "op3_line_winnowing": lines.OP3_SQL,
         "op6_chat_format": chat.OP6_SQL,
     }
