@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.llm import chat, lines, quality, secrets, sharding, urls
+from noticeworks.llm import chat, lines, quality, secrets, sharding, syncmers, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_ownership": secrets.op1_secret_ownership,
         "op2_url_filter": urls.op2_url_filter,
         "op3_line_winnowing": lines.op3_line_winnowing,
+        "op5_syncmer_fingerprints": syncmers.op5_syncmer_fingerprints,
         "op6_chat_format": chat.op6_chat_format,
         "op9_risk_controlled_quality": quality.op9_risk_controlled_quality,
         "op10_jump_sharding": sharding.op10_jump_sharding,
