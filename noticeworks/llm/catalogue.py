@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.llm import chat, lines, quality, secrets, sharding, syncmers, urls
+from noticeworks.llm import chat, lines, packing, quality, secrets, sharding, syncmers, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_line_winnowing": lines.op3_line_winnowing,
         "op5_syncmer_fingerprints": syncmers.op5_syncmer_fingerprints,
         "op6_chat_format": chat.op6_chat_format,
+        "op8_bin_completion": packing.op8_bin_completion,
         "op9_risk_controlled_quality": quality.op9_risk_controlled_quality,
         "op10_jump_sharding": sharding.op10_jump_sharding,
     }
