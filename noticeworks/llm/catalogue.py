@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.llm import chat, lines, packing, quality, secrets, sharding, syncmers, urls
+from noticeworks.llm import chat, jaccard, lines, packing, quality, secrets, sharding, syncmers, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_ownership": secrets.op1_secret_ownership,
         "op2_url_filter": urls.op2_url_filter,
         "op3_line_winnowing": lines.op3_line_winnowing,
+        "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
         "op5_syncmer_fingerprints": syncmers.op5_syncmer_fingerprints,
         "op6_chat_format": chat.op6_chat_format,
         "op8_bin_completion": packing.op8_bin_completion,
@@ -27,5 +28,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_secret_ownership": secrets.OP1_SQL,
         "op2_url_filter": urls.OP2_SQL,
         "op3_line_winnowing": lines.OP3_SQL,
+        "op4_ngram_jaccard": jaccard.OP4_SQL,
         "op6_chat_format": chat.OP6_SQL,
     }
