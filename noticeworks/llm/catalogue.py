@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.llm import chat, jaccard, lines, packing, quality, secrets, sharding, syncmers, urls
+from noticeworks.llm import chat, jaccard, lines, packing, pieces, quality, secrets, sharding, syncmers, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_ngram_jaccard": jaccard.op4_ngram_jaccard,
         "op5_syncmer_fingerprints": syncmers.op5_syncmer_fingerprints,
         "op6_chat_format": chat.op6_chat_format,
+        "op7_gumbel_segmentations": pieces.op7_gumbel_segmentations,
         "op8_bin_completion": packing.op8_bin_completion,
         "op9_risk_controlled_quality": quality.op9_risk_controlled_quality,
         "op10_jump_sharding": sharding.op10_jump_sharding,

@@ -18,6 +18,7 @@ the place, so a row's result depends on nothing else.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,6 +37,8 @@ SPACE = "▁"
 #: Words longer than this are cut there; paths don't cross the cut.
 LONGEST_WORD = 64
 _UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]{{1,{LONGEST_WORD}}}|{SPACE}{{1,{LONGEST_WORD}}}|\n")
+#: More steps than a word has code points, times a constant.
+_STEPS = np.arange(1, LONGEST_WORD + 2).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -92,15 +95,37 @@ class Vocabulary:
                     table[key] = (i, w * self.scale ** len(points))
                 else:
                     table.setdefault(key, (-1, 0.0))
-        keys = np.array(sorted(table), np.uint64)
-        self.keys = keys
-        self.ids = np.array([table[int(k)][0] for k in keys], np.int32)
-        self.weights = np.array([table[int(k)][1] for k in keys])
+        keys = np.array(list(table), np.uint64)
+        self.keys = np.append(keys, np.uint64(0))
+        self.ids = np.array([*(table[int(k)][0] for k in keys), -1], np.int32)
+        self.weights = np.array([*(table[int(k)][1] for k in keys), 0.0])
+        # open addressing by the hash's first bits; free slots name the empty entry at the end
+        self.slots = np.full((1 << 20) + 64, len(keys), np.int32)
+        self.probes = 1
+        for i, slot in enumerate((keys >> np.uint64(44)).tolist()):
+            tries = 0
+            while self.slots[slot + tries] != len(keys):
+                tries += 1
+            self.slots[slot + tries] = i
+            self.probes = max(self.probes, tries + 1)
         self.text = [p.replace(SPACE, " ").encode() for p in self.pieces]
         for b in range(256):
             self.text[self.bytes_from + b] = bytes([b])
 
 
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The entry of each hash; the empty one where there is none."""
+        slot = (h >> np.uint64(44)).astype(np.int64)
+        found = self.slots[slot]
+        for tries in range(1, self.probes):
+            wrong = np.flatnonzero((self.keys[found] != h) & (found < len(self.keys) - 1))
+            if not len(wrong):
+                return found
+            found[wrong] = self.slots[slot[wrong] + tries]
+        found[self.keys[found] != h] = len(self.keys) - 1
+        return found
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str, power: float, offset: float) -> Vocabulary:
     return Vocabulary(path, power, offset)
@@ -124,8 +149,8 @@ class Lattice:
             fits = at + size <= end[at]
             at, h = at[fits], h[fits]
             h = _mix(h * _A + points[at + size - 1] + np.uint64(1))
-            j = np.minimum(np.searchsorted(v.keys, h), len(v.keys) - 1)
-            known = v.keys[j] == h
+            j = v.find(h)
+            known = j < len(v.keys) - 1
             if size == 1:
                 piece = known & (v.ids[j] >= 0)
                 spelled = at[~piece]
@@ -137,26 +162,33 @@ class Lattice:
             if not len(at):
                 break
         source, size, ids, w = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(source, kind="stable")
-        source, size, ids, w = source[order], size[order], ids[order], w[order]
         # mass of all ways from a position to its word's end, from the shortest rest on
         mass = np.ones(len(points) + 1)
-        rest = (end - np.arange(len(points)))[source]
-        by_rest = np.argsort(rest, kind="stable")
-        cuts = np.searchsorted(rest[by_rest], np.arange(1, int(rest.max(initial=0)) + 2))
+        rest = end[source] - source
+        order = np.argsort(rest * len(points) + source)
+        source, size, ids, w, rest = source[order], size[order], ids[order], w[order], rest[order]
+        cuts = np.searchsorted(rest, np.arange(1, int(rest.max(initial=0)) + 2))
+        target = source + size
         last = size == rest
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            e = by_rest[a:b]
-            value = w[e] * np.where(last[e], 1.0, mass[np.minimum(source[e] + size[e], len(points))])
-            first = np.flatnonzero(np.diff(source[e], prepend=-1))
-            mass[source[e][first]] = np.add.reduceat(value, first)
-        p = w * np.where(last, 1.0, mass[np.minimum(source + size, len(points))]) / mass[source]
+        starts = np.flatnonzero(np.diff(source, prepend=-1))
+        groups = np.searchsorted(starts, cuts)
+        for a, b, i, j in zip(cuts[:-1], cuts[1:], groups[:-1], groups[1:], strict=True):
+            if a < b:
+                value = w[a:b] * mass[target[a:b]]
+                value[last[a:b]] = w[a:b][last[a:b]]
+                mass[source[starts[i:j]]] = np.add.reduceat(value, starts[i:j] - a)
+        p = w * np.where(last, 1.0, mass[target]) / mass[source]
+        # the likeliest edge of a position first, as draws look at them one after another
+        order = np.argsort(source - p / 2)
+        source, size, ids, p = source[order], size[order], ids[order], p[order]
         first = np.flatnonzero(np.diff(source, prepend=-1))
         total = np.cumsum(p)
         within = total - np.repeat(total[first] - p[first], np.diff(np.append(first, len(p))))
-        within[np.append(first[1:], len(p)) - 1] = 1.0
+        within[np.append(first[1:], len(p)) - 1] = 2.0
+        first = np.append(first, len(p))  # every position has an edge
         self.first, self.source, self.target, self.ids, self.p = first, source, source + size, ids, p
-        self.bounds = source + np.minimum(within, 1.0)
+        self.bounds = within
+        self.log_p = np.log(p)
         self.word_end = end
 
     def draw(self, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,8 +198,12 @@ class Lattice:
         taken = np.zeros(len(at), np.int64)
         step = 0
         while len(who):
-            e = np.searchsorted(self.bounds, at + _uniform(keys + np.uint64(step + 1) * _C), side="right")
-            e = np.minimum(e, len(self.source) - 1)
+            u = _uniform(keys + _STEPS[step])
+            e = self.first[at]
+            behind = np.flatnonzero(self.bounds[e] <= u)
+            while len(behind):
+                e[behind] += 1
+                behind = behind[self.bounds[e[behind]] <= u[behind]]
             steps.append((who, e))
             taken[who] += 1
             go = self.target[e] < self.word_end[self.source[e]]
@@ -180,6 +216,9 @@ class Lattice:
         return out, taken
 
 
+_NONE = np.zeros(1)
+
+
 def _gumbel(u: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(u))
 
@@ -194,15 +233,17 @@ class _Search:
         self.parts: list[tuple[np.ndarray, int, int, tuple[int, ...]]] = []  # variables, path, first step, edges barred at it
 
     def add(self, path: np.ndarray, variable: float, first: int, barred: tuple[int, ...]) -> None:
-        p = self.lattice.p[path]
-        before = np.concatenate(([0.0], np.cumsum(np.log(p))))
-        left = 1.0 - p[first:]
-        if first < len(path) and barred:
+        before = np.concatenate((_NONE, np.cumsum(self.lattice.log_p[path])))
+        # beyond, all parts together are less than 2**-64 of the whole, which doubles don't tell from 1
+        last = min(len(path), int(np.searchsorted(-before, 45.0, side="right")))
+        last = max(last, min(first + 1, len(path)))
+        left = 1.0 - self.lattice.p[path[first:last]]
+        if first < last and barred:
             left[0] -= self.lattice.p[list(barred)].sum()
         left[left < 1e-13] = 0.0
         with np.errstate(divide="ignore"):
-            masses = before[first:-1] + np.log(left)
-        keys = self.seed + np.uint64(len(self.paths) + 1) * _A + (np.arange(first, len(path)).astype(np.uint64) + np.uint64(1)) * _B
+            masses = before[first:last] + np.log(left)
+        keys = self.seed + np.array([len(self.paths) + 1], np.uint64) * _A + (np.arange(first, last).astype(np.uint64) + np.uint64(1)) * _B
         fresh = masses + _gumbel(_uniform(keys))
         self.parts.append((-np.logaddexp(-variable, -fresh), len(self.paths), first, barred))
         self.paths.append(path)
@@ -219,22 +260,22 @@ def sample_block(texts: list[str], keys: list[int], v: Vocabulary, options: Samp
     """For each text its distinct segmentations in order of their perturbed scores: edges' ids
     (below 0: spelled code points), log probability, variable and log inclusion probability."""
     split = [_UNIT.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-    number: dict[str, int] = {}
-    occurrences = [np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)) for words in split]
-    if not number:
+    words = list(itertools.chain.from_iterable(split))
+    if not words:
         return [[] for _ in texts]
-    lattice = Lattice(list(number), v)
+    distinct = list(dict.fromkeys(words))
+    lattice = Lattice(distinct, v)
+    flat = np.fromiter(map(dict(zip(distinct, range(len(distinct)), strict=True)).__getitem__, words), np.int64, len(words))
     seeds = _mix(np.array(keys, np.uint64) + np.uint64(options.seed) * _A)
-    searches = [_Search(k, lattice, s) for k, s in zip(keys, seeds, strict=True)]
-    counts = np.fromiter(map(len, occurrences), np.int64, len(texts))
-    flat = np.concatenate(occurrences)
+    searches = [_Search(k, lattice, s) for k, s in zip(keys, seeds[:, None], strict=True)]
+    counts = np.fromiter(map(len, split), np.int64, len(texts))
     place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
     base = _mix(np.repeat(seeds, counts) ^ ((place.astype(np.uint64) + np.uint64(1)) * _A))
     edges, taken = lattice.draw(lattice.starts[flat], base)
     cuts = np.concatenate(([0], np.cumsum(taken)))[np.concatenate(([0], np.cumsum(counts)))]
     for i, s in enumerate(searches):
         if counts[i]:
-            s.add(edges[cuts[i] : cuts[i + 1]], float(_gumbel(_uniform(s.seed ^ _C))), 0, ())
+            s.add(edges[cuts[i] : cuts[i + 1]], float(_gumbel(_uniform(s.seed ^ _C))[0]), 0, ())
     offsets = np.cumsum(counts) - counts
     for sample in range(1, options.samples):
         begun, at, seeded, sizes = [], [], [], []
@@ -249,18 +290,17 @@ def sample_block(texts: list[str], keys: list[int], v: Vocabulary, options: Samp
             known = s.paths[path]
             barred = (*(barred if not step else ()), int(known[t]))
             position = lattice.source[known[t]]
-            a = np.searchsorted(lattice.source, position)
-            b = np.searchsorted(lattice.source, position, side="right")
+            a, b = lattice.first[position], lattice.first[position + 1]
             p = lattice.p[a:b].copy()
             p[np.array(barred) - a] = 0.0
-            u = _uniform(s.seed ^ (np.uint64(sample) * _B))
+            u = _uniform(s.seed ^ (np.array([sample], np.uint64) * _B))[0]
             other = a + min(int(np.searchsorted(np.cumsum(p), u * p.sum(), side="right")), b - a - 1)
             # words ended before this step; the rest of this word, then all words after it, are drawn anew
             done = int(np.count_nonzero(lattice.target[known[:t]] == lattice.word_end[lattice.source[known[:t]]]))
             inside = lattice.target[other] < lattice.word_end[position]
             todo = flat[offsets[i] + done + 1 : offsets[i] + counts[i]]
             starts = lattice.starts[todo]
-            own = base[offsets[i] + done : offsets[i] + counts[i]] ^ _mix(np.uint64(sample) * _C + np.zeros(1, np.uint64))
+            own = base[offsets[i] + done : offsets[i] + counts[i]] ^ _mix(np.array([sample], np.uint64) * _C)
             at.append(np.concatenate(([lattice.target[other]], starts)) if inside else starts)
             seeded.append(own if inside else own[1:])
             sizes.append(len(at[-1]))
@@ -303,7 +343,7 @@ def spell(ids: np.ndarray, v: Vocabulary) -> np.ndarray:
 
 def decode(ids: np.ndarray, v: Vocabulary) -> str:
     """The text of ids, without the space that encoding puts before it."""
-    return b"".join([v.text[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")[1:]
+    return b"".join(map(v.text.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")[1:]
 
 
 _SCHEMA = "doc_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
