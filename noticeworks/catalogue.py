@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.plans import history
+from noticeworks.plans import history, policy, records, scalars, views
 
-_MODULES = (history,)
+_MODULES = (history, policy, views, scalars, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
