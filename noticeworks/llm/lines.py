@@ -18,13 +18,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import SPACE, empty_if_null, fresh, row_key, table
+from noticeworks.llm.common import SPACE, empty_if_null, fresh, row_key, table, written
 
 
 def split_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Lines with words: doc (null doc_ids last), _key, line (from 0), words, hash."""
     t = empty_if_null(text)
-    lines = docs.select(F.col(doc_id).alias("doc"), row_key(doc_id, text).alias("_key"), F.posexplode(F.split(t, "\n")).alias("line", "_text"))
+    # keys before the lines: what stands beside posexplode is evaluated for every line
+    keyed = docs.select(F.col(doc_id).alias("doc"), row_key(doc_id, text).alias("_key"), t.alias("_whole"))
+    lines = keyed.select("doc", "_key", F.posexplode(F.split("_whole", "\n")).alias("line", "_text"))
     words = F.size(F.filter(F.split("_text", f"{SPACE}+"), lambda w: w != ""))
     return lines.select("doc", "_key", "line", words.cast("long").alias("words"), F.xxhash64("_text").alias("hash")).where("words > 0")
 
@@ -57,9 +59,10 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id",
 
     Documents without any are absent. Common runs are counted before they are shuffled, and
     joined back by joins that adaptive execution can split, so that a run in a third of all
-    documents is one row of the counts. Only hashes and places are shuffled, never texts.
+    documents is one row of the counts. Only hashes and places are shuffled, never texts. The
+    windows are written to the shared folder, so that texts are split once.
     """
-    wins = windows(split_lines(docs, doc_id, text), min_words)
+    wins = written(windows(split_lines(docs, doc_id, text), min_words), "windows")
     marks = wins.where("forward IS NOT NULL").select("_key", F.hex("forward.mark.hash").alias("mark"), F.col("forward.mark.line").alias("at"))
     # windows side by side mostly share their fingerprint, which is one at one place
     marks = marks.distinct().groupBy("_key", "mark").agg(F.count("*").alias("n"))
