@@ -51,7 +51,7 @@ class Sampling:
     power: float = 1.0
     offset: float = 10.0
     seed: int = 0
-    block: int = 6_000_000
+    block: int = 3_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,6 +60,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _chained(h: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """Hash of a prefix and its next code point."""
+    h = (h + point + np.uint64(1)) * _A
+    return h ^ (h >> np.uint64(29))
+
+
 def _uniform(x: np.ndarray) -> np.ndarray:
     """Uniform in (0, 1) from 64-bit keys."""
     return ((_mix(x) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
@@ -89,7 +95,7 @@ class Vocabulary:
             points = np.frombuffer(self.pieces[i].encode("utf-32-le"), np.uint32).astype(np.uint64)
             h = np.zeros(1, np.uint64)
             for at, c in enumerate(points):
-                h = _mix(h * _A + c + np.uint64(1))
+                h = _chained(h, c)
                 key = int(h[0])
                 if at == len(points) - 1:
                     table[key] = (i, w * self.scale ** len(points))
@@ -148,7 +154,7 @@ class Lattice:
         for size in range(1, v.longest + 1):
             fits = at + size <= end[at]
             at, h = at[fits], h[fits]
-            h = _mix(h * _A + points[at + size - 1] + np.uint64(1))
+            h = _chained(h, points[at + size - 1])
             j = v.find(h)
             known = j < len(v.keys) - 1
             if size == 1:
@@ -341,9 +347,13 @@ def spell(ids: np.ndarray, v: Vocabulary) -> np.ndarray:
     return np.concatenate([*parts, ids[before:]])
 
 
+def decoded(ids: np.ndarray, v: Vocabulary) -> bytes:
+    """The text of ids in UTF-8, without the space that encoding puts before it."""
+    return b"".join(map(v.text.__getitem__, ids.tolist()))[1:]
+
+
 def decode(ids: np.ndarray, v: Vocabulary) -> str:
-    """The text of ids, without the space that encoding puts before it."""
-    return b"".join(map(v.text.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")[1:]
+    return decoded(ids, v).decode("utf-8", "surrogatepass")
 
 
 _SCHEMA = "doc_id long, sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
@@ -420,7 +430,7 @@ def op7_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
         for batch in batches:
             rows = []
             for doc, text, n, ids, (log_p, variable, inclusion) in _sampled(batch, path, options):
-                rows.append((doc, n, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), log_p, variable, inclusion, decode(ids, v) == text))
+                rows.append((doc, n, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), log_p, variable, inclusion, decoded(ids, v) == text.encode("utf-8", "surrogatepass")))
             yield pd.DataFrame(rows, columns=["doc_id", "sample", "n_pieces", "ids_crc32", "log_prob", "perturbed", "log_inclusion", "round_trip"]).astype({"doc_id": "Int64"})
 
     docs = _prepared(table(spark, sf_dir, "documents"))
