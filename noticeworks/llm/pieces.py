@@ -89,7 +89,10 @@ class Vocabulary:
         # all paths of a word have its length, so a factor per code point changes nothing but the size of the numbers
         self.scale = float(np.exp(-np.mean(np.log(weights)) / 3.0))
         self.longest = max(len(self.pieces[i]) for i in normal)
-        self.byte_weight = float((len(normal) + offset) ** -power)
+        # a code point spelled in bytes weighs as little as the last piece
+        self.spelled_weight = float((len(normal) + offset) ** -power) * self.scale
+        if min(self.spelled_weight, 1.0) ** LONGEST_WORD < 1e-290:
+            raise ValueError("power too large: masses of long words would vanish")
         table: dict[int, tuple[int, float]] = {}
         for i, w in zip(normal, weights, strict=True):
             points = np.frombuffer(self.pieces[i].encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -160,8 +163,7 @@ class Lattice:
             if size == 1:
                 piece = known & (v.ids[j] >= 0)
                 spelled = at[~piece]
-                n_bytes = 1 + (points[spelled] > 0x7F) + (points[spelled] > 0x7FF) + (points[spelled] > 0xFFFF)
-                found.append((spelled, np.ones(len(spelled), np.int64), -1 - points[spelled].astype(np.int64), v.byte_weight**n_bytes * v.scale))
+                found.append((spelled, np.ones(len(spelled), np.int64), -1 - points[spelled].astype(np.int64), np.full(len(spelled), v.spelled_weight)))
             at, h, j = at[known], h[known], j[known]
             own = v.ids[j] >= 0
             found.append((at[own], np.full(int(own.sum()), size), v.ids[j[own]].astype(np.int64), v.weights[j[own]]))
