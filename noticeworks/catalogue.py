@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.plans import history, policy, records, scalars, views
+from noticeworks.plans import history, policy, records, scalars, silver, views
 
-_MODULES = (history, policy, views, scalars, records)
+_MODULES = (history, policy, views, scalars, records, silver)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
