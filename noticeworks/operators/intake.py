@@ -16,13 +16,14 @@ def rejection_reason(source: Column, payload: Column) -> Column:
     Rules in order: valid unicode, a known source, the payload's own source, an id, a title.
     """
     v = jsonx.payload(payload)
+    own = F.lower(F.coalesce(jsonx.first_truthy(v, "_source", "source"), source))
     record_id = jsonx.first_truthy(v, "ND", "notice_id", "tender_no", "item_id", "identificador")
     title = F.coalesce(*(F.nullif(jsonx.localized(v, n), F.lit("")) for n in ("TI", "title", "titulo")))
     return (
-        F.when(~F.is_valid_utf8(payload) | payload.contains("�"), "invalid_unicode")
-        .when(~F.coalesce(source.isin(*SOURCES), F.lit(False)), "unsupported_source")
-        .when(F.coalesce(jsonx.field(v, "_source"), source) != source, "source_mismatch")
-        .when(record_id.isNull(), "missing_record_id")
+        F.when(~F.is_valid_utf8(payload) | payload.contains("�"), "invalid_unicode_payload")
+        .when(~F.coalesce(source.isin(*SOURCES) & own.isin(*SOURCES), F.lit(False)), "unsupported_source")
+        .when(own != source, "source_mismatch")
+        .when(record_id.isNull(), "missing_tender_id")
         .when(title.isNull(), "missing_title")
     )
 

@@ -17,12 +17,13 @@ NOTICE_SNAPSHOT, TOMBSTONE = "notice_snapshot", "tombstone"
 PROCEDURE = "placsp:procedure:"
 OPEN_STATUSES = ("PUB",)
 CLOSED_STATUSES = ("EV", "ADJ", "ADJ_PAR", "RES", "RES_PAR", "ANUL")
+NO_ID = "missing_procedure_id"
 MISSING_ID = "missing_or_invalid_procedure_id"
 UNSUPPORTED = "unsupported_placsp_event_type"
 MISMATCH = "event_procedure_identity_mismatch"
-UNDATED = "ambiguous_undated_events"
+UNDATED = "undated_competing_events"
 DECISIONS = ("open", "deleted", "deadline_passed", "status_closed", "insufficient_evidence")
-BUCKETS = {"open": "open", "deleted": "excluded_deleted", "deadline_passed": "excluded_deadline", "status_closed": "excluded_not_actionable", "insufficient_evidence": "excluded_not_actionable"}
+BUCKETS = {"open": "open", "deleted": "excluded_deleted", "deadline_passed": "excluded_not_actionable", "status_closed": "excluded_not_actionable", "insufficient_evidence": "excluded_insufficient_evidence"}
 
 
 def provenance(time: str, file: str, index: str, member: str, locator: str, sha: str) -> Column:
@@ -88,7 +89,7 @@ def current_state(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     Procedures of several events with an undated one among them are issues: all their events
     compete. One shuffle by procedure serves the counts and the ranking.
     """
-    judged = events.withColumn("_reason", F.when(F.col("procedure_id").isNull(), MISSING_ID).otherwise(identity_reason()))
+    judged = events.withColumn("_reason", F.when(F.col("procedure_id").isNull(), NO_ID).otherwise(identity_reason()))
     unplaced = judged.where("_reason IS NOT NULL")
     group = W.partitionBy("procedure_id")
     placed = (

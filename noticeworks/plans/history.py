@@ -142,8 +142,8 @@ ORACLES = {
         WHERE r = 1""",
     "current_state": f"""WITH {_H} SELECT procedure_id, event_id, u AS source_updated_at, is_deleted FROM
         (SELECT *, row_number() OVER (PARTITION BY procedure_id ORDER BY u DESC NULLS LAST, event_id DESC) AS r FROM c WHERE NOT (n > 1 AND k > 0)) WHERE r = 1""",
-    "undated_competing_issues": f"""WITH {_H}, i AS (SELECT procedure_id, event_id, 'ambiguous_undated_events' AS reason FROM c WHERE n > 1 AND k > 0
-        UNION ALL SELECT procedure_id, event_id, 'missing_or_invalid_procedure_id' FROM h WHERE procedure_id IS NULL)
+    "undated_competing_issues": f"""WITH {_H}, i AS (SELECT procedure_id, event_id, 'undated_competing_events' AS reason FROM c WHERE n > 1 AND k > 0
+        UNION ALL SELECT procedure_id, event_id, 'missing_procedure_id' FROM h WHERE procedure_id IS NULL)
         SELECT procedure_id, event_id, reason, count(*) AS n FROM i GROUP BY ALL""",
     "provenance_min": """SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts),
         CASE WHEN event_id % 3 <> 0 THEN event_id % 7 END NULLS LAST, coalesce(CASE WHEN event_id % 2 = 0 THEN event_type END, ''), props, CAST(event_id AS VARCHAR)) AS r FROM events) WHERE r = 1""",

@@ -70,7 +70,7 @@ _D = """d AS (SELECT o_orderkey AS procedure_id, CASE WHEN o_orderpriority = '1-
 e AS (SELECT *, CASE WHEN is_deleted THEN 'deleted' WHEN deadline < TIMESTAMP '1998-01-01' THEN 'deadline_passed'
    WHEN source = 'placsp' AND status = 'PUB' THEN 'open' WHEN source = 'placsp' AND status = 'ADJ' THEN 'status_closed'
    WHEN source <> 'placsp' AND status IS NULL AND deadline >= TIMESTAMP '1998-01-01' THEN 'open' ELSE 'insufficient_evidence' END AS decision FROM d)"""
-_B = "CASE decision WHEN 'open' THEN 'open' WHEN 'deleted' THEN 'excluded_deleted' WHEN 'deadline_passed' THEN 'excluded_deadline' ELSE 'excluded_not_actionable' END AS bucket"
+_B = "CASE decision WHEN 'open' THEN 'open' WHEN 'deleted' THEN 'excluded_deleted' WHEN 'insufficient_evidence' THEN 'excluded_insufficient_evidence' ELSE 'excluded_not_actionable' END AS bucket"
 ORACLES = {
     "identity_waterfall": """
         SELECT CASE m WHEN 0 THEN 'placsp:notice:' || ref || '@undated' WHEN 1 THEN 'placsp:tombstone:' || ref WHEN 2 THEN 'placsp:tombstone-dated:-12:' || ref

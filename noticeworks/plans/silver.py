@@ -75,7 +75,7 @@ ORACLES = {
         UNION ALL SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'placsp:tombstone-dated:' || epoch_us(TIMESTAMP '2024-01-03') || ':https://x/' || s_suppkey ELSE 'placsp:tombstone:https://x/' || s_suppkey END,
                'placsp:procedure:https://x/' || s_suppkey, 'placsp', 'tombstone', NULL, NULL, NULL, NULL, NULL, NULL, '',
                CASE WHEN s_suppkey % 2 = 0 THEN epoch_us(TIMESTAMP '2024-01-03') END, epoch_us(TIMESTAMP '2024-02-01') FROM supplier""",
-    "acceptance": """SELECT CASE c_custkey % 6 WHEN 0 THEN 'accepted' WHEN 1 THEN 'missing_title' WHEN 2 THEN 'missing_record_id' WHEN 3 THEN 'source_mismatch' WHEN 4 THEN 'unsupported_source'
+    "acceptance": """SELECT CASE c_custkey % 6 WHEN 0 THEN 'accepted' WHEN 1 THEN 'missing_title' WHEN 2 THEN 'missing_tender_id' WHEN 3 THEN 'source_mismatch' WHEN 4 THEN 'unsupported_source'
         ELSE 'accepted' END AS reason, count(*) AS n FROM customer GROUP BY 1""",
     "extraction_windows": """SELECT CAST(d AS DATE) AS window_start, CAST(least(d + INTERVAL 6 DAY, TIMESTAMP '2024-03-05') AS DATE) AS window_end FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-03-06', INTERVAL 7 DAY) AS t(d)
         UNION ALL SELECT CAST(d AS DATE), last_day(d) FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-03-06', INTERVAL 1 MONTH) AS t(d)""",

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import io
 import json
+import math
 import re
 import zipfile
 from collections.abc import Iterator
+from datetime import datetime
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -66,6 +68,13 @@ def _row(path, member, index, locator, kind, record_id=None, deleted_at=None, pa
     return (path, member, index, locator, kind, record_id, deleted_at, payload, reason, scope)
 
 
+def _is_instant(text: str) -> bool:
+    try:
+        return datetime.fromisoformat(text.strip().replace("z", "Z")).utcoffset() is not None
+    except (ValueError, OverflowError):
+        return False
+
+
 def _finite(text: str) -> float:
     value = float(text)
     if value in (float("inf"), float("-inf")):
@@ -88,10 +97,10 @@ def parse_json_lines(path: str, content: bytes) -> Iterator[tuple]:
                 raise TypeError
             payload = json.dumps(value, sort_keys=True, ensure_ascii=False)
             payload.encode()
-        except UnicodeError:
-            yield _row(path, None, None, number, "rejection", reason="invalid_unicode", scope="record")
+        except UnicodeEncodeError:
+            yield _row(path, None, None, number, "rejection", reason="invalid_unicode_payload", scope="record")
         except TypeError:
-            yield _row(path, None, None, number, "rejection", reason="not_an_object", scope="record")
+            yield _row(path, None, None, number, "rejection", reason="expected_json_object", scope="record")
         except ValueError:
             yield _row(path, None, None, number, "rejection", reason="invalid_json", scope="record")
         else:
@@ -127,7 +136,7 @@ def _entry_fields(entry) -> dict:
         node = _below(entry, tag)
         raw = _text(node)
         try:
-            number = _finite(raw) if raw else None
+            number = float(raw) if raw else None
         except ValueError:
             number = None
         fields |= {f"amount_{name}": number, f"amount_{name}_raw": raw, f"amount_{name}_currency": node.get("currencyID") if node is not None else None}
@@ -143,22 +152,27 @@ def parse_feed(path: str, content: bytes, member: str | None = None, index: int
         yield _row(path, member, index, None, "rejection", reason="invalid_xml", scope="document")
         return
     if root.tag != f"{_ATOM}feed":
-        yield _row(path, member, index, None, "rejection", reason="not_a_feed", scope="document")
+        yield _row(path, member, index, None, "rejection", reason="expected_atom_feed", scope="document")
         return
     for n, node in enumerate(root.iter(_DELETED), 1):
         if ref := (node.get("ref") or "").strip():
-            yield _row(path, member, index, n, "tombstone", ref, node.get("when"))
+            when = node.get("when")
+            yield _row(path, member, index, n, "tombstone", ref, when)
+            if when is not None and not _is_instant(when):
+                yield _row(path, member, index, n, "rejection", ref, reason="invalid_tombstone_when", scope="control")
         else:
-            yield _row(path, member, index, n, "rejection", reason="missing_ref", scope="control")
+            yield _row(path, member, index, n, "rejection", reason="missing_tombstone_ref", scope="control")
     for n, entry in enumerate(root.iter(f"{_ATOM}entry"), 1):
         fields = _entry_fields(entry)
         number = re.search(r"/(\d+)\s*$", fields["atom_id"] or "")
-        reason = "missing_numeric_id" if not number else "missing_title" if not fields["title"] else None
+        reason = "invalid_atom_id" if not number else "missing_title" if not fields["title"] else None
         if reason:
             yield _row(path, member, index, n, "rejection", reason=reason, scope="record")
+        elif any(isinstance(x, float) and not math.isfinite(x) for x in fields.values()):
+            yield _row(path, member, index, n, "rejection", reason="non_finite_amount", scope="record")
         else:
             payload = json.dumps(fields | {"tender_no": number[1]}, sort_keys=True, ensure_ascii=False)
-            yield _row(path, member, index, n, "record", number[1], payload=payload)
+            yield _row(path, member, index, n, "record", fields["atom_id"], payload=payload)
 
 
 def parse_archive(path: str, content: bytes) -> Iterator[tuple]:
@@ -170,12 +184,12 @@ def parse_archive(path: str, content: bytes) -> Iterator[tuple]:
         return
     feeds = [(n, x) for n, x in enumerate(archive.infolist(), 1) if x.filename.lower().endswith((".atom", ".xml"))]
     if not feeds:
-        yield _row(path, None, None, None, "rejection", reason="no_feeds", scope="document")
+        yield _row(path, None, None, None, "rejection", reason="no_atom_members", scope="document")
     for n, info in feeds:
         try:
             data = archive.read(info)
         except (zipfile.BadZipFile, RuntimeError, OSError, EOFError):
-            yield _row(path, info.filename, n, None, "rejection", reason="unreadable_member", scope="document")
+            yield _row(path, info.filename, n, None, "rejection", reason="unreadable_zip_member", scope="document")
             continue
         yield from parse_feed(path, data, info.filename, n)
 

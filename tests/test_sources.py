@@ -45,11 +45,11 @@ def test_scan_locates_records_and_rejections(spark, folder):
     name = lambda r: r["path"].rpartition("/")[2]
     found = {(name(r), r["member"], r["member_index"], r["locator"], r["kind"], r["reason"]) for r in rows}
     assert ("ted.JSONL", None, None, 1, "record", None) in found
-    assert {(3, "not_an_object"), (4, "invalid_json"), (5, "invalid_unicode"), (6, "invalid_json")} == {x[3::2] for x in found if x[0] == "ted.JSONL" and x[4] == "rejection"}
-    feed = {("tombstone", 1, None), ("rejection", 2, "missing_ref"), ("record", 1, None), ("rejection", 2, "missing_numeric_id"), ("rejection", 3, "missing_title")}
+    assert {(3, "expected_json_object"), (4, "invalid_json"), (5, "invalid_json"), (6, "invalid_json")} == {x[3::2] for x in found if x[0] == "ted.JSONL" and x[4] == "rejection"}
+    feed = {("tombstone", 1, None), ("rejection", 2, "missing_tombstone_ref"), ("record", 1, None), ("rejection", 2, "invalid_atom_id"), ("rejection", 3, "missing_title")}
     assert {(x[4], x[3], x[5]) for x in found if x[0] == "one.atom"} == feed
     assert {(x[4], x[3], x[5]) for x in found if x[1] == "a.atom" and x[2] == 2} == feed
-    assert ("all.zip", "b.atom", 3, None, "rejection", "not_a_feed") in found
+    assert ("all.zip", "b.atom", 3, None, "rejection", "expected_atom_feed") in found
     assert ("none.zip", None, None, None, "rejection", "invalid_zip") in found and ("bad.xml", None, None, None, "rejection", "invalid_xml") in found
 
 
@@ -57,7 +57,7 @@ def test_accounting_and_strict(spark, folder):
     rows = raw.scan(raw.raw_files(spark, folder))
     one = {r["path"].rpartition("/")[2]: r for r in raw.accounting(rows).collect()}["one.atom"]
     assert (one.accepted, one.rejected, one.control_errors, one.tombstones) == (1, 2, 1, 1)
-    with pytest.raises(Exception, match="invalid_json|missing|invalid|not_"):
+    with pytest.raises(Exception, match="invalid|missing|expected"):
         raw.strict(rows).collect()
 
 
@@ -80,7 +80,7 @@ def test_events_from_raw_to_decision(spark, folder):
     entry = by_id["placsp:notice:https://x/1@2026-01-02T02:04:05.500000+00:00"]
     assert (entry.title, entry.status, entry.cpv_codes, str(entry.estimated_value), entry.publication_date) == ("Suministro de café", "PUB", ["15000000"], "1234.50", None)
     current, issues = state.current_state(found)
-    assert [r.reason for r in issues.collect()] == [state.MISSING_ID]
+    assert [r.reason for r in issues.collect()] == [state.NO_ID]
     opened, counts = state.open_opportunities(current, None)
     assert [r.procedure_id for r in opened.collect()] == ["placsp:procedure:https://x/1"]
     assert {r.decision: r.n for r in counts.collect()} == {"open": 1, "deleted": 1, "deadline_passed": 0, "status_closed": 0, "insufficient_evidence": 0}
