@@ -149,9 +149,18 @@ def link_groups(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 30)
 
 
 def numbered_groups(groups: DataFrame, root: str = "root") -> DataFrame:
-    """Groups numbered from 1 by their smallest member; only the roots are ranked together."""
-    ranked = groups.select(root).distinct().withColumn("group_no", F.row_number().over(W.orderBy(root)))
-    return groups.join(ranked, root)
+    """Groups numbered from 1 by their smallest member.
+
+    Roots are sorted by ranges; each range is ranked for itself and starts after the ones
+    before it, of which only a count each is broadcast.
+    """
+    roots = groups.select(root).distinct().repartitionByRange(root).withColumn("_range", F.spark_partition_id())
+    roots = roots.persist()  # ranges are drawn from a sample; one draw serves both uses
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = roots.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = W.partitionBy("_range").orderBy(root)
+    ranked = roots.withColumn("_rank", F.row_number().over(within)).join(F.broadcast(starts), "_range")
+    return groups.join(ranked.select(root, (F.col("_start") + F.col("_rank")).cast("int").alias("group_no")), root)
 
 
 def canonical(groups: DataFrame, day: str, title: str, key: str) -> DataFrame:
