@@ -51,7 +51,7 @@ class Sampling:
     power: float = 1.0
     offset: float = 10.0
     seed: int = 0
-    block: int = 3_000_000
+    block: int = 5_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
