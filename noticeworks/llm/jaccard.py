@@ -7,12 +7,12 @@ size; all other sets are groups of their own. The matrix stores the union of eac
 tokens, as far as they can decide, with the least place of each token in its sets. A token's
 place bounds the overlap of a query group with a group: sets in the order from rare to common
 tokens, whose first common token is in places i and j, overlap in no more than what follows.
-Only pairs of groups of different clusters whose bound reaches the threshold are opened, and
-their sets compared token by token. Every link between sets of different clusters is found
+Only pairs of groups of different clusters whose bound reaches the threshold at several common
+tokens are opened, and their sets compared, by bitmaps first and then token by token. Every link between sets of different clusters is found
 that way, sets of one cluster are linked already, so the components are exact.
 
 Shingles are 64-bit hashes of their words. Only their order needs frequencies: counts of all
-shingles of all documents in 2**16 hash buckets, a table of fixed size.
+shingles of all documents in 2**18 hash buckets, a table of fixed size.
 """
 
 from __future__ import annotations
@@ -29,7 +29,12 @@ from pyspark.sql import functions as F
 from noticeworks.llm.common import fresh, row_key, table, written
 from noticeworks.llm.components import components
 
-BUCKETS = 1 << 16
+BITS = 18
+BUCKETS = 1 << BITS
+_BUCKET = np.uint64(64 - BITS)
+#: Common tokens at least that a pair of groups must show in its sets' prefixes to be opened,
+#: where all its sets are large enough to have them; prefixes are longer by as many, less one.
+SHOWN, LARGE = 3, 30
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Keys up to this number are broadcast to fetch texts; more are joined by a shuffle.
@@ -79,7 +84,7 @@ def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
         for batch in batches:
             found = [shingle_set(text, words, known) for text in batch["text"]]
             if found:
-                total += np.bincount((np.concatenate(found) >> np.uint64(48)).astype(np.int64), minlength=BUCKETS)
+                total += np.bincount((np.concatenate(found) >> _BUCKET).astype(np.int64), minlength=BUCKETS)
         used = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": used, "n": total[used]})
 
@@ -93,7 +98,7 @@ def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
 def document_sets(docs: DataFrame, rule: Threshold) -> DataFrame:
     """doc, _key, n (shingles), sid (the set's 128-bit hash, null for none), bands, score, prefix.
 
-    ``prefix``: the tokens that can be the first common one with a linked set, rarest first.
+    ``prefix``: the tokens that can be the first common ones with a linked set, rarest first.
     ``bands``: four pairs of minhashes. ``score``: how common its rarest tokens are; in a group
     of copies with edits the one nearest to the original scores highest.
     """
@@ -114,8 +119,8 @@ def document_sets(docs: DataFrame, rule: Threshold) -> DataFrame:
                 sid = xxhash.xxh3_128_hexdigest(tokens.tobytes())
                 least = (tokens[None, :] * _ODD[:, None]).min(axis=1)
                 bands = [f"{i}:{int(least[2 * i]):x}:{int(least[2 * i + 1]):x}" for i in range(4)]
-                often = freq[(tokens >> np.uint64(48)).astype(np.int64)]
-                length = n - -(-num * n // den) + 1
+                often = freq[(tokens >> _BUCKET).astype(np.int64)]
+                length = n - -(-num * n // den) + (SHOWN if n >= LARGE else 1)
                 order = np.lexsort((tokens, often))[:length]
                 rows.append((doc, key, n, sid, bands, float(np.log2(often[order]).mean()), tokens[order].view(np.int64).tolist()))
             yield pd.DataFrame(rows, columns=["doc", "_key", "n", "sid", "bands", "score", "prefix"]).astype({"doc": "Int64"})
@@ -136,10 +141,29 @@ def _doc_of(node: Column) -> Column:
     return F.when(~node.startswith("~"), number.bitwiseXOR(F.lit(-(1 << 63)).cast("long")))
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """One of 8 to 16 bits per token set by each token's first bits."""
+    size = max(6, int(8 * len(tokens) - 1).bit_length())
+    bits = np.zeros(1 << size, np.uint8)
+    bits[(tokens >> np.uint64(64 - size)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def most_common(a: bytes, na: int, b: bytes, nb: int) -> int:
+    """The most tokens that two sets with these bitmaps can have in common: a bit that only one
+    has is a token that the other lacks."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        longer = np.unpackbits(x if len(x) > len(y) else y).reshape(-1, 2).any(axis=1)
+        x, y = (np.packbits(longer), y) if len(x) > len(y) else (x, np.packbits(longer))
+    return min(na - int(np.bitwise_count(x & ~y).sum()), nb - int(np.bitwise_count(y & ~x).sum()))
+
+
 def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Threshold) -> DataFrame:
     """The pairs of sids (a, b) whose sets link, each set read from its representative's text.
 
-    Only texts of sets in some pair are cut into shingles again. Pairs meet their sets by two
+    Only texts of sets in some pair are cut into shingles again. Pairs first meet the sets'
+    bitmaps, which bound what they can have in common, and those that pass the token sets, by
     joins that adaptive execution can split.
     """
     pairs = written(pairs, "pairs")
@@ -153,24 +177,38 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Threshold)
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _Words()
         for batch in batches:
-            yield pd.DataFrame({"sid": batch["sid"], "tokens": [shingle_set(t, words, known).tobytes() for t in batch["text"]]})
+            found = [shingle_set(t, words, known) for t in batch["text"]]
+            yield pd.DataFrame({"sid": batch["sid"], "n": [len(x) for x in found], "bits": [bitmap(x) for x in found], "tokens": [x.tobytes() for x in found]})
+
+    tokens = written(texts.mapInPandas(cut, "sid string, n long, bits binary, tokens binary"), "tokens")
+
+    def with_both(pairs: DataFrame, *columns: str) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(tokens.select(F.col("sid").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns)), side)
+        return pairs
+
+    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            good = []
+            for a, m, b, n in zip(batch["bits_a"], batch["n_a"], batch["bits_b"], batch["n_b"], strict=True):
+                common = most_common(a, m, b, n)
+                good.append(den * common >= num * (m + n - common))
+            yield batch.loc[good, ["a", "b"]]
 
-    tokens = written(texts.mapInPandas(cut, "sid string, tokens binary"), "tokens")
-    left = pairs.join(tokens.select(F.col("sid").alias("a"), F.col("tokens").alias("ta")), "a")
-    both = left.join(tokens.select(F.col("sid").alias("b"), F.col("tokens").alias("tb")), "b")
+    both = with_both(with_both(pairs, "n", "bits").mapInPandas(bound, "a string, b string"), "tokens")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             good = []
-            for ta, tb in zip(batch["ta"], batch["tb"], strict=True):
+            for ta, tb in zip(batch["tokens_a"], batch["tokens_b"], strict=True):
                 x, y = np.frombuffer(ta, np.uint64), np.frombuffer(tb, np.uint64)
-                both = np.concatenate((x, y))
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
+                merged = np.concatenate((x, y))
+                merged.sort()
+                common = int(np.count_nonzero(merged[1:] == merged[:-1]))
                 good.append(den * common >= num * (len(x) + len(y) - common))
             yield batch.loc[good, ["a", "b"]]
 
-    return both.select("a", "b", "ta", "tb").mapInPandas(compare, "a string, b string")
+    return both.mapInPandas(compare, "a string, b string")
 
 
 def _compatible(x: Column, y: Column, rule: Threshold) -> Column:
@@ -196,8 +234,9 @@ def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
     """
     num, den = rule.num, rule.den
     postings = sets.select("cluster", "part", "alone", F.col("n").cast("long").alias("n"), F.posexplode("prefix").alias("i", "token"))
-    # the largest set that can overlap enough when its first common token is at i
-    reach = F.floor(((F.col("n") - F.col("i")) * (num + den)) / num).cast("long") - F.col("n")
+    # the largest set that can overlap enough when one of its first common tokens is at i
+    spare = F.when(F.col("n") >= LARGE, SHOWN - 1).otherwise(0)
+    reach = F.floor(((F.col("n") - F.col("i") + spare) * (num + den)) / num).cast("long") - F.col("n")
     postings = postings.withColumn("reach", reach)
 
     def matrix(rows: DataFrame) -> DataFrame:
@@ -215,7 +254,9 @@ def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
         & (F.col("low_y") <= F.col("reach_x"))
         & (F.col("high_x") * den >= F.col("low_y") * num)
     )
-    opened = x.join(y, (x["token"] == y["token"]) & bound).select("cluster_x", "part_x", "cluster_y", "part_y").distinct()
+    met = x.join(y, (x["token"] == y["token"]) & bound).select("cluster_x", "part_x", "cluster_y", "part_y", F.least("low_x", "low_y").alias("low"))
+    shown = met.groupBy("cluster_x", "part_x", "cluster_y", "part_y").agg(F.count("*").alias("shown"), F.min("low").alias("low"))
+    opened = shown.where((F.col("shown") >= SHOWN) | (F.col("low") < LARGE)).drop("shown", "low")
     member = sets.select("sid", "n", "cluster", "part")
     for s in ("x", "y"):
         opened = opened.join(member.select(F.col("cluster").alias(f"cluster_{s}"), F.col("part").alias(f"part_{s}"), F.col("sid").alias(s), F.col("n").alias(f"n_{s}")), [f"cluster_{s}", f"part_{s}"])
