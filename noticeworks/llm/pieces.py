@@ -120,6 +120,10 @@ class Vocabulary:
         self.text = [p.replace(SPACE, " ").encode() for p in self.pieces]
         for b in range(256):
             self.text[self.bytes_from + b] = bytes([b])
+        # all pieces' bytes one after another, and where each begins
+        self.letters = np.frombuffer(b"".join(self.text), np.uint8)
+        self.sizes = np.fromiter(map(len, self.text), np.int32, n)
+        self.begins = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
 
 
     def find(self, h: np.ndarray) -> np.ndarray:
@@ -141,8 +145,8 @@ def vocabulary(path: str, power: float, offset: float) -> Vocabulary:
 
 
 class Lattice:
-    """Lattices of words side by side. Positions are code points of all words; edges are sorted
-    by position: from, to, id (below 0: -1 less a code point, spelled in bytes), p (given the
+    """Lattices of words side by side. Positions are code points of all words; edges of one
+    position stand together: from, to, id (below 0: -1 less a code point, spelled in bytes), p (given the
     position, over all ways to the word's end), and bounds to draw one by."""
 
     def __init__(self, words: list[str], v: Vocabulary):
@@ -173,7 +177,8 @@ class Lattice:
         # mass of all ways from a position to its word's end, from the shortest rest on
         mass = np.ones(len(points) + 1)
         rest = end[source] - source
-        order = np.argsort(rest * len(points) + source)
+        # longer pieces first: they mostly are the likelier ones, and draws look at one after another
+        order = np.argsort((rest * len(points) + source) * 128 + (127 - size))
         source, size, ids, w, rest = source[order], size[order], ids[order], w[order], rest[order]
         cuts = np.searchsorted(rest, np.arange(1, int(rest.max(initial=0)) + 2))
         target = source + size
@@ -186,15 +191,14 @@ class Lattice:
                 value[last[a:b]] = w[a:b][last[a:b]]
                 mass[source[starts[i:j]]] = np.add.reduceat(value, starts[i:j] - a)
         p = w * np.where(last, 1.0, mass[target]) / mass[source]
-        # the likeliest edge of a position first, as draws look at them one after another
-        order = np.argsort(source - p / 2)
-        source, size, ids, p = source[order], size[order], ids[order], p[order]
-        first = np.flatnonzero(np.diff(source, prepend=-1))
         total = np.cumsum(p)
-        within = total - np.repeat(total[first] - p[first], np.diff(np.append(first, len(p))))
-        within[np.append(first[1:], len(p)) - 1] = 2.0
-        first = np.append(first, len(p))  # every position has an edge
-        self.first, self.source, self.target, self.ids, self.p = first, source, source + size, ids, p
+        past = np.append(starts[1:], len(p))
+        within = total - np.repeat(total[starts] - p[starts], past - starts)
+        within[past - 1] = 2.0
+        # where each position's edges begin and end; every position has one
+        self.first, self.past = np.empty(len(points), np.int64), np.empty(len(points), np.int64)
+        self.first[source[starts]], self.past[source[starts]] = starts, past
+        self.source, self.target, self.ids, self.p = source, target, ids, p
         self.bounds = within
         self.log_p = np.log(p)
         self.word_end = end
@@ -298,7 +302,7 @@ def sample_block(texts: list[str], keys: list[int], v: Vocabulary, options: Samp
             known = s.paths[path]
             barred = (*(barred if not step else ()), int(known[t]))
             position = lattice.source[known[t]]
-            a, b = lattice.first[position], lattice.first[position + 1]
+            a, b = lattice.first[position], lattice.past[position]
             p = lattice.p[a:b].copy()
             p[np.array(barred) - a] = 0.0
             u = _uniform(s.seed ^ (np.array([sample], np.uint64) * _B))[0]
@@ -351,7 +355,13 @@ def spell(ids: np.ndarray, v: Vocabulary) -> np.ndarray:
 
 def decoded(ids: np.ndarray, v: Vocabulary) -> bytes:
     """The text of ids in UTF-8, without the space that encoding puts before it."""
-    return b"".join(map(v.text.__getitem__, ids.tolist()))[1:]
+    sizes = v.sizes[ids]
+    ends = np.cumsum(sizes, dtype=np.int32)
+    if not len(ends):
+        return b""
+    at = np.repeat(v.begins[ids] - (ends - sizes), sizes)
+    at += np.arange(ends[-1], dtype=np.int32)
+    return v.letters[at].tobytes()[1:]
 
 
 def decode(ids: np.ndarray, v: Vocabulary) -> str:
