@@ -12,24 +12,28 @@ from noticeworks.llm import jaccard, lines, packing, quality, secrets
 from noticeworks.llm.common import table, written
 
 
+#: The columns of documents; others that a table may have are left behind.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the risk-controlled ones; the others go."""
-    return quality.judge(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    return quality.judge(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).where("kept").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without runs of lines of 50 words or more that came earlier."""
-    return lines.dedup_lines(docs)
+    return lines.dedup_lines(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group at a similarity of 0.8 on shingles of five words."""
-    return jaccard.keep_one(docs, jaccard.Threshold(5, 80, 100))
+    return jaccard.keep_one(docs.select(*COLUMNS), jaccard.Threshold(5, 80, 100))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by their kinds."""
-    return secrets.redact_secrets(docs)
+    return secrets.redact_secrets(docs.select(*COLUMNS))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,6 +84,11 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id",
     return merged.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
 
+def without_runs(text: Column, runs: Column) -> Column:
+    """The text without the lines of its runs."""
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.exists(runs, lambda r: i.between(r["first"], r["last"]))), "\n")
+
+
 def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """docs with later repeats of runs of lines deleted; n_chars follows the text.
 
@@ -92,11 +97,10 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     stay as they are; a text that repeats as a whole becomes empty. A run holds at least
     ``min_words`` words, so a text has at most its words over ``min_words`` runs.
     """
-    runs = repeated_runs(docs, min_words)
+    runs = repeated_runs(docs, min_words).withColumnRenamed("runs", "_runs")
     joined = docs.withColumn("_key", row_key()).join(runs, "_key", "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.exists("runs", lambda r: i.between(r["first"], r["last"])))
-    cut = joined.withColumn("_new", F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-    changed = {"text": F.col("_new"), "n_chars": F.when(F.col("runs").isNull(), F.col("n_chars")).otherwise(F.length("_new").cast("long"))}
+    cut = joined.withColumn("_new", F.when(F.col("_runs").isNull(), F.col("text")).otherwise(without_runs(F.col("text"), F.col("_runs"))))
+    changed = {"text": F.col("_new"), "n_chars": F.when(F.col("_runs").isNull(), F.col("n_chars")).otherwise(F.length("_new").cast("long"))}
     return cut.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 
@@ -107,13 +111,12 @@ def op3_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = docs.withColumn("_key", row_key()).join(runs, "_key", "left")
     gone = F.coalesce(F.col("runs"), F.array().cast("array<struct<first:int,last:int>>"))
     lines = F.split(empty_if_null(), "\n")
-    kept = F.filter(lines, lambda x, i: ~F.exists(gone, lambda r: i.between(r["first"], r["last"])))
     return joined.select(
         "doc_id",
         F.size(lines).cast("long").alias("n_lines"),
         F.aggregate(gone, F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1).cast("long").alias("n_removed"),
         F.array_join(F.transform(gone, lambda r: F.concat_ws("-", r["first"].cast("string"), r["last"].cast("string"))), ",").alias("removed"),
-        F.sha2(F.array_join(kept, "\n"), 256).alias("kept_sha256"),
+        F.sha2(without_runs(empty_if_null(), gone), 256).alias("kept_sha256"),
     )
 
 

@@ -26,6 +26,9 @@ from noticeworks.llm.common import SPACE, empty_if_null, table
 SCORES = ("symbol_share", "upper_share", "repeat_share", "dup_line_share", "mean_word_chars", "short_line_share")
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_n_upper", "_n_letters", "_n_lines", "_n_short_lines")
+
+
 @dataclass(frozen=True)
 class RiskControl:
     """``max_false_rejection``: allowed share of good documents that one rule rejects in a
@@ -57,8 +60,10 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, _n_upper, _n_letters,
     _n_lines, _n_short_lines. A null text counts as empty. Everything stays within the row: no
-    shuffle. Windows are compared by 64-bit hashes of their words' hashes.
+    shuffle. Windows are compared by 64-bit hashes of their words' hashes. Columns of docs with
+    these names are replaced.
     """
+    docs = docs.drop(*MEASURES)
     t = empty_if_null(text)
     words = F.filter(F.split(t, f"{SPACE}+"), lambda w: w != "")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -200,6 +205,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", control: Ri
     What reaches the driver is one row of counts per labelled stratum.
     """
     control = control or RiskControl()
+    docs = docs.drop("base_failed", "broken", "kept")
     measured = with_measures(docs)
     known = labels.select("doc_id").distinct()
     if known.count() <= control.max_broadcast_labels:

@@ -118,7 +118,7 @@ def redact_secrets(docs: DataFrame, **options) -> DataFrame:
 
     Null texts and texts without spans stay as they are. Overlapping spans are replaced as one.
     """
-    spans = find_secrets(docs, **options).where(F.size("spans") > 0).select("_key", "spans").dropDuplicates(["_key"])
+    spans = find_secrets(docs, **options).where(F.size("spans") > 0).select("_key", F.col("spans").alias("_spans")).dropDuplicates(["_key"])
     names = F.array(*(F.lit(f"[{k}]") for k in ORDER))
 
     def cut(state: Column, s: Column) -> Column:
@@ -129,9 +129,9 @@ def redact_secrets(docs: DataFrame, **options) -> DataFrame:
 
     begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("end"))
     tail = F.length("text")
-    redacted = F.aggregate("spans", begin, cut, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["end"] + 1, tail)))
-    joined = docs.withColumn("_key", row_key()).join(spans, "_key", "left").withColumn("_new", F.when(F.col("spans").isNotNull(), redacted).otherwise(F.col("text")))
-    changed = {"text": F.col("_new"), "n_chars": F.when(F.col("spans").isNotNull(), F.length("_new").cast("long")).otherwise(F.col("n_chars"))}
+    redacted = F.aggregate("_spans", begin, cut, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["end"] + 1, tail)))
+    joined = docs.withColumn("_key", row_key()).join(spans, "_key", "left").withColumn("_new", F.when(F.col("_spans").isNotNull(), redacted).otherwise(F.col("text")))
+    changed = {"text": F.col("_new"), "n_chars": F.when(F.col("_spans").isNotNull(), F.length("_new").cast("long")).otherwise(F.col("n_chars"))}
     return joined.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 

@@ -82,7 +82,9 @@ def with_fingerprints(docs: DataFrame, text: str = "text", options: Syncmers | N
     """docs with ``fingerprint`` (hex) and ``anchors``: array of (position, hash) by position.
 
     Null texts count as empty: an empty fingerprint and no anchors. Each row for itself.
+    Columns of docs with these names are replaced.
     """
+    docs = docs.drop("fingerprint", "anchors")
     size = (options or Syncmers()).size
 
     @F.pandas_udf("struct<fingerprint:string,anchors:array<struct<position:bigint,hash:bigint>>>")

@@ -37,6 +37,7 @@ def test_base_secrets(spark, corpus, clashing, nothing):
         keyed[r.doc_id].add(",".join(spans_of(r.text)))
     assert len(rows) == corpus.count() + len(tricky) and all(r.s in keyed[r.doc_id] for r in rows)
     assert secrets.find_secrets(nothing).count() == 0
+    assert secrets.redact_secrets(clashing).columns == clashing.columns and secrets.redact_secrets(clashing).where("text LIKE '%abcdefgh1%'").count() == 0
 
 
 def test_ownership_separates_copies_from_live_ones(spark):
