@@ -14,6 +14,9 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import os
+import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -21,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,44 +34,86 @@ from noticeworks.llm.sharding import numbered
 CAPACITY = 4096
 #: Id at the end of each document.
 END = 1
-#: Distinct words whose ids a Python worker remembers; beyond, it begins anew.
-MEMORY = 1_000_000
+#: Distinct words whose ids a Python worker remembers, and as many of its cuts; beyond, it begins anew.
+MEMORY = 800_000
+#: Characters of text that are in words at once.
+BLOCK = 2_000_000
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
+#: Fixed: how this tokenizer cuts words, for letters below U+0250, whose case and normal form
+#: are the same everywhere; words with others are encoded whole.
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_ASCII_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0da-z0-9]+").findall
+_SIMPLE = regex.compile(r"[\x00-\u024f]*").fullmatch
+
+
 class WordIds:
     """Ids of texts under a tokenizer that drops white space and ignores case.
 
-    Its words never cross ASCII white space and don't depend on their neighbours, so the ids
-    of a text are those of its pieces between white space, one after another; pieces that
-    occur again needn't be encoded again.
+    What it merges never crosses ASCII white space nor its own cuts within a word, and doesn't
+    depend on neighbours, so the ids of a text are those of its cuts, one after another. Words
+    and cuts that occur again needn't be encoded again; a Python worker keeps them for its
+    next tasks.
     """
 
+    _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[bytes, bytes] = {}
-
-    _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+        self.words: dict[bytes, bytes] = {}
+        self.cuts: dict[str, bytes] = {}
+
+    @staticmethod
+    def cut(word: bytes) -> list[str]:
+        if word.isalpha():
+            return [word.decode()]
+        text = word.decode("utf-8", "replace")
+        # marks of special tokens are looked for before any cut
+        if word.isascii() and b"<|" not in word:
+            return _ASCII_CUT(text)
+        return _CUT.findall(text.lower()) if "<|" not in text and _SIMPLE(text) else [text]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned little-endian 32-bit numbers."""
-        split = [t.encode("utf-8", "surrogatepass").translate(self._LOWER).split() for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > MEMORY:
-            known.clear()
-            new = list({w for words in split for w in words})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            encoded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded, strict=True))
-        return [b"".join([known[w] for w in words]) for words in split]
+        if len(self.words) > MEMORY:
+            self.words.clear()
+        if len(self.cuts) > MEMORY:
+            self.cuts.clear()
+        words_of, cuts, cut = self.words.get, self.cuts, self.cut
+        rows, new = [], {}
+        for text in texts:
+            words = text.encode("utf-8", "surrogatepass").translate(self._LOWER).split()
+            ids = list(map(words_of, words))
+            gaps = [(i, words[i]) for i, x in enumerate(ids) if x is None] if None in ids else ()
+            new.update(dict.fromkeys(w for _, w in gaps))
+            rows.append((ids, gaps))
+        for w in new:
+            new[w] = cut(w)
+        fresh = [c for c in dict.fromkeys(itertools.chain.from_iterable(new.values())) if c not in cuts]
+        for at in range(0, len(fresh), 20_000):
+            part = fresh[at : at + 20_000]
+            encoded = (e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False))
+            cuts.update((c, struct.pack(f"<{len(ids)}I", *ids)) for c, ids in zip(part, encoded, strict=True))
+        for w, parts in new.items():
+            new[w] = cuts[parts[0]] if len(parts) == 1 else b"".join([cuts[c] for c in parts])
+        self.words.update(new)
+        for ids, gaps in rows:
+            for i, w in gaps:
+                ids[i] = new[w]
+        return [b"".join(ids) for ids, _ in rows]
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -77,15 +123,17 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, doc_id: str
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(path)
+        words = word_ids(path)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc, ids in zip(batch["doc_id"], words.encode(batch["text"].tolist()), strict=True):
-                ids += end
-                for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[start : start + 4 * capacity]
-                    rows.append((None if pd.isna(doc) else int(doc), piece, start // 4, len(part) // 4, zlib.crc32(part)))
+            sizes = batch["text"].str.len().cumsum() // BLOCK
+            for _, block in batch.groupby(sizes, sort=False):
+                for doc, ids in zip(block["doc_id"], words.encode(block["text"].tolist()), strict=True):
+                    ids += end
+                    for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[start : start + 4 * capacity]
+                        rows.append((None if pd.isna(doc) else int(doc), piece, start // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInPandas(
@@ -169,7 +217,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     blocks = [(*r, block) for r in rows for block in range(r[1] // step[r[0]], (r[2] - 1) // step[r[0]] + 1)]
     ranges = spark.createDataFrame(blocks, "_size long, _from long, _to long, _many long, _first long, _offset long, _block long")
     steps = spark.createDataFrame(list(step.items()), "_length long, _step long")
-    parts = max(16, 4 * partitions(spark))
+    parts = max(16, partitions(spark))
     ranked = numbered(pieces, "length", [F.col("doc_id"), F.col("piece"), F.col("ids_crc32")], F.struct("doc_id", "piece"), parts, "_nth")
     ranked = ranked.join(F.broadcast(steps), F.col("length") == F.col("_length"))
     here = (F.col("length") == F.col("_size")) & (F.floor(F.col("_nth") / F.col("_step")) == F.col("_block"))

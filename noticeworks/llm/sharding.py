@@ -66,8 +66,8 @@ def numbered(df: DataFrame, group: str, order: list[Column], spread: Column, par
     """Rows numbered from 0 without gaps within each group, however large the groups are.
 
     Each group is split in ``parts`` by ``spread``; parts are numbered on their own and start
-    where the parts before them end. Only one count per group and part is broadcast: the
-    caller's groups are bounded (shards, or lengths up to a sequence's).
+    where the parts before them end. The counts meet the rows by group and part, as which the
+    rows are dealt out already.
     """
     split = df.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int"))
     counts = split.groupBy(group, "_part").agg(F.count("*").alias("_n"))
@@ -75,7 +75,7 @@ def numbered(df: DataFrame, group: str, order: list[Column], spread: Column, par
     starts = counts.select(F.col(group).alias("_group"), F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     within = W.partitionBy(group, "_part").orderBy(*order)
     ranked = split.withColumn("_rank", F.row_number().over(within) - 1)
-    joined = ranked.join(F.broadcast(starts), (F.col(group) == F.col("_group")) & (F.col("_part") == F.col("_of")))
+    joined = ranked.join(starts, (F.col(group) == F.col("_group")) & (F.col("_part") == F.col("_of")))
     return joined.withColumn(name, F.col("_start") + F.col("_rank")).drop("_part", "_rank", "_group", "_of", "_start")
 
 
@@ -86,7 +86,7 @@ def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     go to the shard of key 0. A null text has size 1. Equal rows share a shard and get slots
     of their own. An empty table gives an empty result; other columns are ignored.
     """
-    parts = max(16, 4 * partitions(docs.sparkSession))
+    parts = max(16, partitions(docs.sparkSession))
     rows = docs.select(
         F.col(key).alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
