@@ -31,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_winnowing": lines.OP3_SQL,
         "op4_ngram_jaccard": jaccard.OP4_SQL,
         "op6_chat_format": chat.OP6_SQL,
+        "op9_risk_controlled_quality": quality.OP9_SQL,
     }

@@ -230,3 +230,52 @@ def op9_risk_controlled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     done = judge(docs, table(spark, sf_dir, "labels"))
     return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
+
+
+def _sql(control: RiskControl | None = None) -> str:
+    """The same by DuckDB: the binomial tails are summed in logarithms there as well."""
+    control = control or RiskControl()
+    p = control.max_false_rejection
+    grid = ", ".join(f"('{s}', {i}, CAST('{c!r}' AS DOUBLE))" for s in SCORES for i, c in enumerate(control.cutoffs(s)))
+    parts = {
+        "symbol_share": ("n_symbols", "word_chars"),
+        "upper_share": ("n_upper", "n_letters"),
+        "repeat_share": ("n_repeat_words", "n_words"),
+        "dup_line_share": ("n_dup_lines", "n_lines"),
+        "mean_word_chars": ("word_chars", "n_words"),
+        "short_line_share": ("n_short_lines", "n_lines"),
+    }
+    scored = " UNION ALL ".join(
+        f"SELECT doc_id, lang, n, base_failed, '{s}' AS score, {i} AS place, CASE WHEN {b} = 0 THEN 0 ELSE CAST({a} AS DOUBLE) / {b} END AS x FROM m" for i, (s, (a, b)) in enumerate(parts.items())
+    )
+    return rf"""
+WITH w AS (SELECT doc_id, lang, row_number() OVER () AS n, coalesce(text, '') AS t,
+   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+   [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS l FROM documents),
+g AS (SELECT n, i, w[i:i+4] AS gram FROM (SELECT n, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+r AS (SELECT n, count(DISTINCT place) AS n_repeat_words FROM
+   (SELECT n, unnest(range(i, i + 5)) AS place FROM (SELECT n, i, count(*) OVER (PARTITION BY n, gram) AS k FROM g) WHERE k > 1) GROUP BY n),
+c AS (SELECT doc_id, lang, n, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
+   coalesce(n_repeat_words, 0) AS n_repeat_words, length(t) - length(regexp_replace(t, '[A-Z]+', '', 'g')) AS n_upper,
+   length(t) - length(regexp_replace(t, '[A-Za-z]+', '', 'g')) AS n_letters, len(l) AS n_lines, len([x for x in l if length(x) < 20]) AS n_short_lines
+   FROM w LEFT JOIN r USING (n)),
+m AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c),
+s AS ({scored}),
+q AS (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id HAVING min(quality) IS NOT NULL),
+h AS (SELECT lang, score, x, quality FROM s JOIN q USING (doc_id) WHERE NOT base_failed),
+grid(score, i, cutoff) AS (VALUES {grid}),
+k AS (SELECT lang, score, i, cutoff, count(*) FILTER (quality = 1) AS n, count(*) FILTER (quality = 1 AND x > cutoff) AS lost,
+   count(*) FILTER (quality = 0 AND x > cutoff) AS caught FROM h JOIN grid USING (score) GROUP BY ALL),
+b AS (SELECT *, CASE WHEN n = 0 OR lost >= n THEN 1 ELSE list_sum([exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+   + j * ln({p!r}) + (n - j) * ln(1 - {p!r})) for j in range(0, lost + 1)]) END
+   > {control.level!r} / ((SELECT count(DISTINCT coalesce('=' || lang, '')) FROM h) * {len(SCORES)}) AS failed FROM k),
+f AS (SELECT *, bool_or(failed) OVER (PARTITION BY lang, score ORDER BY i) AS stopped, caught - {control.good_cost!r} * lost AS gain FROM b),
+best AS (SELECT lang, score, arg_max(cutoff, (gain, -i)) AS cutoff FROM f WHERE NOT stopped AND gain > 0 GROUP BY lang, score),
+o AS (SELECT s.n, string_agg(score, ',' ORDER BY place) AS broken FROM s JOIN best USING (score)
+   WHERE s.lang IS NOT DISTINCT FROM best.lang AND x > cutoff GROUP BY s.n)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+   NOT base_failed AND broken IS NULL AS kept, coalesce(broken, '') AS broken FROM m LEFT JOIN o USING (n)"""
+
+
+OP9_SQL = _sql()

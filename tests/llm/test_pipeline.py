@@ -56,7 +56,7 @@ def test_run_is_its_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == spark.read.parquet(f"{folder}/best_fit_packing").count()
 
 
-@pytest.mark.parametrize("name", ["op1_secret_ownership", "op2_url_filter", "op3_line_winnowing", "op6_chat_format"])
+@pytest.mark.parametrize("name", ["op1_secret_ownership", "op2_url_filter", "op3_line_winnowing", "op6_chat_format", "op9_risk_controlled_quality"])
 def test_oracles(spark, name):
     import duckdb
 
