@@ -136,8 +136,8 @@ def compare_with_edits(docs: DataFrame, options: Syncmers | None = None) -> Data
     """
     size = (options or Syncmers()).size
     dealt = _in_order(docs)
-    n = 2 * partitions(docs.sparkSession)
-    ordered = dealt.repartition(n, "_bucket").sortWithinPartitions(F.col("_bucket"), F.col("_guest"), F.col("doc_id").desc_nulls_last(), F.col("_key").desc())
+    n = 2 * partitions(docs.sparkSession) + 1  # ranges and the null doc_ids
+    ordered = dealt.repartitionById(n, F.col("_bucket").cast("int")).sortWithinPartitions(F.col("_bucket"), F.col("_guest"), F.col("doc_id").desc_nulls_last(), F.col("_key").desc())
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # (bucket, doc_id, text, sketch)
