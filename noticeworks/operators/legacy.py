@@ -10,6 +10,7 @@ from noticeworks.functions.codes import longest_prefix
 from noticeworks.functions.money import share
 from noticeworks.functions.text import fold_word, has_word, tokens
 from noticeworks.functions.timex import month_label
+from noticeworks.session import cut
 
 OTHER = "Other"
 
@@ -123,29 +124,25 @@ def similarities(pairs: DataFrame, weights: DataFrame) -> DataFrame:
     return pairs.join(a, ["block", "a"]).join(b, ["block", "b", "token"]).groupBy("block", "a", "b").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 12).alias("similarity"))
 
 
-def link_groups(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 30) -> DataFrame:
+def link_groups(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, root (smallest reachable) of each linked record, by propagating least labels.
 
-    Links never leave a block and blocks are small, so labels settle in a few rounds; the
-    loop ends when none changes and fails if ``rounds`` aren't enough. Lineage is cut by
-    checkpoints in the session's checkpoint folder where it has one, else by Spark's cache.
+    Each round takes the least label of the neighbours and then that label's own label, so
+    chains shorten by half; labels only fall, so the loop ends, when none changes. Null ends
+    are no links; repeated links count once.
     """
-    both = links.select(F.col(a).alias("u"), F.col(b).alias("v")).unionByName(links.select(F.col(b).alias("u"), F.col(a).alias("v"))).distinct()
-    spark = links.sparkSession
-    cut = (lambda df: df.checkpoint()) if spark.sparkContext.getCheckpointDir() else (lambda df: df.persist())
-    both = cut(both)
+    links = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
+    both = cut(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("root")))
-    for _ in range(rounds):
+    while True:
         seen = both.join(labels.select(F.col("u").alias("v"), F.col("root").alias("near")), "v").groupBy("u").agg(F.min("near").alias("near"))
         step = labels.join(seen, "u").select("u", F.least("root", "near").alias("root"), F.col("root").alias("old"))
         # the root's own label is at least as small
         jump = step.join(labels.select(F.col("u").alias("root"), F.col("root").alias("far")), "root", "left").select("u", F.least("root", "far").alias("root"), "old")
         jump = cut(jump)
-        changed = jump.where("root <> old").limit(1).count()
         labels = jump.select("u", "root")
-        if not changed:
+        if jump.where("root <> old").isEmpty():
             return labels.select(F.col("u").alias("node"), "root")
-    raise ValueError(f"labels still change after {rounds} rounds")
 
 
 def numbered_groups(groups: DataFrame, root: str = "root") -> DataFrame:
@@ -155,7 +152,7 @@ def numbered_groups(groups: DataFrame, root: str = "root") -> DataFrame:
     before it, of which only a count each is broadcast.
     """
     roots = groups.select(root).distinct().repartitionByRange(root).withColumn("_range", F.spark_partition_id())
-    roots = roots.persist()  # ranges are drawn from a sample; one draw serves both uses
+    roots = cut(roots)  # ranges are drawn from a sample; one draw serves both uses
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     starts = roots.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     within = W.partitionBy("_range").orderBy(root)

@@ -7,6 +7,7 @@ are parsed in tasks, a file at a time; what can't be parsed becomes a located re
 from __future__ import annotations
 
 import io
+import itertools
 import json
 import math
 import re
@@ -17,8 +18,11 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from noticeworks.session import cut
+
 SIDECAR = ".provenance.json"
 _SIDECAR_SCHEMA = "source string, raw_path string, sha256 string, retrieved_at string, partition string, window_start string, window_end string, version int"
 _ROWS = "path string, member string, member_index int, locator int, kind string, record_id string, deleted_at string, payload_json string, reason string, scope string"
@@ -86,25 +90,62 @@ def _refuse(name: str):
     raise ValueError(name)
 
 
+def parse_json_line(path: str, raw: bytes, number: int) -> tuple:
+    """The line as a record with its payload's keys sorted, a located rejection or a blank."""
+    if not raw.strip():
+        return _row(path, None, None, number, "blank")
+    try:
+        value = json.loads(raw.decode("utf-8"), parse_constant=_refuse, parse_float=_finite)
+        if not isinstance(value, dict):
+            raise TypeError
+        payload = json.dumps(value, sort_keys=True, ensure_ascii=False)
+        payload.encode()
+    except UnicodeEncodeError:
+        return _row(path, None, None, number, "rejection", reason="invalid_unicode_payload", scope="record")
+    except TypeError:
+        return _row(path, None, None, number, "rejection", reason="expected_json_object", scope="record")
+    except (ValueError, RecursionError):
+        return _row(path, None, None, number, "rejection", reason="invalid_json", scope="record")
+    return _row(path, None, None, number, "record", payload=payload)
+
+
 def parse_json_lines(path: str, content: bytes) -> Iterator[tuple]:
     """Lines from 1, blank ones skipped; keys of the payload sorted."""
     for number, raw in enumerate(content.split(b"\n"), 1):
-        if not raw.strip():
-            continue
-        try:
-            value = json.loads(raw.decode("utf-8"), parse_constant=_refuse, parse_float=_finite)
-            if not isinstance(value, dict):
-                raise TypeError
-            payload = json.dumps(value, sort_keys=True, ensure_ascii=False)
-            payload.encode()
-        except UnicodeEncodeError:
-            yield _row(path, None, None, number, "rejection", reason="invalid_unicode_payload", scope="record")
-        except TypeError:
-            yield _row(path, None, None, number, "rejection", reason="expected_json_object", scope="record")
-        except ValueError:
-            yield _row(path, None, None, number, "rejection", reason="invalid_json", scope="record")
-        else:
-            yield _row(path, None, None, number, "record", payload=payload)
+        row = parse_json_line(path, raw, number)
+        if row[4] != "blank":
+            yield row
+
+
+def scan_json_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``scan`` makes of the JSON lines below a folder, for files of any size.
+
+    Files are read in Spark's splits, several tasks to a file. Lines are numbered within their
+    split, and a split starts after the lines of those before it in its file; only one count a
+    split meets the rows. The parsed rows are cut from their lineage first, so that counts and
+    rows come from the same splits.
+    """
+    text = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[jJ][sS][oO][nN][lL]").text(folder)
+    lines = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
+    columns = [x.split()[0] for x in _ROWS.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, number = None, 0
+        for batch in batches:
+            rows, blocks = [], batch["block"].tolist()
+            for path, block, line in zip(batch["path"], blocks, batch["line"], strict=True):
+                number = number + 1 if of == (path, block) else 1
+                of = (path, block)
+                rows.append(parse_json_line(path, bytes(line), number))
+            frame = pd.DataFrame(rows, columns=columns).astype({"member_index": "Int32", "locator": "Int32"})
+            yield frame.assign(block=blocks)
+
+    rows = cut(lines.mapInPandas(run, f"{_ROWS}, block long"))
+    before = W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    counts = rows.groupBy("path", "block").agg(F.max("locator").alias("n"))
+    starts = counts.select("path", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    found = rows.where("kind <> 'blank'").join(starts, ["path", "block"])
+    return found.withColumn("locator", (F.col("locator") + F.col("_start")).cast("int")).select(*columns)
 
 
 def _local(node) -> str:
@@ -195,15 +236,19 @@ def parse_archive(path: str, content: bytes) -> Iterator[tuple]:
 
 
 def scan(files: DataFrame) -> DataFrame:
-    """Records, tombstones and rejections of raw files, located: see _ROWS for the columns."""
+    """Records, tombstones and rejections of raw files, located: see _ROWS for the columns.
+
+    A task parses whole files, as archives and feeds need it; ``scan_json_lines`` splits files.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 kind = path.rpartition(".")[2].lower()
                 parse = {"jsonl": parse_json_lines, "zip": parse_archive}.get(kind, parse_feed)
-                frame = pd.DataFrame(list(parse(path, bytes(content))), columns=[x.split()[0] for x in _ROWS.split(", ")])
-                yield frame.astype({"member_index": "Int32", "locator": "Int32"})
+                for rows in itertools.batched(parse(path, bytes(content)), 10_000):
+                    frame = pd.DataFrame(rows, columns=[x.split()[0] for x in _ROWS.split(", ")])
+                    yield frame.astype({"member_index": "Int32", "locator": "Int32"})
 
     return files.select("path", "content").mapInPandas(run, _ROWS)
 

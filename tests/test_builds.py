@@ -4,7 +4,7 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from noticeworks.operators import builds, intake, state
+from noticeworks.operators import builds, intake, legacy, state
 from noticeworks.operators.contracts import ContractError
 
 AT = datetime(2026, 2, 1, tzinfo=UTC)
@@ -77,3 +77,11 @@ def test_duplicates_are_linked_across_sources(spark):
     df = spark.createDataFrame(rows, "key string, source string, block string, day date, title string")
     got = {r.key: (r.group_no, r.canonical) for r in builds.link_duplicates(df, 7, 0.75).collect()}
     assert got == {k: (1, "1") for k in ("1", "2", "3", "7")}
+
+
+def test_groups_of_long_chains(spark):
+    """A chain of any length is one group; null ends and links to oneself add nothing."""
+    chain = [(f"a{(i * 7) % 401:03}", f"a{((i + 1) * 7) % 401:03}") for i in range(400)]
+    links = spark.createDataFrame([*chain, *chain[:5], ("b2", "b1"), ("c", "c"), ("d", None), (None, None)], "a string, b string")
+    found = {r.node: (r.root, r.group_no) for r in legacy.numbered_groups(legacy.link_groups(links)).collect()}
+    assert found == {f"a{i:03}": ("a000", 1) for i in range(401)} | {"b1": ("b1", 2), "b2": ("b1", 2), "c": ("c", 3)}

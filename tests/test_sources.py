@@ -53,6 +53,23 @@ def test_scan_locates_records_and_rejections(spark, folder):
     assert ("none.zip", None, None, None, "rejection", "invalid_zip") in found and ("bad.xml", None, None, None, "rejection", "invalid_xml") in found
 
 
+def test_split_json_lines_equal_whole_files(spark, folder, tmp_path):
+    """Lines are numbered alike when a file is cut into many splits, blank lines included."""
+    lines = [b"" if i % 7 == 0 else b'{"a": "\xff"}' if i % 11 == 0 else b"[]" if i % 13 == 0 else json.dumps({"n": i, "b": "x" * (i % 90)}).encode() for i in range(3000)]
+    (tmp_path / "a.jsonl").write_bytes(b"\n".join(lines) + b"\r\n")
+    (tmp_path / "b.JSONL").write_bytes(b"\n\n{}")
+    (tmp_path / "c.jsonl").write_bytes(b"")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        for place in (str(tmp_path), folder):
+            want = raw.scan(raw.raw_files(spark, place, ("jsonl",)))
+            got = raw.scan_json_lines(spark, place)
+            assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert raw.scan_json_lines(spark, str(tmp_path)).count() > 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_accounting_and_strict(spark, folder):
     rows = raw.scan(raw.raw_files(spark, folder))
     one = {r["path"].rpartition("/")[2]: r for r in raw.accounting(rows).collect()}["one.atom"]
