@@ -39,17 +39,22 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _itself(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    whole = np.uint64(int.from_bytes(hashlib.blake2b(points.tobytes(), digest_size=8).digest(), "little"))
+    return np.zeros(1, np.int64), np.array([whole])
+
+
 def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Positions and 64-bit hashes of the closed syncmers of a text (k = 24, s = 8).
 
-    A text shorter than k has one anchor, itself, at 0; an empty one has none.
+    A text without a closed syncmer has one anchor, itself, at 0: any shorter than k, and most
+    or some of less than k + 15 code points. Only an empty text has none.
     """
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     if not len(points):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     if len(points) < 24:
-        whole = np.uint64(int.from_bytes(hashlib.blake2b(points.tobytes(), digest_size=8).digest(), "little"))
-        return np.zeros(1, np.int64), np.array([whole])
+        return _itself(points)
     h = (points + np.uint64(1)) * _MIX[0]
     for step, rot in ((1, 13), (2, 17), (4, 29)):  # hashes of 2, 4 and 8 code points
         h = h[:-step] * _MIX[1] + ((h[step:] << np.uint64(rot)) | (h[step:] >> np.uint64(64 - rot))) * _MIX[2]
@@ -60,6 +65,8 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
     least = np.minimum(least[:-1], h[16:])
     first, last = h[: len(least)], h[16:]
     at = np.flatnonzero((first == least) | (last == least))
+    if not len(at):
+        return _itself(points)
     return at, _mixed(first[at] * _MIX[0] + h[at + 8] * _MIX[1] + last[at] * _MIX[2])
 
 
@@ -71,7 +78,7 @@ def sketch(text: str, size: int) -> np.ndarray:
 
 def likeness(a: np.ndarray, b: np.ndarray, size: int) -> float:
     """Estimated share of anchors in common: of the smallest ``size`` hashes of both together,
-    those in both. Two empty sketches are alike."""
+    those in both. Two empty sketches, which only empty texts have, are alike."""
     if not len(a) and not len(b):
         return 1.0
     union = np.union1d(a, b)[:size]
