@@ -34,11 +34,12 @@ from pyspark.sql import functions as F
 from noticeworks.llm.common import table
 
 SPACE = "▁"
-#: Words longer than this are cut there; paths don't cross the cut.
-LONGEST_WORD = 64
-_UNIT = re.compile(f"{SPACE}*[^{SPACE}\n]{{1,{LONGEST_WORD}}}|{SPACE}{{1,{LONGEST_WORD}}}|\n")
-#: More steps than a word has code points, times a constant.
-_STEPS = np.arange(1, LONGEST_WORD + 2).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
+#: Words of any length: no piece crosses from one to the next.
+_UNIT = re.compile(f"{SPACE}*+[^{SPACE}\n]+|{SPACE}+|\n")
+#: Masses up to so many code points before a word's end fit doubles; farther away they are logarithms.
+_NEAR = 64
+#: Steps of a draw that are joined to one array, so that long words don't leave an object a step.
+_JOINED = 1024
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -91,7 +92,7 @@ class Vocabulary:
         self.longest = max(len(self.pieces[i]) for i in normal)
         # a code point spelled in bytes weighs as little as the last piece
         self.spelled_weight = float((len(normal) + offset) ** -power) * self.scale
-        if min(self.spelled_weight, 1.0) ** LONGEST_WORD < 1e-290:
+        if min(self.spelled_weight, 1.0) ** _NEAR < 1e-290:
             raise ValueError("power too large: masses of long words would vanish")
         table: dict[int, tuple[int, float]] = {}
         for i, w in zip(normal, weights, strict=True):
@@ -176,6 +177,7 @@ class Lattice:
         source, size, ids, w = (np.concatenate(x) for x in zip(*found, strict=True))
         # mass of all ways from a position to its word's end, from the shortest rest on
         mass = np.ones(len(points) + 1)
+        log_mass = None
         rest = end[source] - source
         # longer pieces first: they mostly are the likelier ones, and draws look at one after another
         order = np.argsort((rest * len(points) + source) * 128 + (127 - size))
@@ -185,14 +187,24 @@ class Lattice:
         last = size == rest
         starts = np.flatnonzero(np.diff(source, prepend=-1))
         groups = np.searchsorted(starts, cuts)
-        for a, b, i, j in zip(cuts[:-1], cuts[1:], groups[:-1], groups[1:], strict=True):
-            if a < b:
+        for far, (a, b, i, j) in enumerate(zip(cuts[:-1], cuts[1:], groups[:-1], groups[1:], strict=True), 1):
+            if a < b and far > _NEAR:
+                if log_mass is None:
+                    log_mass, log_w = np.log(mass), np.log(w)
+                value = log_w[a:b] + np.where(last[a:b], 0.0, log_mass[target[a:b]])
+                log_mass[source[starts[i:j]]] = np.logaddexp.reduceat(value, starts[i:j] - a)
+            elif a < b:
                 value = w[a:b] * mass[target[a:b]]
                 value[last[a:b]] = w[a:b][last[a:b]]
                 mass[source[starts[i:j]]] = np.add.reduceat(value, starts[i:j] - a)
         p = w * np.where(last, 1.0, mass[target]) / mass[source]
-        total = np.cumsum(p)
         past = np.append(starts[1:], len(p))
+        if log_mass is not None:
+            a, i = cuts[_NEAR], groups[_NEAR]
+            away = np.exp(log_w[a:] + np.where(last[a:], 0.0, log_mass[target[a:]]) - log_mass[source[a:]])
+            # exactly 1 for a lone edge, however far the word's end
+            p[a:] = away / np.repeat(np.add.reduceat(away, starts[i:] - a), (past - starts)[i:])
+        total = np.cumsum(p)
         within = total - np.repeat(total[starts] - p[starts], past - starts)
         within[past - 1] = 2.0
         # where each position's edges begin and end; every position has one
@@ -206,11 +218,11 @@ class Lattice:
     def draw(self, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Edges of a path from each position to its word's end, position after position, and
         how many each. Keys are 64-bit seeds, one for each."""
-        steps, who = [], np.arange(len(at))
+        steps, joined, who = [], [], np.arange(len(at))
         taken = np.zeros(len(at), np.int64)
         step = 0
         while len(who):
-            u = _uniform(keys + _STEPS[step])
+            u = _uniform(keys + np.uint64((step + 1) * int(_C) & 0xFFFFFFFFFFFFFFFF))
             e = self.first[at]
             behind = np.flatnonzero(self.bounds[e] <= u)
             while len(behind):
@@ -221,9 +233,15 @@ class Lattice:
             go = self.target[e] < self.word_end[self.source[e]]
             who, at, keys = who[go], self.target[e][go], keys[go]
             step += 1
+            if len(steps) == _JOINED:
+                sizes = [len(x) for x, _ in steps]
+                joined.append((*(np.concatenate(x) for x in zip(*steps, strict=True)), np.repeat(np.arange(step - _JOINED, step), sizes)))
+                steps = []
         place = np.cumsum(taken) - taken
         out = np.empty(int(taken.sum()), np.int64)
-        for i, (who, e) in enumerate(steps):
+        for who, e, i in joined:
+            out[place[who] + i] = e
+        for i, (who, e) in enumerate(steps, _JOINED * len(joined)):
             out[place[who] + i] = e
         return out, taken
 
