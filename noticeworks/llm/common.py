@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _folder_of_tests() -> str:
+    return tempfile.mkdtemp(prefix="noticeworks-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where the session has none, one for tests."""
+    """The folder of spark.checkpoint.dir. Only in local mode, where all tasks share a machine,
+    a session may have none: then one for tests is made. On a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    return folder or "/tmp/checkpoints"
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder or _folder_of_tests()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -29,6 +39,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of df has it: columns may have any name."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        found.append(name)
+    return found
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

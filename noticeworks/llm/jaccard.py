@@ -1,15 +1,21 @@
 """N-gram Jaccard join by a token-group matrix.
 
-Each document is the set of its distinct word shingles. Equal sets are one. Similar sets are
-partitioned into groups: sets that share minhash bands are compared with the most typical set
-of the band, those linked to it make a cluster, and clusters are cut into groups of bounded
-size; all other sets are groups of their own. The matrix stores the union of each group's
-tokens, as far as they can decide, with the least place of each token in its sets. A token's
-place bounds the overlap of a query group with a group: sets in the order from rare to common
-tokens, whose first common token is in places i and j, overlap in no more than what follows.
-Only pairs of groups of different clusters whose bound reaches the threshold at several common
-tokens are opened, and their sets compared, by bitmaps first and then token by token. Every link between sets of different clusters is found
-that way, sets of one cluster are linked already, so the components are exact.
+Each document is the set of its distinct word shingles; equal sets are one. Before any link is
+known, all sets are partitioned into groups of at most 64: those of a size class with the same
+smallest minhash, which similar sets mostly share, stand together, and sets that share it with
+none are pooled by its first bits. The matrix stores the union of each group's tokens, as far as
+they can decide (a set's rarest ones, its prefix), each with the bits of the members that have
+it and the least and greatest size they can overlap with. Each set is then a query: the tokens
+it has in common with a group's union, of sizes that allow a link, bound its overlap with every
+member, and only groups that reach the bound are opened. In an opened group the bits are added
+up, and members with enough tokens in common are compared, by bitmaps first and then token by
+token.
+
+A group of copies with edits may hold a third of all sets, and comparing all of its pairs would
+be quadratic. So sets that share minhash bands meet the most typical set of the band first, and
+those linked to it form a cluster. Sets of one cluster are linked already, so the matrix serves
+only pairs of different clusters, and tokens that a single cluster has are left out of it. All
+links between sets of different clusters are found that way, so the components are exact.
 
 Shingles are 64-bit hashes of their words. Only their order needs frequencies: counts of all
 shingles of all documents in 2**18 hash buckets, a table of fixed size.
@@ -17,6 +23,7 @@ shingles of all documents in 2**18 hash buckets, a table of fixed size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,17 +31,20 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import fresh, row_key, table, written
+from noticeworks.llm.common import fresh, row_key, table, unused, written
 from noticeworks.llm.components import components
 
 BITS = 18
 BUCKETS = 1 << BITS
 _BUCKET = np.uint64(64 - BITS)
-#: Common tokens at least that a pair of groups must show in its sets' prefixes to be opened,
-#: where all its sets are large enough to have them; prefixes are longer by as many, less one.
+#: Common tokens at least that a set must show with a group in its prefix to open it, where
+#: all sets are large enough to have them; prefixes are longer by as many, less one.
 SHOWN, LARGE = 3, 30
+#: Members of a group: one bit each of a long.
+GROUP = 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Keys up to this number are broadcast to fetch texts; more are joined by a shuffle.
@@ -43,12 +53,13 @@ MAX_BROADCAST_KEYS = 100_000
 
 @dataclass(frozen=True)
 class Threshold:
-    """Shingles of ``words`` words; two sets link when den * intersection >= num * union."""
+    """Shingles of ``words`` words; two sets link when den * intersection >= num * union. Groups
+    have at most ``group`` members, 64 or less."""
 
     words: int = 5
     num: int = 80
     den: int = 100
-    group: int = 64
+    group: int = GROUP
 
 
 class _Words(dict):
@@ -96,10 +107,11 @@ def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, rule: Threshold) -> DataFrame:
-    """doc, _key, n (shingles), sid (the set's 128-bit hash, null for none), bands, score, prefix.
+    """doc, _key, n (shingles), sid (the set's 128-bit hash, null for none), bands, score, least,
+    prefix.
 
     ``prefix``: the tokens that can be the first common ones with a linked set, rarest first.
-    ``bands``: four pairs of minhashes. ``score``: how common its rarest tokens are; in a group
+    ``bands``: four pairs of minhashes; ``least`` is the first of them. ``score``: how common its rarest tokens are; in a group
     of copies with edits the one nearest to the original scores highest.
     """
     counts = docs.sparkSession.sparkContext.broadcast(bucket_counts(docs, rule.words))
@@ -114,7 +126,7 @@ def document_sets(docs: DataFrame, rule: Threshold) -> DataFrame:
                 tokens = shingle_set(text, words, known)
                 n = len(tokens)
                 if not n:
-                    rows.append((doc, key, 0, None, [], 0.0, []))
+                    rows.append((doc, key, 0, None, [], 0.0, 0, []))
                     continue
                 sid = xxhash.xxh3_128_hexdigest(tokens.tobytes())
                 least = (tokens[None, :] * _ODD[:, None]).min(axis=1)
@@ -122,11 +134,11 @@ def document_sets(docs: DataFrame, rule: Threshold) -> DataFrame:
                 often = freq[(tokens >> _BUCKET).astype(np.int64)]
                 length = n - -(-num * n // den) + (SHOWN if n >= LARGE else 1)
                 order = np.lexsort((tokens, often))[:length]
-                rows.append((doc, key, n, sid, bands, float(np.log2(often[order]).mean()), tokens[order].view(np.int64).tolist()))
-            yield pd.DataFrame(rows, columns=["doc", "_key", "n", "sid", "bands", "score", "prefix"]).astype({"doc": "Int64"})
+                rows.append((doc, key, n, sid, bands, float(np.log2(often[order]).mean()), int(least[:1].view(np.int64)[0]), tokens[order].view(np.int64).tolist()))
+            yield pd.DataFrame(rows, columns=["doc", "_key", "n", "sid", "bands", "score", "least", "prefix"]).astype({"doc": "Int64"})
 
     return docs.select(F.col("doc_id").alias("doc"), row_key().alias("_key"), "text").mapInPandas(
-        sets, "doc long, _key string, n long, sid string, bands array<string>, score double, prefix array<bigint>"
+        sets, "doc long, _key string, n long, sid string, bands array<string>, score double, least long, prefix array<bigint>"
     )
 
 
@@ -224,44 +236,89 @@ def clusters(sets: DataFrame, docs: DataFrame, rule: Threshold) -> tuple[DataFra
     return links, components(links).select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
 
 
-def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
-    """Pairs of sids (a, b) of different clusters whose groups' bound reaches the threshold.
+def grouped(sets: DataFrame, rule: Threshold) -> DataFrame:
+    """sid, group, member (its place there, from 0): groups of similar sets, of bounded size.
 
-    ``sets``: sid, n, prefix, cluster, part (of the cluster; with the cluster it is the group),
-    alone. A link's smaller set is on the x side: only places from which it can still overlap
-    enough with a set as large as itself count, the larger set's from which it can with one as
-    small as the threshold lets it be.
+    ``sets``: sid, n, least (a minhash). Sizes of one class are within the threshold's ratio.
+    Counts by class and minhash are combined before they are shuffled and joined back by a join
+    that adaptive execution can split; sets are numbered within equal parts of a key.
+    """
+    size = F.floor(F.log(F.col("n").cast("double")) / math.log(rule.den / rule.num + 1e-9)).cast("int")
+    keyed = sets.select("sid", size.alias("class"), "least")
+    counts = keyed.groupBy("class", "least").agg(F.count("*").alias("k"))
+    lone = counts.where("k = 1").groupBy("class").agg(F.count("*").alias("alone"))
+    counts = counts.join(F.broadcast(lone), "class", "left")  # a row per size class: their number is a logarithm
+    half = rule.group // 2
+    pools = F.greatest(F.lit(1), F.ceil(F.col("alone") / half))
+    pooled = F.concat_ws("/", F.lit("pool"), "class", F.pmod(F.xxhash64("least"), pools))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("k") / half))
+    spread = F.concat_ws("/", "class", "least", F.pmod(F.xxhash64("sid"), parts))
+    counts = counts.select(F.col("class").alias("_class"), F.col("least").alias("_least"), "k", "alone")
+    placed = keyed.join(counts, (F.col("class") == F.col("_class")) & (F.col("least") == F.col("_least"))).select("sid", F.when(F.col("k") == 1, pooled).otherwise(spread).alias("part"))
+    # parts hold half a group's sets on average and rarely more than a group; what is beyond starts another
+    nth = F.row_number().over(W.partitionBy("part").orderBy("sid")) - 1
+    numbered = placed.select("sid", "part", nth.alias("nth"))
+    return numbered.select("sid", F.xxhash64("part", F.floor(F.col("nth") / rule.group)).alias("group"), (F.col("nth") % rule.group).cast("int").alias("member"))
+
+
+def token_postings(sets: DataFrame) -> DataFrame:
+    """A row per set and token of its prefix: sid, cluster, n, group, member, reach, token; only
+    tokens that more than one cluster has."""
+    postings = sets.select("sid", "cluster", F.col("n").cast("long").alias("n"), "group", "member", F.posexplode("prefix").alias("i", "token"))
+    met = postings.groupBy("token").agg(F.min("cluster").alias("c"), F.max("cluster").alias("d")).where("c <> d")
+    return postings.join(met.select((F.col("token") + F.lit(0)).alias("token")), "token", "left_semi")
+
+
+def token_group_matrix(postings: DataFrame) -> DataFrame:
+    """A row per token and group that has it: token, group, low and high (sizes of the members
+    that have it), reach (the largest set that they can overlap enough with) and members (their bits)."""
+    bit = F.expr("shiftleft(1L, member)")
+    return postings.groupBy("token", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("reach"), F.bit_or(bit).alias("members"))
+
+
+def opened_groups(postings: DataFrame, matrix: DataFrame, rule: Threshold) -> DataFrame:
+    """Queries and the groups that their bound opens: sid, cluster, n, group, hits (bits of the
+    members with enough tokens in common).
+
+    The smaller set of a link is the query (at the same size both are), so only places in its
+    prefix count from which it can still overlap enough with a set as large as itself.
     """
     num, den = rule.num, rule.den
-    postings = sets.select("cluster", "part", "alone", F.col("n").cast("long").alias("n"), F.posexplode("prefix").alias("i", "token"))
+    q = postings.where("reach >= n").select("token", "sid", "cluster", "n", "reach")
+    m = matrix.select(F.col("token").alias("_token"), "group", "low", "high", F.col("reach").alias("_reach"), "members")
+    bound = (F.col("n") <= F.col("high")) & (F.col("n") <= F.col("_reach")) & (F.col("low") <= F.col("reach")) & (F.col("n") * den >= F.col("low") * num)
+    met = q.join(m, (F.col("token") == F.col("_token")) & bound)
+    shown = met.groupBy("sid", "cluster", "n", "group").agg(F.count("*").alias("shown"), F.collect_list("members").alias("masks"))
+    shown = shown.where((F.col("shown") >= SHOWN) | (F.col("n") < LARGE))  # a query isn't larger than what it links with
+    none = F.lit(0).cast("long")
+    # bits seen at least once, twice, three times: as many as SHOWN
+    begin = F.struct(none.alias("once"), none.alias("twice"), none.alias("thrice"))
+    seen = F.aggregate(
+        "masks",
+        begin,
+        lambda a, x: F.struct(
+            a["once"].bitwiseOR(x).alias("once"), a["twice"].bitwiseOR(a["once"].bitwiseAND(x)).alias("twice"), a["thrice"].bitwiseOR(a["twice"].bitwiseAND(x)).alias("thrice")
+        ),
+    )
+    counted = shown.select("sid", "cluster", "n", "group", seen.alias("seen"))
+    hits = F.when(F.col("n") < LARGE, F.col("seen.once")).otherwise(F.col("seen.thrice"))
+    return counted.select("sid", "cluster", "n", "group", hits.alias("hits")).where("hits <> 0")
+
+
+def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs of sids (a, b) of different clusters from opened groups. ``sets``: sid, n, prefix,
+    cluster, group, member."""
+    num, den = rule.num, rule.den
     # the largest set that can overlap enough when one of its first common tokens is at i
     spare = F.when(F.col("n") >= LARGE, SHOWN - 1).otherwise(0)
     reach = F.floor(((F.col("n") - F.col("i") + spare) * (num + den)) / num).cast("long") - F.col("n")
-    postings = postings.withColumn("reach", reach)
-
-    def matrix(rows: DataFrame) -> DataFrame:
-        single = rows.where("alone").select("token", "cluster", "part", F.col("n").alias("low"), F.col("n").alias("high"), "reach")
-        joint = rows.where("NOT alone").groupBy("token", "cluster", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("reach"))
-        return single.unionByName(joint)
-
-    x = matrix(postings.where("reach >= n"))
-    y = matrix(postings)
-    x, y = (m.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("cluster", "part", "low", "high", "reach"))) for m, s in ((x, "x"), (y, "y")))
-    bound = (
-        (F.col("cluster_x") != F.col("cluster_y"))
-        & (F.col("low_x") <= F.col("high_y"))
-        & (F.col("low_x") <= F.col("reach_y"))
-        & (F.col("low_y") <= F.col("reach_x"))
-        & (F.col("high_x") * den >= F.col("low_y") * num)
-    )
-    met = x.join(y, (x["token"] == y["token"]) & bound).select("cluster_x", "part_x", "cluster_y", "part_y", F.least("low_x", "low_y").alias("low"))
-    shown = met.groupBy("cluster_x", "part_x", "cluster_y", "part_y").agg(F.count("*").alias("shown"), F.min("low").alias("low"))
-    opened = shown.where((F.col("shown") >= SHOWN) | (F.col("low") < LARGE)).drop("shown", "low")
-    member = sets.select("sid", "n", "cluster", "part")
-    for s in ("x", "y"):
-        opened = opened.join(member.select(F.col("cluster").alias(f"cluster_{s}"), F.col("part").alias(f"part_{s}"), F.col("sid").alias(s), F.col("n").alias(f"n_{s}")), [f"cluster_{s}", f"part_{s}"])
-    opened = opened.where(_compatible(F.col("n_x"), F.col("n_y"), rule))
-    return opened.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    postings = token_postings(sets).withColumn("reach", reach).drop("i")
+    opened = opened_groups(postings, token_group_matrix(postings), rule)
+    places = F.filter(F.sequence(F.lit(0), F.lit(rule.group - 1)), lambda i: F.getbit("hits", i) == 1)
+    hit = opened.select(F.col("sid").alias("x"), F.col("cluster").alias("cluster_x"), F.col("n").alias("n_x"), "group", F.explode(places).alias("member"))
+    member = sets.select("group", "member", F.col("sid").alias("y"), F.col("cluster").alias("cluster_y"), F.col("n").alias("n_y"))
+    pairs = hit.join(member, ["group", "member"]).where("cluster_x <> cluster_y AND n_x <= n_y").where(_compatible(F.col("n_x"), F.col("n_y"), rule))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def similar_components(docs: DataFrame, rule: Threshold | None = None) -> DataFrame:
@@ -277,15 +334,13 @@ def similar_components(docs: DataFrame, rule: Threshold | None = None) -> DataFr
     rows = written(document_sets(docs, rule), "documents")
     some = rows.where("sid IS NOT NULL")
     first = F.struct(F.col("doc").isNull(), "doc", "_key")
-    sets = some.groupBy("sid").agg(F.min(first).alias("f"), *(F.first(c).alias(c) for c in ("n", "bands", "score", "prefix")))
-    sets = written(sets.select(_sorted_id(F.col("f.doc"), F.col("sid")).alias("sid"), F.col("sid").alias("hash"), F.col("f._key").alias("_key"), "n", "bands", "score", "prefix"), "sets")
+    sets = some.groupBy("sid").agg(F.min(first).alias("f"), *(F.first(c).alias(c) for c in ("n", "bands", "score", "least", "prefix")))
+    sets = written(sets.select(_sorted_id(F.col("f.doc"), F.col("sid")).alias("sid"), F.col("sid").alias("hash"), F.col("f._key").alias("_key"), "n", "bands", "score", "least", "prefix"), "sets")
+    groups = grouped(sets, rule)
     links, clustered = clusters(sets, docs, rule)
-    sizes = clustered.groupBy("cluster").agg(F.count("*").alias("size"))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("size") / rule.group))
-    placed = clustered.join(sizes.select(fresh(F.col("cluster")).alias("cluster"), "size"), "cluster").select("sid", F.xxhash64("cluster").alias("cluster"), F.pmod(F.xxhash64("sid"), parts).cast("int").alias("part"))
-    grouped = sets.select("sid", "n", "prefix").join(placed, "sid", "left")
-    grouped = written(grouped.select("sid", "n", "prefix", F.coalesce("cluster", F.xxhash64("sid")).alias("cluster"), F.coalesce("part", F.lit(0)).alias("part"), F.col("cluster").isNull().alias("alone")), "groups")
-    more = linked(group_pairs(grouped, rule), sets, docs, rule)
+    inside = sets.select("sid", "n", "prefix").join(groups, "sid").join(clustered, "sid", "left")
+    inside = written(inside.select("sid", "n", "prefix", "group", "member", F.xxhash64(F.coalesce("cluster", "sid")).alias("cluster")), "groups")
+    more = linked(group_pairs(inside, rule), sets, docs, rule)
     roots = components(links.unionByName(more))
     named = sets.select("sid", "hash").join(roots, F.col("sid") == F.col("node"), "left").select(fresh(F.col("hash")).alias("hash"), _doc_of(F.coalesce("root", "sid")).alias("component_id"))
     joined = rows.select("doc", "_key", "n", F.coalesce("sid", "_key").alias("hash")).join(named, "hash", "left")
@@ -298,12 +353,14 @@ def keep_one(docs: DataFrame, rule: Threshold | None = None) -> DataFrame:
 
     Of rows with that doc_id and different texts the smallest key of content stays; rows equal
     in doc_id and text are one document and stay together. Documents without words all stay.
+    An empty table gives an empty result; columns of any name come back as they were.
     """
+    (key,) = unused(docs, "_key")
     found = similar_components(docs, rule)
     going = found.where("n_shingles > 0")
     first = going.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_key")).alias("f"))
-    stay = first.select(F.col("f._key").alias("_key")).unionByName(found.where("n_shingles = 0").select("_key")).distinct()
-    return docs.withColumn("_key", row_key()).join(stay, "_key", "left_semi").select(*docs.columns)
+    stay = first.select(F.col("f._key").alias(key)).unionByName(found.where("n_shingles = 0").select(F.col("_key").alias(key))).distinct()
+    return docs.withColumn(key, row_key()).join(stay, key, "left_semi").select(*docs.columns)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

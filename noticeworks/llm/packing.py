@@ -1,13 +1,18 @@
 """Best-fit packing by bin completion.
 
 Pieces are counted by length, which gives at most one count per length up to the sequence's,
-whatever the corpus. On these counts bin completion runs as branch and bound: the largest
-length left must be in some sequence, so the undominated fillings around it are enumerated,
-those that waste least first; a filling that leaves less waste is the new incumbent, a branch
-whose best possible waste is no better is pruned, and the best filling is repeated as often as
-the counts allow. A filling is undominated if no length in it can be exchanged for a greater
-one that is left. The plan is a table of fillings with multiplicities. Pieces are numbered
-within their length by a distributed ranking and find their place by a join with the plan.
+whatever the corpus. On these counts bin completion runs as branch and bound over sequences:
+the largest length left must be in some sequence, so the undominated fillings around it are
+enumerated, those that waste least first, and each is tried as often as the counts allow, then
+less often, with what is left below it. A filling is dominated if some of its lengths together
+could give way to one greater or equal length that is left: what they were can then only be
+easier to place. A branch is pruned where the waste so far and the lengths left need as many
+sequences as the incumbent, and a filling where its own waste spends more than an improvement
+may waste. The first incumbents are best-fit decreasing and a filling that wastes least after
+another; the search ends when an incumbent meets the lower bound, when nothing is left to try
+(then the plan is optimal), or after ``steps`` steps (then the plan is no worse than best-fit
+decreasing). The plan is a table of fillings with multiplicities. Pieces are numbered within
+their length by a distributed ranking and find their place by a join with the plan.
 """
 
 from __future__ import annotations
@@ -173,8 +178,114 @@ def complete_bin(lengths: list[int], left: dict[int, int], room: int, budget: in
     return best[1]
 
 
-def plan_fillings(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Fillings (lengths, the largest first) and how often each is used; uses up all counts."""
+Plan = list[tuple[list[int], int]]
+
+
+def sequences_of(plan: Plan) -> int:
+    return sum(times for _, times in plan)
+
+
+def best_fit_decreasing(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """The plan of best-fit decreasing: each length, the largest first, goes where the least room
+    is left that holds it. Sequences filled alike are one entry, so the work depends on the
+    number of lengths and not on their counts."""
+    rooms: dict[int, list[list]] = {}  # room left: [filling, times]
+    for size in sorted((x for x, n in counts.items() if n), reverse=True):
+        n = counts[size]
+        moved = []
+        for room in sorted(x for x in rooms if x >= size):
+            # a sequence once begun is the tightest until it holds no more of the length
+            each = room // size
+            while n and rooms[room]:
+                filling, times = rooms[room].pop()
+                whole = min(times, n // each)
+                n -= whole * each
+                moved += [(room - each * size, filling + [size] * each, whole)] if whole else []
+                if whole < times and n:
+                    moved.append((room - n * size, filling + [size] * n, 1))
+                    whole, n = whole + 1, 0
+                if whole < times:
+                    rooms[room].append([filling, times - whole])
+            if not n:
+                break
+        each = capacity // size
+        moved += [(capacity - each * size, [size] * each, n // each)] if n // each else []
+        moved += [(capacity - n % each * size, [size] * (n % each), 1)] if n % each else []
+        for room, filling, times in moved:
+            rooms.setdefault(room, []).append([filling, times])
+    return [(filling, times) for alike in rooms.values() for filling, times in alike]
+
+
+def lower_bound(counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """No packing has fewer sequences: the larger of the tokens' share and, for every size k,
+    the lengths over half, which never meet, with what those from k up to half need beyond the
+    room beside the ones that leave at least k."""
+    sizes = sorted(size for size, n in counts.items() if n)
+    many = [0, *itertools.accumulate(counts[size] for size in sizes)]
+    total = [0, *itertools.accumulate(size * counts[size] for size in sizes)]
+    half = bisect.bisect_right(sizes, capacity // 2)  # two of those before it fit together
+    best = -(-total[-1] // capacity)
+    for i in range(half + 1):
+        k = sizes[i] if i < half else 0
+        fit = bisect.bisect_right(sizes, capacity - k)  # those from half to here leave k or more
+        room = (many[fit] - many[half]) * capacity - (total[fit] - total[half])
+        small = total[half] - total[i if i < half else 0]
+        best = max(best, many[-1] - many[half] + max(0, -(-(small - room) // capacity)))
+    return best
+
+
+def _smeared(mask: int, slack: int) -> int:
+    """Bits of mask, each repeated at the next ``slack`` places."""
+    done = 0
+    while done < slack:
+        more = min(done + 1, slack - done)
+        mask |= mask << more
+        done += more
+    return mask
+
+
+def dominated(filling: list[int], waste: int, left: dict[int, int]) -> bool:
+    """Whether some lengths of a filling (without its largest) could give way to one length
+    left over that is as large as they together, or larger by no more than the waste."""
+    one = several = 0
+    for size in filling:
+        several |= (several | one) << size
+        one |= 1 << size
+    spare = sum(1 << size for size, n in left.items() if n)
+    if _smeared(several, waste) & spare:
+        return True
+    return bool(waste and _smeared(one << 1, waste - 1) & spare)
+
+
+def undominated_fillings(lengths: list[int], left: dict[int, int], room: int, most_waste: int, tick) -> Iterator[tuple[int, list[int]]]:
+    """(waste, lengths) of every undominated filling of ``room`` that wastes at most so much.
+
+    Depth first, the greatest length that fits and as many of it as fit; lengths go down along
+    a branch. ``tick`` is called once a step and ends the enumeration when it returns false.
+    """
+    below = list(itertools.accumulate(size * left[size] for size in lengths))
+    # (room, place of the next length to decide, chosen so far)
+    stack = [(room, len(lengths) - 1, ())]
+    while stack:
+        room, i, chosen = stack.pop()
+        if not tick():
+            return
+        i = min(i, bisect.bisect_right(lengths, room) - 1)
+        if i < 0 or room == 0:
+            rest = left | {size: left[size] - n for size, n in chosen}
+            filling = [size for size, n in chosen for _ in range(n)]
+            if room <= most_waste and not dominated(filling, room, rest):
+                yield room, filling
+            continue
+        if room - below[i] > most_waste:
+            continue
+        size = lengths[i]
+        for many in range(min(left[size], room // size) + 1):  # the last pushed is tried first
+            stack.append((room - many * size, i - 1, (*chosen, (size, many)) if many else chosen))
+
+
+def _greedy(counts: dict[int, int], capacity: int) -> Plan:
+    """Fillings one after another, each the one that wastes least around the largest length."""
     left = {size: n for size, n in counts.items() if n}
     lengths = sorted(left)
     plan = []
@@ -192,7 +303,80 @@ def plan_fillings(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     return plan
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+#: Steps of the search over sequences; None searches until the plan is optimal.
+STEPS = 10_000
+#: Fillings that are sorted by waste at once.
+_AHEAD = 64
+
+
+def plan_fillings(counts: dict[int, int], capacity: int = CAPACITY, steps: int | None = STEPS) -> Plan:
+    """Fillings (lengths, the largest first) and how often each is used; uses up all counts.
+
+    Never more sequences than best-fit decreasing. The least possible number where the search
+    ends by itself, as it always does with ``steps=None``; then the time has no bound.
+    """
+    counts = {size: n for size, n in counts.items() if n}
+    best = min(best_fit_decreasing(counts, capacity), _greedy(counts, capacity), key=sequences_of)
+    least = lower_bound(counts, capacity)
+    taken = 0
+
+    def tick() -> bool:
+        nonlocal taken
+        taken += 1
+        return steps is None or taken <= steps
+
+    def children(left: dict[int, int], used: int) -> Iterator[tuple[list[int], int]]:
+        """What can come next: a filling around the largest length, and how often."""
+        lengths = [size for size in sorted(left) if left[size]]
+        top = lengths[-1]
+        total = sum(size * left[size] for size in lengths)
+        without = left | {top: left[top] - 1}
+        lengths = [size for size in lengths if without[size]]
+
+        def spendable() -> int:  # an improvement has one sequence less than the incumbent
+            return (sequences_of(best) - 1 - used) * capacity - total
+
+        found = undominated_fillings(lengths, without, capacity - top, spendable(), tick)
+        while ahead := sorted(itertools.islice(found, _AHEAD)):
+            for waste, rest in ahead:
+                filling = [top, *rest]
+                most = min(left[size] // filling.count(size) for size in set(filling))
+                for times in range(most, 0, -1):
+                    if not tick():
+                        return
+                    if waste * times <= spendable():
+                        yield filling, times
+
+    # one level per filling: what is left, sequences used, the plan so far, its children
+    path: list[tuple[list[int], int]] = []
+    levels = [(counts, 0, children(counts, 0))] if counts and sequences_of(best) > least else []
+    while levels:
+        left, used, going = levels[-1]
+        step = next(going, None)
+        if step is None or sequences_of(best) == least:
+            levels.pop()
+            if path:
+                path.pop()
+            continue
+        filling, times = step
+        rest = dict(left)
+        for size in filling:
+            rest[size] -= times
+        rest = {size: n for size, n in rest.items() if n}
+        used += times
+        path.append((filling, times))
+        if not rest:
+            if used < sequences_of(best):
+                best = list(path)
+            path.pop()
+        elif used + lower_bound(rest, capacity) < sequences_of(best):
+            levels.append((rest, used, children(rest, used)))
+        else:
+            path.pop()
+    return best
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, steps: int | None = STEPS) -> DataFrame:
     """pieces (doc_id, piece, length, ...) with sequence_id and offset, in few sequences.
 
     Lengths lie between 1 and the capacity. Repeated pieces each get a place. The driver sees
@@ -202,7 +386,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rows, used, first = [], dict.fromkeys(counts, 0), 0
-    for filling, times in plan_fillings(counts, capacity):
+    for filling, times in plan_fillings(counts, capacity, steps):
         offset = 0
         for size in dict.fromkeys(filling):
             many = filling.count(size)
@@ -230,7 +414,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, steps: int | None = STEPS) -> DataFrame:
     """Every document's pieces in sequences of at most ``capacity`` tokens.
 
     Result: doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null or empty text
@@ -238,7 +422,7 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> Data
     an empty result; columns other than doc_id and text are ignored. Pieces, a few numbers
     each, are written to the shared folder, so that texts are encoded once.
     """
-    return pack(written(pieces_of(docs, path, capacity), "pieces"), capacity)
+    return pack(written(pieces_of(docs, path, capacity), "pieces"), capacity, steps)
 
 
 def default_tokenizer() -> str:
