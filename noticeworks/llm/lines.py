@@ -2,12 +2,17 @@
 
 A run of consecutive lines with at least ``min_words`` words in all is deleted where an equal
 run came earlier in the corpus, by (doc_id, place). Windows are as many lines, from each line
-on, as reach that number of words, so a repeated run always shares a whole window, and so the
-window's smallest line hash, its fingerprint. Fingerprints found twice or more select the
-documents to compare; in those, matches are extended in both directions: a window reaching
-forward and one reaching back from every line are looked up among all such windows, each
-occurrence against the first one only. Every line of a repeated run lies in one of the two,
-so the union of the windows found is the union of all repeated runs, to their full length.
+on, as reach that number of words; each selects its smallest line hash, at its place, as its
+fingerprint. A repeated run holds a whole window, and equal windows select equal lines, so a
+run can only repeat where the same fingerprint stands at two places or more; windows around
+others are dropped. The places of a shared fingerprint are joined, each later one with the
+first that has the same window around it, and the matches are extended both ways: windows
+reach forward from and back to each line, and matches side by side or overlapping are merged.
+Every line of a repeated run lies in one of its windows forward or back, so what is merged is
+all of the run, to its full length.
+
+Places are joined only if the windows agree in 122 bits: the fingerprint, a hash of the line
+hashes in order and a sum of second line hashes with another seed.
 
 Lines without words separate nothing and go with the run around them.
 """
@@ -18,25 +23,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import SPACE, empty_if_null, fresh, row_key, table, written
+from noticeworks.llm.common import SPACE, empty_if_null, fresh, row_key, table, unused, written
 
 
 def split_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Lines with words: doc (null doc_ids last), _key, line (from 0), words, hash."""
+    """Lines with words: doc (null doc_ids last), _key, line (from 0), words, hash and other (a
+    hash with another seed, of 58 bits, of which as many as a window has lines can be summed)."""
     t = empty_if_null(text)
     # keys before the lines: what stands beside posexplode is evaluated for every line
     keyed = docs.select(F.col(doc_id).alias("doc"), row_key(doc_id, text).alias("_key"), t.alias("_whole"))
     lines = keyed.select("doc", "_key", F.posexplode(F.split("_whole", "\n")).alias("line", "_text"))
     words = F.size(F.filter(F.split("_text", f"{SPACE}+"), lambda w: w != ""))
-    return lines.select("doc", "_key", "line", words.cast("long").alias("words"), F.xxhash64("_text").alias("hash")).where("words > 0")
+    return lines.select("doc", "_key", "line", words.cast("long").alias("words"), F.xxhash64("_text").alias("hash"), F.shiftright(F.xxhash64(F.lit(7), "_text"), 6).alias("other")).where("words > 0")
 
 
 def windows(lines: DataFrame, min_words: int) -> DataFrame:
     """For every line the window forward and the one back, where the text is long enough.
 
-    Result: doc, _key, line, and for each of ``forward`` and ``back`` a struct of first and
-    last line, a hash of the window's line hashes and the smallest of them. Rows equal in
-    document and text count once.
+    Result: doc, _key, and for each of ``forward`` and ``back`` a struct of first and last
+    line, run and other (hashes of the window), and mark and at: its fingerprint, the smallest
+    line hash, and the place. Rows equal in document and text count once.
     """
     by_line = W.partitionBy("_key").orderBy("line")
     once = lines.withColumn("_before", F.lag("line").over(by_line)).where("_before IS NULL OR _before < line")
@@ -46,40 +52,42 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
     behind = W.partitionBy("_key").orderBy("_end").rangeBetween(-(min_words - 1), 0)
 
     def window(over, edge: str) -> Column:
-        hashes = F.collect_list("hash").over(over)
         least = F.min(F.struct("hash", "line")).over(over)
         long_enough = (F.max("_end").over(over) - F.min("_start").over(over)) >= min_words
-        return F.when(long_enough, F.struct(F.min("line").over(over).alias("first"), F.max("line").over(over).alias("last"), F.xxhash64(hashes).alias("run"), least.alias("mark"))).alias(edge)
+        held = F.struct(
+            F.min("line").over(over).alias("first"), F.max("line").over(over).alias("last"), F.xxhash64(F.collect_list("hash").over(over)).alias("run"), F.sum("other").over(over).alias("other"),
+            least["hash"].alias("mark"), least["line"].alias("at"),
+        )
+        return F.when(long_enough, held).alias(edge)
 
-    return placed.select("doc", "_key", "line", window(ahead, "forward"), window(behind, "back"))
+    return placed.select("doc", "_key", window(ahead, "forward"), window(behind, "back"))
 
 
 def repeated_runs(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The runs to delete: _key and ``runs``, an array of (first, last) lines, merged.
 
-    Documents without any are absent. Common runs are counted before they are shuffled, and
-    joined back by joins that adaptive execution can split, so that a run in a third of all
-    documents is one row of the counts. Only hashes and places are shuffled, never texts. The
-    windows are written to the shared folder, so that texts are split once.
+    Documents without any are absent. Fingerprints are counted by place before they are
+    shuffled, and places joined back by joins that adaptive execution can split, so that a run
+    in a third of all documents is one row of the counts. Only hashes and places are shuffled,
+    never texts. The windows are written to the shared folder, so that texts are split once.
     """
     wins = written(windows(split_lines(docs, doc_id, text), min_words), "windows")
-    marks = wins.where("forward IS NOT NULL").select("_key", F.hex("forward.mark.hash").alias("mark"), F.col("forward.mark.line").alias("at"))
-    # windows side by side mostly share their fingerprint, which is one at one place
-    marks = marks.distinct().groupBy("_key", "mark").agg(F.count("*").alias("n"))
-    shared = marks.groupBy("mark").agg(F.sum("n").alias("n")).where("n > 1").select(fresh(F.col("mark")).alias("mark"))
-    candidates = marks.join(shared, "mark", "left_semi").select("_key").distinct()
-    both = wins.join(candidates, "_key", "left_semi").select(
-        F.struct(F.col("doc").isNull().alias("none"), "doc", "_key").alias("of"), "_key", F.explode(F.array("forward", "back")).alias("w")
-    )
-    # a window forward and one back over the same lines are one occurrence
-    seen = both.where("w IS NOT NULL").select("of", "_key", F.col("w.first").alias("first"), F.col("w.last").alias("last"), F.hex("w.run").alias("run"))
+    # a repeated run holds a window forward, whose fingerprint has two places; its windows back
+    # have theirs among the same lines
+    marks = wins.select("_key", F.inline(F.array_compact(F.array("forward", "back")))).select("_key", F.hex("mark").alias("mark"), "at")
+    shared = marks.groupBy("mark").agg(F.min(F.struct("_key", "at")).alias("a"), F.max(F.struct("_key", "at")).alias("b")).where("a <> b").select(fresh(F.col("mark")).alias("mark"))
+    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "_key")
+    placed = wins.select(order.alias("of"), F.inline(F.array_compact(F.array("forward", "back")))).select("of", "first", "last", "at", F.hex("mark").alias("mark"), F.hex("run").alias("run"), "other")
+    # a window forward and one back over the same lines are one place
+    seen = placed.join(shared, "mark", "left_semi")
     place = F.struct("of", "first")
-    firsts = seen.groupBy("run").agg(F.min(place).alias("origin"), F.max(place).alias("latest")).where("origin < latest")
-    again = seen.join(firsts.select(fresh(F.col("run")).alias("run"), "origin"), "run").where(place > F.col("origin")).select("_key", "first", "last")
-    order = W.partitionBy("_key").orderBy("first", "last")
-    covered = F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1))
+    firsts = seen.groupBy("mark", "run", "other").agg(F.min(place).alias("origin"), F.max(place).alias("latest")).where("origin < latest")
+    firsts = firsts.select(fresh(F.col("mark")).alias("mark"), fresh(F.col("run")).alias("run"), "other", "origin")
+    again = seen.join(firsts, ["mark", "run", "other"]).where(place > F.col("origin")).select(F.col("of._key").alias("_key"), "first", "last")
+    by_place = W.partitionBy("_key").orderBy("first", "last")
+    covered = F.max("last").over(by_place.rowsBetween(W.unboundedPreceding, -1))
     starts = again.withColumn("_new", F.when(covered.isNull() | (F.col("first") > covered + 1), 1).otherwise(0))
-    islands = starts.withColumn("_island", F.sum("_new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    islands = starts.withColumn("_island", F.sum("_new").over(by_place.rowsBetween(W.unboundedPreceding, 0)))
     merged = islands.groupBy("_key", "_island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     return merged.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
@@ -95,12 +103,14 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     The first occurrence stays, also within a document. Rows equal in doc_id and text are one
     document and come out alike; a null doc_id comes after all others. Null and empty texts
     stay as they are; a text that repeats as a whole becomes empty. A run holds at least
-    ``min_words`` words, so a text has at most its words over ``min_words`` runs.
+    ``min_words`` words, so a text has at most its words over ``min_words`` runs. An empty table
+    gives an empty result; columns of any name come back as they were.
     """
-    runs = repeated_runs(docs, min_words).withColumnRenamed("runs", "_runs")
-    joined = docs.withColumn("_key", row_key()).join(runs, "_key", "left")
-    cut = joined.withColumn("_new", F.when(F.col("_runs").isNull(), F.col("text")).otherwise(without_runs(F.col("text"), F.col("_runs"))))
-    changed = {"text": F.col("_new"), "n_chars": F.when(F.col("_runs").isNull(), F.col("n_chars")).otherwise(F.length("_new").cast("long"))}
+    key, gone, new = unused(docs, "_key", "_runs", "_new")
+    runs = repeated_runs(docs, min_words).select(F.col("_key").alias(key), F.col("runs").alias(gone))
+    joined = docs.withColumn(key, row_key()).join(runs, key, "left")
+    cut = joined.withColumn(new, F.when(F.col(gone).isNull(), F.col("text")).otherwise(without_runs(F.col("text"), F.col(gone))))
+    changed = {"text": F.col(new), "n_chars": F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.length(new).cast("long"))}
     return cut.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
 
 

@@ -17,6 +17,8 @@ from noticeworks.llm.common import empty_if_null, partitions, table
 #: Fixed multiplier of the generator, and its two halves of 32 bits.
 MULTIPLIER = 2862933555777941757
 _HIGH, _LOW = MULTIPLIER >> 32, MULTIPLIER & 0xFFFFFFFF
+#: Steps that nearly every key of any number of shards ends within.
+SOON = 48
 _MASK16, _MASK32 = 0xFFFF, 0xFFFFFFFF
 
 
@@ -58,8 +60,13 @@ def jump_hash(key: Column, shards: int) -> Column:
         moved = F.struct(high.alias("high"), low.alias("low"), state["to"].alias("at"), to.alias("to"))
         return F.when(state["to"] < shards, moved).otherwise(state)
 
-    # each step moves at least one shard ahead, so as many steps as shards always end it
-    return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, step, lambda s: s["at"].cast("int"))
+    # the steps of a key number about the logarithm of the shards; each moves at least one shard
+    # ahead, so those few keys that aren't there yet are after as many steps as shards
+    soon = F.aggregate(F.sequence(F.lit(1), F.lit(min(shards, SOON))), start, step)
+    if shards <= SOON:
+        return soon["at"].cast("int")
+    late = lambda s: F.when(s["to"] >= shards, s).otherwise(F.aggregate(F.sequence(F.lit(SOON), F.lit(shards)), s, step))
+    return F.get(F.transform(F.array(soon), lambda s: late(s)["at"].cast("int")), F.lit(0))
 
 
 def numbered(df: DataFrame, group: str, order: list[Column], spread: Column, parts: int, name: str) -> DataFrame:
