@@ -34,4 +34,4 @@ def clashing(corpus):
     """The corpus with columns of names that operators use themselves."""
     from pyspark.sql import functions as F
 
-    return corpus.select("*", *(F.lit("mine").alias(c) for c in ("hash", "n", "sid", "line", "words", "spans", "token", "length", "start", "rank", "bucket", "hit", "runs", "n_words", "kept", "broken", "fingerprint", "anchors", "first", "last", "cluster", "group", "piece", "offset", "root", "node")))
+    return corpus.select("*", *(F.lit("mine").alias(c) for c in ("hash", "n", "sid", "line", "words", "spans", "token", "length", "start", "rank", "bucket", "hit", "runs", "n_words", "kept", "broken", "fingerprint", "anchors", "first", "last", "cluster", "group", "piece", "offset", "root", "node", "_key", "_runs", "_spans", "_new", "_w", "_lines", "_g", "_s", "_f", "_rules", "_found", "_text", "_bucket", "_stratum", "_n_upper")))
