@@ -7,6 +7,7 @@ may write and read again between stages. All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from noticeworks.llm import jaccard, lines, packing, quality, secrets
 from noticeworks.llm.common import table, written
@@ -22,8 +23,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without runs of lines of 50 words or more that came earlier."""
-    return lines.dedup_lines(docs.select(*COLUMNS))
+    """Documents without runs of lines of 50 words or more that came earlier. One that repeats
+    as a whole is left without words and goes: quality rules kept none that had none before."""
+    return lines.dedup_lines(docs.select(*COLUMNS)).where(F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
