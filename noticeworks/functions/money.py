@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,13 +11,22 @@ from pyspark.sql import functions as F
 MONEY = "decimal(20,2)"
 
 
+def let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of x, where f refers to x often and x is computed once."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def amount_text(x: Column) -> Column:
     """A number's text with a point as decimal sign.
 
     Of two kinds of separators the last is the decimal one; a lone comma is; a point that
     occurs once is, several are thousands separators. Spaces go.
     """
-    t = F.regexp_replace(x, r"(?U)[\s ]+", "")
+    spaceless = F.when(x.rlike(r"(?U)[\s ]"), F.regexp_replace(x, r"(?U)[\s ]+", "")).otherwise(x)
+    return let(spaceless, _with_point)
+
+
+def _with_point(t: Column) -> Column:
     comma, point = F.length(F.substring_index(t, ",", -1)), F.length(F.substring_index(t, ".", -1))
     both = t.contains(",") & t.contains(".")
     return (
@@ -37,14 +48,30 @@ def exact_amount(x: Column) -> Column:
     """Struct (value, error): the exact decimal, or why a number can't be one.
 
     Malformed and negative amounts give null without an error. More than two significant
-    fraction digits, or 18 digits and more before the point, are errors: a cast would round.
+    fraction digits, or more than 18 digits before the point, are errors: a cast would round.
+    Exponents move the point: 1.5e3 is 1500.
     """
-    t = F.regexp_replace(amount_text(x), "^[+]", "")
-    plain = t.rlike(r"^[0-9]*[.]?[0-9]*$") & t.rlike("[0-9]")
-    whole = F.length(F.regexp_replace(F.substring_index(t, ".", 1), "^0+", ""))
-    fraction = F.when(t.contains("."), F.length(F.regexp_replace(F.substring_index(t, ".", -1), "0+$", ""))).otherwise(0)
-    error = F.when(plain & (fraction > 2), "too_many_fraction_digits").when(plain & (whole > 18), "too_large")
-    return F.struct(F.when(plain & error.isNull(), t.try_cast(MONEY)).alias("value"), error.alias("error"))
+
+    def split(t: Column) -> Column:
+        plain = t.rlike(r"^([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]{1,9})?$")
+        digits = F.substring_index(t, "e", 1)
+        moved = F.coalesce(F.when(t.contains("e"), F.substring_index(t, "e", -1).try_cast("int")), F.lit(0))
+        whole = F.ltrim(F.substring_index(digits, ".", 1), F.lit("0"))
+        fraction = F.when(digits.contains("."), F.rtrim(F.substring_index(digits, ".", -1), F.lit("0"))).otherwise("")
+        return F.struct(t.alias("t"), plain.alias("plain"), moved.alias("moved"), whole.alias("whole"), fraction.alias("fraction"))
+
+    def judged(s: Column) -> Column:
+        whole, fraction, t = s["whole"], s["fraction"], s["t"]
+        zero = (whole == "") & (fraction == "")
+        trailing = F.when(fraction == "", F.length(whole) - F.length(F.rtrim(whole, F.lit("0")))).otherwise(0)
+        leading = F.length(fraction) - F.length(F.ltrim(fraction, F.lit("0")))
+        places = F.length(fraction) - s["moved"] - trailing
+        before = s["moved"] + F.when(whole == "", -leading).otherwise(F.length(whole))
+        error = F.when(s["plain"] & ~zero & (places > 2), "too_many_fraction_digits").when((s["plain"] & ~zero & (before > 18)) | t.isin("inf", "infinity"), "too_large")
+        value = F.when(s["plain"], F.when(zero, F.lit(0).cast(MONEY)).when((places <= 2) & (before <= 18), t.try_cast(MONEY)))
+        return F.struct(value.alias("value"), error.alias("error"))
+
+    return let(let(F.lower(F.regexp_replace(amount_text(x), "^[+]", "")), split), judged)
 
 
 def currency_of(amount: Column, currency: Column, default: str | None = None) -> Column:

@@ -7,6 +7,8 @@ from datetime import UTC, date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from noticeworks.functions.text import strip
+
 _ZONED = r"^\d{4}-?\d{2}-?\d{2}[T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d{1,9})?)?)?([Zz]|[+-]\d{2}(:?\d{2})?)$"
 
 
@@ -17,15 +19,16 @@ def lenient_date(x: Column) -> Column:
 
 
 def aware_instant(x: Column) -> Column:
-    """A timestamp of a text with a zone; null for one without and for what is none."""
-    t = F.upper(F.trim(x))
+    """A timestamp of a text with a zone, white space around it or not; null for one without and
+    for what is none."""
+    t = F.upper(strip(x))
     full = F.regexp_replace(t, r"^(\d{4})-?(\d{2})-?(\d{2})[T ]", "$1-$2-$3T")
     full = F.regexp_replace(full, r"T(\d{2})(\d{2})(\d{2})?", "T$1:$2:$3")
     full = F.regexp_replace(F.regexp_replace(full, r":(?=$|[Z+-])", ""), r"([+-]\d{2}):?(\d{2})$", "$1:$2")
     full = F.regexp_replace(full, r"^([^T]+T\d{2})(?=$|[Z+-])", "$1:00")
     full = F.regexp_replace(full, r"^([^T]+T\d{2}:\d{2})(?=$|[Z+-])", "$1:00")
     full = F.regexp_replace(F.replace(full, F.lit(","), F.lit(".")), r"([+-]\d{2})$", "$1:00")
-    return F.when(x.rlike(_ZONED), full.try_cast("timestamp"))
+    return F.when(t.rlike(_ZONED), full.try_cast("timestamp"))
 
 
 def iso_marker(x: Column) -> Column:

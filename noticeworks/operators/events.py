@@ -1,4 +1,4 @@
-"""Typed events from accepted records: one projection per source, their union, and its checks."""
+"""Typed events from accepted records and deletes, and their checks."""
 
 from __future__ import annotations
 
@@ -14,84 +14,107 @@ _NAMES = [f.name for f in EVENT_FIELDS]
 def _event(rows: DataFrame, **columns: Column) -> DataFrame:
     """The contract's columns in order and type; those not given are null."""
     ddl = {f.name: f.kind for f in EVENT_FIELDS}
-    given = [columns.get(n, F.lit(None)).cast(ddl[n]).alias(n) for n in _NAMES]
-    return rows.select(*given, *(c for c in rows.columns if c.startswith("_")))
-
-
-def _text(v: Column, *names: str) -> Column:
-    """The first of localized fields that isn't empty; null if none is."""
-    return F.coalesce(*(F.nullif(jsonx.localized(v, n), F.lit("")) for n in names))
-
-
-def ted_events(rows: DataFrame) -> DataFrame:
-    """Notices of JSON payloads (``v``): the amount is the first field given, even if invalid."""
-    v = F.col("v")
-    amount = money.exact_amount(jsonx.first_given(v, "estimated-value-lot", "framework-maximum-value-lot", "amount"))
-    number = jsonx.first_truthy(v, "ND", "notice_id")
-    kind = jsonx.first_truthy(v, "notice-type")
-    return _event(
-        rows.withColumn("_amount", amount),
-        event_id=F.concat(F.lit("ted:notice:"), number),
-        procedure_id=F.concat(F.lit("ted:procedure:"), jsonx.single_value(v, "procedure-identifier", "BT-04-notice")),
-        source=F.lit("ted"),
-        source_event_type=F.when(kind.isNotNull(), F.concat(F.lit("notice:"), kind)).otherwise("notice"),
-        buyer_id=jsonx.single_value(v, "buyer-identifier", "BI"),
-        buyer_name=_text(v, "buyer-name", "buyer"),
-        title=_text(v, "TI", "title"),
-        description=_text(v, "description-glo", "description"),
-        cpv_codes=jsonx.codes(v, "PC", "cpv"),
-        estimated_value=F.col("_amount.value"),
-        currency=money.currency_of(F.col("_amount.value"), jsonx.first_truthy(v, "currency"), "EUR"),
-        publication_date=timex.lenient_date(jsonx.first_truthy(v, "PD", "publication_date", "publication-date")),
-        country=text.country_code(jsonx.first_truthy(v, "CY", "country")),
-        source_url=F.coalesce(jsonx.first_truthy(v, "url"), jsonx.link(v)),
-        ingested_at=F.col("retrieved_at"),
+    return rows.select(*(columns.get(n, F.lit(None)).cast(ddl[n]).alias(n) for n in _NAMES))
+
+
+#: Fixed: the payload fields of each column by source; of several the first truthy one counts.
+TEXTS = {
+    "id": {"ted": ("ND", "notice_id"), "placsp": ("atom_id",), "boe": ("item_id", "identificador")},
+    "title": {"ted": ("TI", "title"), "placsp": ("title",), "boe": ("title", "titulo")},
+    "description": {"ted": ("description-glo", "description"), "placsp": ("summary",), "boe": ("summary",)},
+    "buyer_name": {"ted": ("buyer-name", "buyer"), "placsp": ("buyer",), "boe": ("buyer", "department")},
+    "day": {"ted": ("PD", "publication_date", "publication-date"), "boe": ("publication_date",)},
+    "url": {"ted": ("url",), "placsp": ("url",), "boe": ("url",)},
+    "kind": {"ted": ("notice-type",)},
+    "country": {"ted": ("CY", "country")},
+    "updated": {"placsp": ("updated",)},
+    "buyer_dir3": {"placsp": ("buyer_dir3",)},
+    "status": {"placsp": ("status_code",)},
+    "nuts": {"placsp": ("nuts_code",)},
+}
+CODES = {"ted": ("PC", "cpv"), "placsp": ("cpv",)}
+PROCEDURE, BUYER = ("procedure-identifier", "BT-04-notice"), ("buyer-identifier", "BI")
+#: Fixed: a notice's amount is the first of these that isn't null, even if it is invalid; a feed
+#: entry's the first whose key is there, even if it is null.
+TED_AMOUNTS = ("estimated-value-lot", "framework-maximum-value-lot", "amount")
+FEED_AMOUNTS = ("amount_estimated_overall", "amount_tax_exclusive")
+_READ = tuple(
+    dict.fromkeys(
+        [n for by in TEXTS.values() for names in by.values() for n in names] + [n for names in CODES.values() for n in names] + [*PROCEDURE, *BUYER, *TED_AMOUNTS, "currency", "links"]
+        + [f"{n}{end}" for n in FEED_AMOUNTS for end in ("", "_raw", "_currency")]
     )
-
-
-def placsp_events(rows: DataFrame) -> DataFrame:
-    """Snapshots of feed entries; their update is no publication date."""
-    v = F.col("v")
-    estimated = money.exact_amount(F.coalesce(jsonx.field(v, "amount_tax_exclusive_raw"), jsonx.field(v, "amount_estimated_overall_raw")))
-    at = timex.aware_instant(jsonx.field(v, "updated"))
-    return _event(
-        rows.withColumn("_amount", estimated).withColumn("_at", at),
-        event_id=F.concat(F.lit("placsp:notice:"), jsonx.field(v, "atom_id"), F.lit("@"), F.coalesce(timex.iso_marker(F.col("_at")), F.lit("undated"))),
-        procedure_id=F.concat(F.lit("placsp:procedure:"), jsonx.field(v, "atom_id")),
-        source=F.lit("placsp"),
-        source_event_type=F.lit("notice_snapshot"),
-        buyer_id=text.blank_to_null(jsonx.field(v, "buyer_dir3")),
-        buyer_name=text.blank_to_null(jsonx.field(v, "buyer")),
-        title=text.blank_to_null(jsonx.field(v, "title")),
-        description=text.blank_to_null(jsonx.field(v, "summary")),
-        cpv_codes=jsonx.codes(v, "cpv"),
-        estimated_value=F.col("_amount.value"),
-        currency=money.currency_of(F.col("_amount.value"), F.coalesce(jsonx.field(v, "amount_tax_exclusive_currency"), jsonx.field(v, "amount_estimated_overall_currency"))),
-        source_updated_at=F.col("_at"),
-        status=text.blank_to_null(jsonx.field(v, "status_code")),
-        nuts_code=text.blank_to_null(jsonx.field(v, "nuts_code")),
-        country=F.lit("ES"),
-        source_url=text.blank_to_null(jsonx.field(v, "url")),
-        ingested_at=F.col("retrieved_at"),
+)
+
+
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """rows with columns that later projections refer to; the optimizer can't copy them there,
+    so each is computed once a row."""
+    return rows.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
+def record_events(records: DataFrame) -> DataFrame:
+    """Events of accepted records: source, payload_json, retrieved_at. One pass over them: a
+    payload is parsed once, its fields are read in one cast, and each column chooses among them
+    by source. Values of a kind stand in an array, so that one expression reads them all."""
+    source = F.col("source")
+    rows = _once(records.select("source", "retrieved_at", "payload_json").where(source.isin("ted", "placsp", "boe")), f=jsonx.fields(jsonx.payload(F.col("payload_json")), _READ))
+    at = lambda name: F.col(f"f.`{name}`")
+
+    def by_source(choices: dict[str, Column]) -> Column:
+        found = F.lit(None)
+        for name, choice in choices.items():
+            found = F.when(source == name, choice).otherwise(found)
+        return found
+
+    # of fields among which the first truthy one counts, those that are truthy
+    asked = list(dict.fromkeys(n for by in (*TEXTS.values(), CODES) for names in by.values() if len(names) > 1 for n in names))
+    rows = _once(rows, full=F.transform(F.array(*map(at, asked)), lambda x: F.when(jsonx.is_truthy(x), x)))
+    pick = lambda names: at(names[0]) if len(names) == 1 else F.coalesce(*(F.get("full", F.lit(asked.index(n))) for n in names))
+    overall, exclusive = FEED_AMOUNTS
+    chosen = lambda end: F.when(at(overall).isNotNull(), at(f"{overall}{end}")).otherwise(at(f"{exclusive}{end}"))
+    given = F.coalesce(*(F.when(jsonx.is_given(at(n)), at(n)) for n in TED_AMOUNTS))
+    values = {c: by_source({s: pick(names) for s, names in by.items()}) for c, by in TEXTS.items()}
+    values |= {"amount": by_source({"ted": given, "placsp": chosen("_raw")}), "currency": by_source({"ted": at("currency"), "placsp": chosen("_currency")})}
+    none = F.array().cast("array<variant>")
+    lists = {"codes": jsonx.items(by_source({s: pick(names) for s, names in CODES.items()}))}
+    lists |= {n: F.concat(*(F.coalesce(jsonx.items(at(x)), none) for x in names)) for n, names in (("procedure", PROCEDURE), ("buyer", BUYER))}
+    rows = _once(
+        rows,
+        texts=F.transform(F.array(*values.values()), lambda x: F.when(x.isNotNull(), F.nullif(jsonx.shown_text(x), F.lit("")))),
+        lists=F.transform(F.array(*lists.values()), lambda xs: text.distinct_nonblank(F.transform(F.coalesce(xs, none), lambda i: jsonx.shown_text(i, depth=1)))),
+        number=F.when(source == "placsp", jsonx.as_text(chosen(""))),
     )
-
-
-def boe_events(rows: DataFrame) -> DataFrame:
-    v = F.col("v")
+    rows = _once(rows, **{c: F.get("texts", F.lit(i)) for i, c in enumerate(values)}, **{f"all_{c}": F.get("lists", F.lit(i)) for i, c in enumerate(lists)})
+    # a feed's amount counts only beside its number, as published where that is there
+    amount = F.when(source == "ted", F.col("amount")).when(F.col("number").isNotNull(), F.coalesce(F.col("amount"), F.col("number")))
+    rows = _once(rows, exact=money.exact_amount(amount)["value"], instant=timex.aware_instant(F.col("updated")))
+    one_of = lambda c: F.when(F.size(c) == 1, F.get(c, F.lit(0)))
+    c = F.col
     return _event(
         rows,
-        event_id=F.concat(F.lit("boe:notice:"), jsonx.first_truthy(v, "item_id", "identificador")),
-        source=F.lit("boe"),
-        source_event_type=F.lit("notice"),
-        buyer_name=jsonx.first_truthy(v, "department", "buyer"),
-        title=jsonx.first_truthy(v, "title", "titulo"),
-        description=jsonx.first_truthy(v, "summary"),
-        cpv_codes=F.array().cast("array<string>"),
-        publication_date=timex.lenient_date(jsonx.first_truthy(v, "publication_date")),
-        country=F.lit("ES"),
-        source_url=jsonx.first_truthy(v, "url"),
-        ingested_at=F.col("retrieved_at"),
-    )
+        event_id=by_source({
+            "ted": F.concat(F.lit("ted:notice:"), c("id")),
+            "placsp": F.concat(F.lit("placsp:notice:"), c("id"), F.lit("@"), F.coalesce(timex.iso_marker(c("instant")), F.lit("undated"))),
+            "boe": F.concat(F.lit("boe:notice:"), c("id")),
+        }),
+        procedure_id=by_source({"ted": F.concat(F.lit("ted:procedure:"), one_of("all_procedure")), "placsp": F.concat(F.lit("placsp:procedure:"), c("id"))}),
+        source=source,
+        source_event_type=by_source({"ted": F.coalesce(F.concat(F.lit("notice:"), c("kind")), F.lit("notice")), "placsp": F.lit("notice_snapshot"), "boe": F.lit("notice")}),
+        buyer_id=by_source({"ted": one_of("all_buyer"), "placsp": c("buyer_dir3")}),
+        buyer_name=c("buyer_name"),
+        title=c("title"),
+        description=c("description"),
+        cpv_codes=c("all_codes"),
+        estimated_value=c("exact"),
+        currency=F.when(c("exact").isNotNull(), F.coalesce(c("currency"), F.when(source == "ted", "EUR"))),
+        publication_date=timex.lenient_date(c("day")),
+        source_updated_at=c("instant"),
+        status=c("status"),
+        nuts_code=c("nuts"),
+        country=F.when(source == "ted", text.country_code(c("country"))).otherwise(F.lit("ES")),
+        source_url=F.coalesce(c("url"), by_source({"ted": jsonx.link_of(at("links"))})),
+        ingested_at=c("retrieved_at"),
+    )
 
 
 def tombstone_events(rows: DataFrame) -> DataFrame:
@@ -112,12 +135,7 @@ def tombstone_events(rows: DataFrame) -> DataFrame:
 
 def procurement_events(records: DataFrame, tombstones: DataFrame) -> DataFrame:
     """All events, a row per observation. ``records``: source, payload_json, retrieved_at."""
-    parsed = records.select("source", "retrieved_at", jsonx.payload(F.col("payload_json")).alias("v"))
-    branches = [f(parsed.where(F.col("source") == s)) for s, f in (("ted", ted_events), ("placsp", placsp_events), ("boe", boe_events))]
-    found = branches[0].select(_NAMES)
-    for b in [*branches[1:], tombstone_events(tombstones)]:
-        found = found.unionByName(b.select(_NAMES))
-    return found
+    return record_events(records).unionByName(tombstone_events(tombstones))
 
 
 def money_issues(rows: DataFrame, amount: Column) -> DataFrame:

@@ -10,21 +10,27 @@ from noticeworks.functions import jsonx, text
 SOURCES = ("ted", "placsp", "boe")
 
 
+#: Half of a surrogate pair, escaped, without the other: text that can't be encoded. U+FFFD can.
+_HALF_PAIR = r"(?i)\\ud[89ab][0-9a-f]{2}(?!\\ud[c-f])|(?<!\\ud[89ab][0-9a-f]{2})\\ud[c-f][0-9a-f]{2}"
+
+
 def rejection_reason(source: Column, payload: Column) -> Column:
     """Why a candidate isn't accepted, by the first rule broken; null if it is.
 
-    Rules in order: valid unicode, a known source, the payload's own source, an id, a title.
+    Rules in order: valid unicode, a known source, the payload's own source, an id, a title. The
+    reasons are fixed values.
     """
     v = jsonx.payload(payload)
     own = F.lower(F.coalesce(jsonx.first_truthy(v, "_source", "source"), source))
     record_id = jsonx.first_truthy(v, "ND", "notice_id", "tender_no", "item_id", "identificador")
-    title = F.coalesce(*(F.nullif(jsonx.localized(v, n), F.lit("")) for n in ("TI", "title", "titulo")))
+    title = jsonx.shown_text(jsonx.first_value(*(jsonx.value(v, n) for n in ("TI", "title", "titulo"))))
+    halves = F.replace(payload, F.lit("\\\\"), F.lit(""))  # an escaped backslash escapes nothing after it
     return (
-        F.when(~F.is_valid_utf8(payload) | payload.contains("�"), "invalid_unicode_payload")
+        F.when(~F.is_valid_utf8(payload) | halves.rlike(_HALF_PAIR), "invalid_unicode_payload")
         .when(~F.coalesce(source.isin(*SOURCES) & own.isin(*SOURCES), F.lit(False)), "unsupported_source")
         .when(own != source, "source_mismatch")
         .when(record_id.isNull(), "missing_tender_id")
-        .when(title.isNull(), "missing_title")
+        .when(title == "", "missing_title")
     )
 
 

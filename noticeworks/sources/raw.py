@@ -1,7 +1,8 @@
 """Raw evidence: files with sidecars, JSON lines, Atom feeds, ZIP archives of feeds, spreadsheets.
 
-Files are read by Spark's own binary source, so any file system that Spark knows will do, and
-are parsed in tasks, a file at a time; what can't be parsed becomes a located rejection.
+Files are read by Spark's own sources, so any file system that Spark knows will do. JSON lines
+are read in splits, feeds a file to a task, archives a member to a task; what can't be parsed
+becomes a located rejection.
 """
 
 from __future__ import annotations
@@ -9,9 +10,11 @@ from __future__ import annotations
 import io
 import itertools
 import json
+import lzma
 import math
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from datetime import datetime
 from xml.etree import ElementTree
@@ -26,7 +29,6 @@ from noticeworks.session import cut
 SIDECAR = ".provenance.json"
 _SIDECAR_SCHEMA = "source string, raw_path string, sha256 string, retrieved_at string, partition string, window_start string, window_end string, version int"
 _ROWS = "path string, member string, member_index int, locator int, kind string, record_id string, deleted_at string, payload_json string, reason string, scope string"
-_ATOM, _DELETED = "{http://www.w3.org/2005/Atom}", "{http://purl.org/atompub/tombstones/1.0}deleted-entry"
 
 
 def raw_files(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = ("jsonl", "xml", "atom", "zip")) -> DataFrame:
@@ -109,16 +111,8 @@ def parse_json_line(path: str, raw: bytes, number: int) -> tuple:
     return _row(path, None, None, number, "record", payload=payload)
 
 
-def parse_json_lines(path: str, content: bytes) -> Iterator[tuple]:
-    """Lines from 1, blank ones skipped; keys of the payload sorted."""
-    for number, raw in enumerate(content.split(b"\n"), 1):
-        row = parse_json_line(path, raw, number)
-        if row[4] != "blank":
-            yield row
-
-
 def scan_json_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """What ``scan`` makes of the JSON lines below a folder, for files of any size.
+    """Records and rejections of the JSON lines below a folder, for files of any size.
 
     Files are read in Spark's splits, several tasks to a file. Lines are numbered within their
     split, and a split starts after the lines of those before it in its file; only one count a
@@ -148,41 +142,70 @@ def scan_json_lines(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("locator", (F.col("locator") + F.col("_start")).cast("int")).select(*columns)
 
 
-def _local(node) -> str:
-    return node.tag.rpartition("}")[2]
-
-
-def _below(node, *names: str):
-    for name in names:
-        node = next((x for x in node.iter() if x is not node and _local(x) == name), None)
-        if node is None:
-            return None
-    return node
+#: Fixed: name spaces of feeds, and where the fields of a notice stand below its entry.
+_SPACES = {
+    "atom": "http://www.w3.org/2005/Atom",
+    "at": "http://purl.org/atompub/tombstones/1.0",
+    "cbc": "urn:dgpe:names:draft:codice:schema:xsd:CommonBasicComponents-2",
+    "cac": "urn:dgpe:names:draft:codice:schema:xsd:CommonAggregateComponents-2",
+    "place": "urn:dgpe:names:draft:codice-place-ext:schema:xsd:CommonAggregateComponents-2",
+    "placeb": "urn:dgpe:names:draft:codice-place-ext:schema:xsd:CommonBasicComponents-2",
+}
+_PLACES = {
+    "contract_folder_id": ".//place:ContractFolderStatus/cbc:ContractFolderID",
+    "status_code": ".//placeb:ContractFolderStatusCode",
+    "buyer": ".//cac:Party/cac:PartyName/cbc:Name",
+    "city": ".//cac:PostalAddress/cbc:CityName",
+    "nuts_code": ".//cac:RealizedLocation/cbc:CountrySubentityCode",
+    "region": ".//cac:RealizedLocation/cbc:CountrySubentity",
+}
+_IDENTIFIERS, _SCHEMES = ".//cac:Party/cac:PartyIdentification/cbc:ID", {"DIR3": "buyer_dir3", "NIF": "buyer_nif"}
+_CODES = ".//cac:RequiredCommodityClassification/cbc:ItemClassificationCode"
+_AMOUNTS = {
+    "amount_tax_exclusive": ".//cac:BudgetAmount/cbc:TaxExclusiveAmount",
+    "amount_total": ".//cac:BudgetAmount/cbc:TotalAmount",
+    "amount_estimated_overall": ".//cac:BudgetAmount/cbc:EstimatedOverallContractAmount",
+}
 
 
 def _text(node) -> str | None:
     return (node.text or "").strip() or None if node is not None else None
 
 
+def amount_of(text: str) -> float | None:
+    """What functions.money.lenient_amount makes of a published amount, infinity included."""
+    t = re.sub(r"\s+", "", text)
+    last = max(t.rfind(","), t.rfind("."))
+    if "," in t and "." in t:
+        t = re.sub("[,.]", "", t[:last]) + "." + t[last + 1 :]
+    elif "," in t:
+        t = t.replace(",", ".")
+    elif t.count(".") > 1:
+        t = t.replace(".", "")
+    try:
+        number = float(t)
+    except ValueError:
+        return None
+    return number if number >= 0 else None
+
+
 def _entry_fields(entry) -> dict:
-    """A notice's fields of one feed entry; amounts also as published."""
-    fields = {name: _text(entry.find(_ATOM + name)) for name in ("title", "summary", "updated")}
-    link = entry.find(_ATOM + "link")
-    fields |= {"_source": "placsp", "atom_id": _text(entry.find(_ATOM + "id")), "url": link.get("href") if link is not None else None}
-    fields |= {"contract_folder_id": _text(_below(entry, "ContractFolderID")), "status_code": _text(_below(entry, "ContractFolderStatusCode"))}
-    for scheme, name in (("DIR3", "buyer_dir3"), ("NIF", "buyer_nif")):
-        fields[name] = next((_text(x) for x in entry.iter() if _local(x) == "ID" and x.get("schemeName") == scheme), None)
-    fields |= {"buyer": _text(_below(entry, "PartyName", "Name")), "city": _text(_below(entry, "CityName"))}
-    for tag, name in (("TaxExclusiveAmount", "tax_exclusive"), ("TotalAmount", "total"), ("EstimatedOverallContractAmount", "estimated_overall")):
-        node = _below(entry, tag)
-        raw = _text(node)
-        try:
-            number = float(raw) if raw else None
-        except ValueError:
-            number = None
-        fields |= {f"amount_{name}": number, f"amount_{name}_raw": raw, f"amount_{name}_currency": node.get("currencyID") if node is not None else None}
-    fields["cpv"] = [_text(x) for x in entry.iter() if _local(x) == "ItemClassificationCode" and _text(x)]
-    return fields | {"region": _text(_below(entry, "CountrySubentity")), "nuts_code": _text(_below(entry, "CountrySubentityCode"))}
+    """A notice's fields of one feed entry, each from its own place. An amount is there only
+    where one is published: as a number (null if it is none), as text and with its currency."""
+    fields = {name: _text(entry.find(f"atom:{name}", _SPACES)) or "" for name in ("title", "summary", "updated")}
+    link = entry.find("atom:link", _SPACES)
+    fields |= {"_source": "placsp", "atom_id": _text(entry.find("atom:id", _SPACES)), "url": (link.get("href") or "").strip() or None if link is not None else None}
+    fields |= {name: _text(entry.find(place, _SPACES)) for name, place in _PLACES.items()}
+    fields |= dict.fromkeys(_SCHEMES.values())
+    for node in entry.iterfind(_IDENTIFIERS, _SPACES):
+        if name := _SCHEMES.get(node.get("schemeName", "")):
+            fields[name] = fields[name] or _text(node)
+    fields["cpv"] = [t for t in map(_text, entry.iterfind(_CODES, _SPACES)) if t]
+    for name, place in _AMOUNTS.items():
+        node = entry.find(place, _SPACES)
+        if text := _text(node):
+            fields |= {name: amount_of(text), f"{name}_raw": text, f"{name}_currency": node.get("currencyID")}
+    return fields
 
 
 def parse_feed(path: str, content: bytes, member: str | None = None, index: int | None = None) -> Iterator[tuple]:
@@ -192,10 +215,10 @@ def parse_feed(path: str, content: bytes, member: str | None = None, index: int
     except (ElementTree.ParseError, ValueError):
         yield _row(path, member, index, None, "rejection", reason="invalid_xml", scope="document")
         return
-    if root.tag != f"{_ATOM}feed":
+    if root.tag != f"{{{_SPACES['atom']}}}feed":
         yield _row(path, member, index, None, "rejection", reason="expected_atom_feed", scope="document")
         return
-    for n, node in enumerate(root.iter(_DELETED), 1):
+    for n, node in enumerate(root.iterfind("at:deleted-entry", _SPACES), 1):
         if ref := (node.get("ref") or "").strip():
             when = node.get("when")
             yield _row(path, member, index, n, "tombstone", ref, when)
@@ -203,7 +226,7 @@ def parse_feed(path: str, content: bytes, member: str | None = None, index: int
                 yield _row(path, member, index, n, "rejection", ref, reason="invalid_tombstone_when", scope="control")
         else:
             yield _row(path, member, index, n, "rejection", reason="missing_tombstone_ref", scope="control")
-    for n, entry in enumerate(root.iter(f"{_ATOM}entry"), 1):
+    for n, entry in enumerate(root.iterfind("atom:entry", _SPACES), 1):
         fields = _entry_fields(entry)
         number = re.search(r"/(\d+)\s*$", fields["atom_id"] or "")
         reason = "invalid_atom_id" if not number else "missing_title" if not fields["title"] else None
@@ -212,45 +235,66 @@ def parse_feed(path: str, content: bytes, member: str | None = None, index: int
         elif any(isinstance(x, float) and not math.isfinite(x) for x in fields.values()):
             yield _row(path, member, index, n, "rejection", reason="non_finite_amount", scope="record")
         else:
-            payload = json.dumps(fields | {"tender_no": number[1]}, sort_keys=True, ensure_ascii=False)
+            own = {"tender_no": number[1]} | ({"_atom_file": member} if member is not None else {})
+            payload = json.dumps(fields | own, sort_keys=True, ensure_ascii=False)
             yield _row(path, member, index, n, "record", fields["atom_id"], payload=payload)
 
 
-def parse_archive(path: str, content: bytes) -> Iterator[tuple]:
-    """Feeds of an archive, each for itself; members are numbered in the directory's order."""
-    try:
-        archive = zipfile.ZipFile(io.BytesIO(content))
-    except zipfile.BadZipFile:
-        yield _row(path, None, None, None, "rejection", reason="invalid_zip", scope="document")
-        return
-    feeds = [(n, x) for n, x in enumerate(archive.infolist(), 1) if x.filename.lower().endswith((".atom", ".xml"))]
-    if not feeds:
-        yield _row(path, None, None, None, "rejection", reason="no_atom_members", scope="document")
-    for n, info in feeds:
-        try:
-            data = archive.read(info)
-        except (zipfile.BadZipFile, RuntimeError, OSError, EOFError):
-            yield _row(path, info.filename, n, None, "rejection", reason="unreadable_zip_member", scope="document")
-            continue
-        yield from parse_feed(path, data, info.filename, n)
+_MEMBERS = "path string, member string, member_index int, content binary, reason string"
 
 
-def scan(files: DataFrame) -> DataFrame:
-    """Records, tombstones and rejections of raw files, located: see _ROWS for the columns.
+def archive_members(archives: DataFrame) -> DataFrame:
+    """The feeds of ZIP archives, a row each, numbered in the directory's order, or why there is
+    none. A task holds an archive and one open member; members are rows before any is parsed."""
 
-    A task parses whole files, as archives and feeds need it; ``scan_json_lines`` splits files.
-    """
+    def members(path: str, content: bytes) -> Iterator[tuple]:
+        try:
+            archive = zipfile.ZipFile(io.BytesIO(content))
+        except zipfile.BadZipFile:
+            yield path, None, None, None, "invalid_zip"
+            return
+        feeds = [(n, x) for n, x in enumerate(archive.infolist(), 1) if not x.is_dir() and x.filename.lower().endswith(".atom")]
+        if not feeds:
+            yield path, None, None, None, "no_atom_members"
+        for n, info in feeds:
+            try:
+                yield path, info.filename, n, archive.read(info), None
+            except (zipfile.BadZipFile, zlib.error, lzma.LZMAError, RuntimeError, NotImplementedError, OSError, EOFError):
+                yield path, info.filename, n, None, "unreadable_zip_member"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                kind = path.rpartition(".")[2].lower()
-                parse = {"jsonl": parse_json_lines, "zip": parse_archive}.get(kind, parse_feed)
-                for rows in itertools.batched(parse(path, bytes(content)), 10_000):
+                for row in members(path, bytes(content)):
+                    yield pd.DataFrame([row], columns=[x.split()[0] for x in _MEMBERS.split(", ")]).astype({"member_index": "Int32"})
+
+    return archives.select("path", "content").mapInPandas(run, _MEMBERS)
+
+
+def scan(files: DataFrame) -> DataFrame:
+    """Records, tombstones and rejections of feeds and archives, located: see _ROWS for the
+    columns. Each feed is parsed in a task of its own, also those of one archive."""
+    zipped = F.lower("path").endswith(".zip")
+    feeds = files.where(~zipped & ~F.lower("path").endswith(".jsonl"))
+    alone = feeds.select("path", F.lit(None).cast("string").alias("member"), F.lit(None).cast("int").alias("member_index"), "content", F.lit(None).cast("string").alias("reason"))
+    every = alone.unionByName(archive_members(files.where(zipped)).repartition("path", "member_index"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            indices = batch["member_index"].astype("Int32")
+            for path, member, index, content, reason in zip(batch["path"], batch["member"], indices, batch["content"], batch["reason"], strict=True):
+                index = None if pd.isna(index) else int(index)
+                found = parse_feed(path, bytes(content), member, index) if reason is None else [_row(path, member, index, None, "rejection", reason=reason, scope="document")]
+                for rows in itertools.batched(found, 10_000):
                     frame = pd.DataFrame(rows, columns=[x.split()[0] for x in _ROWS.split(", ")])
                     yield frame.astype({"member_index": "Int32", "locator": "Int32"})
 
-    return files.select("path", "content").mapInPandas(run, _ROWS)
+    return every.mapInPandas(run, _ROWS)
+
+
+def scan_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything below a folder: JSON lines in splits, feeds, archives."""
+    return scan_json_lines(spark, folder).unionByName(scan(raw_files(spark, folder, ("xml", "atom", "zip"))))
 
 
 def strict(rows: DataFrame) -> DataFrame:

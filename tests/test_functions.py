@@ -71,3 +71,36 @@ def test_streamed_state_is_the_batch_state(spark, tmp_path):
     last = max((tmp_path / "out").iterdir(), key=lambda p: int(p.name.split("=")[1]))
     want = {k: max((r[1], r[2]) for r in rows if r[0] == k) for k in range(7)}
     assert {r.k: (r.at, r.id) for r in spark.read.parquet(str(last)).collect()} == want
+
+
+@pytest.mark.parametrize(
+    ("text", "value", "error"),
+    [
+        ("1e7", "10000000.00", None), ("1.0E7", "10000000.00", None), ("1.5e3", "1500.00", None), ("100e-2", "1.00", None), ("1000e-3", "1.00", None), ("12e-3", None, "too_many_fraction_digits"),
+        ("0e99", "0.00", None), ("1e18", None, "too_large"), ("9.99e17", "999000000000000000.00", None), ("0.0000001e5", "0.01", None), ("1e400", None, "too_large"), ("inf", None, "too_large"),
+        ("e5", None, None), ("1e", None, None), ("-1e2", None, None), ("+2.50", "2.50", None), (".5", "0.50", None), ("5.", "5.00", None), ("nan", None, None), ("", None, None), (None, None, None),
+    ],
+)
+def test_exact_amounts(spark, text, value, error):
+    row = one(spark, text, money.exact_amount)
+    assert (None if row.value is None else str(row.value), row.error) == (value, error)
+
+
+@pytest.mark.parametrize(
+    ("value", "shown"),
+    [
+        ('{"t": {"spa": "[Anulado] Obras"}}', "[Anulado] Obras"), ('{"t": {"spa": "", "eng": "x"}}', ""), ('{"t": {"spa": null, "eng": ["", " y "]}}', "y"), ('{"t": ["", {"eng": "z"}]}', "z"),
+        ('{"t": "{}"}', "{}"), ('{"t": 5}', "5"), ('{"t": null}', ""), ('{"u": 1}', ""),
+    ],
+)
+def test_texts_by_their_own_type(spark, value, shown):
+    assert one(spark, value, lambda x: jsonx.localized(jsonx.payload(x), "t")) == shown
+
+
+@pytest.mark.parametrize(("value", "kept"), [('"[]"', True), ('"{}"', True), ("[]", False), ("{}", False), ('""', False), ("0", False), ("0.0", False), ("false", False), ('"false"', True), ("[0]", True), ("null", False), ('"0"', True), ("1e-3", True)])
+def test_truthiness(spark, value, kept):
+    assert one(spark, f'{{"t": {value}}}', lambda x: jsonx.truthy(jsonx.payload(x), "t")) is kept
+
+
+def test_padded_instants(spark):
+    assert one(spark, "\u00a0 2024-01-02T03:04:05+01:00\n", lambda x: timex.aware_instant(x).cast("string")) == "2024-01-02 02:04:05"

@@ -2,6 +2,7 @@ import hashlib
 import io
 import json
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,13 +11,21 @@ from noticeworks.operators import events, state
 from noticeworks.operators.contracts import EVENT_FIELDS, ContractError, assert_key, check, empty
 from noticeworks.sources import exports, raw
 
-FEED = """<feed xmlns="http://www.w3.org/2005/Atom" xmlns:at="http://purl.org/atompub/tombstones/1.0">
+FEED = """<feed xmlns="http://www.w3.org/2005/Atom" xmlns:at="http://purl.org/atompub/tombstones/1.0"
+ xmlns:cbc="urn:dgpe:names:draft:codice:schema:xsd:CommonBasicComponents-2" xmlns:cac="urn:dgpe:names:draft:codice:schema:xsd:CommonAggregateComponents-2"
+ xmlns:p="urn:dgpe:names:draft:codice-place-ext:schema:xsd:CommonAggregateComponents-2" xmlns:pb="urn:dgpe:names:draft:codice-place-ext:schema:xsd:CommonBasicComponents-2">
 <at:deleted-entry ref="https://x/3" when="2026-02-03T00:00:00Z"/><at:deleted-entry when="2026-02-03T00:00:00Z"/>
-<entry><id>https://x/1</id><title>Suministro de café</title><summary>s</summary><updated>2026-01-02T03:04:05.5+01:00</updated><link href="https://x/p/1"/>
-<ContractFolderStatus><ContractFolderID>F1</ContractFolderID><ContractFolderStatusCode>PUB</ContractFolderStatusCode>
-<PartyIdentification><ID schemeName="DIR3">E1</ID></PartyIdentification><PartyName><Name>Buyer</Name></PartyName>
-<TaxExclusiveAmount currencyID="EUR">1234.50</TaxExclusiveAmount><ItemClassificationCode>15000000</ItemClassificationCode><ItemClassificationCode>15000000</ItemClassificationCode>
-</ContractFolderStatus></entry>
+<entry><id>https://x/1</id><title>Suministro de café \ufffd</title><summary>s</summary><updated> 2026-01-02T03:04:05.5+01:00 </updated><link href=" https://x/p/1 "/>
+<p:ContractFolderStatus><cbc:ContractFolderID>F1</cbc:ContractFolderID><pb:ContractFolderStatusCode>PUB</pb:ContractFolderStatusCode>
+<cac:Lot><cbc:ItemClassificationCode>99000000</cbc:ItemClassificationCode><cbc:ID schemeName="DIR3">L1</cbc:ID><cbc:CityName>Elsewhere</cbc:CityName><cbc:CountrySubentity>No</cbc:CountrySubentity>
+<cbc:TaxExclusiveAmount currencyID="EUR">7</cbc:TaxExclusiveAmount></cac:Lot>
+<cac:Party><cac:PartyIdentification><cbc:ID schemeName="NIF">N1</cbc:ID></cac:PartyIdentification><cac:PartyIdentification><cbc:ID schemeName="DIR3">E1</cbc:ID></cac:PartyIdentification>
+<cac:PartyName><cbc:Name>Buyer</cbc:Name></cac:PartyName><cac:PostalAddress><cbc:CityName>Madrid</cbc:CityName></cac:PostalAddress></cac:Party>
+<cac:BudgetAmount><cbc:EstimatedOverallContractAmount currencyID="USD">5.000,00</cbc:EstimatedOverallContractAmount><cbc:TaxExclusiveAmount currencyID="EUR">1234.50</cbc:TaxExclusiveAmount></cac:BudgetAmount>
+<cac:RequiredCommodityClassification><cbc:ItemClassificationCode>15000000</cbc:ItemClassificationCode></cac:RequiredCommodityClassification>
+<cac:RequiredCommodityClassification><cbc:ItemClassificationCode>15000000</cbc:ItemClassificationCode></cac:RequiredCommodityClassification>
+<cac:RealizedLocation><cbc:CountrySubentityCode>ES300</cbc:CountrySubentityCode></cac:RealizedLocation>
+</p:ContractFolderStatus></entry>
 <entry><id>no number</id><title>t</title></entry><entry><id>https://x/2</id></entry></feed>"""
 
 
@@ -32,6 +41,7 @@ def folder(tmp_path_factory):
         z.writestr("readme.txt", "x")
         z.writestr("a.atom", FEED)
         z.writestr("b.atom", "<x/>")
+        z.writestr("c.xml", FEED)
     (top / "all.zip").write_bytes(out.getvalue())
     (top / "none.zip").write_bytes(b"PK?")
     for name, digest in (("one.atom", hashlib.sha256(FEED.encode()).hexdigest()), ("gone.atom", "0" * 64), ("bad.xml", "0" * 64)):
@@ -41,7 +51,7 @@ def folder(tmp_path_factory):
 
 
 def test_scan_locates_records_and_rejections(spark, folder):
-    rows = raw.scan(raw.raw_files(spark, folder)).collect()
+    rows = raw.scan_folder(spark, folder).collect()
     name = lambda r: r["path"].rpartition("/")[2]
     found = {(name(r), r["member"], r["member_index"], r["locator"], r["kind"], r["reason"]) for r in rows}
     assert ("ted.JSONL", None, None, 1, "record", None) in found
@@ -62,16 +72,72 @@ def test_split_json_lines_equal_whole_files(spark, folder, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
     try:
         for place in (str(tmp_path), folder):
-            want = raw.scan(raw.raw_files(spark, place, ("jsonl",)))
-            got = raw.scan_json_lines(spark, place)
-            assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+            want = []
+            for path in Path(place).iterdir():
+                if path.name.lower().endswith(".jsonl"):
+                    want += [raw.parse_json_line(path.name, line, n) for n, line in enumerate(path.read_bytes().split(b"\n"), 1)]
+            got = [(r["path"].rpartition("/")[2], *r[1:]) for r in raw.scan_json_lines(spark, place).collect()]
+            assert sorted(map(str, got)) == sorted(str(x) for x in want if x[4] != "blank")
         assert raw.scan_json_lines(spark, str(tmp_path)).count() > 2000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_feed_fields_stand_in_their_places(spark, folder):
+    row = raw.scan_folder(spark, folder).where("kind = 'record' AND path LIKE '%all.zip'").first()
+    got = json.loads(row.payload_json)
+    want = {"buyer_dir3": "E1", "buyer_nif": "N1", "city": "Madrid", "region": None, "nuts_code": "ES300", "cpv": ["15000000", "15000000"], "contract_folder_id": "F1", "_atom_file": "a.atom",
+            "amount_estimated_overall": 5000.0, "amount_estimated_overall_raw": "5.000,00", "amount_tax_exclusive": 1234.5, "url": "https://x/p/1", "tender_no": "1"}
+    assert {k: got[k] for k in want} == want and "amount_total" not in got
+
+
+@pytest.mark.parametrize(
+    ("payload", "value", "currency"),
+    [
+        ({"amount_estimated_overall": 500.0, "amount_estimated_overall_raw": "500", "amount_estimated_overall_currency": "USD", "amount_tax_exclusive": 100.0, "amount_tax_exclusive_currency": "EUR"}, "500.00", "USD"),
+        ({"amount_estimated_overall": None, "amount_tax_exclusive": 100.0, "amount_tax_exclusive_currency": "EUR"}, None, None),
+        ({"amount_tax_exclusive": 100.0, "amount_tax_exclusive_currency": "EUR"}, "100.00", "EUR"),
+        ({"amount_tax_exclusive": 1e7, "amount_tax_exclusive_currency": "EUR"}, "10000000.00", "EUR"),
+        ({"amount_tax_exclusive": 1.0, "amount_tax_exclusive_raw": "1e7"}, "10000000.00", None),
+    ],
+)
+def test_feed_amounts(spark, payload, value, currency):
+    text = json.dumps({"atom_id": "https://x/9", "title": "[Anulado] t", "updated": " 2026-01-02T03:04:05Z\n"} | payload)
+    row = events.record_events(spark.createDataFrame([("placsp", text)], "source string, payload_json string").withColumn("retrieved_at", F.current_timestamp())).first()
+    assert (None if row.estimated_value is None else str(row.estimated_value), row.currency) == (value, currency)
+    assert row.event_id == "placsp:notice:https://x/9@2026-01-02T03:04:05+00:00" and row.title == "[Anulado] t"
+
+
+def test_notices_by_their_own_types(spark):
+    rows = [
+        {"ND": 7, "TI": {"spa": "[Anulado] Obras"}, "amount": 0, "PC": "1", "procedure-identifier": ["a", " a"], "BI": ["b", "c"], "CY": ["ESP"], "links": {"html": {"FRA": "f", "SPA": "s"}}, "notice-type": "cn"},
+        {"ND": "8", "TI": {"spa": ""}, "title": "not this one", "estimated-value-lot": "x", "amount": "5", "currency": "USD", "PC": [], "cpv": ["2", "2"]},
+        {"ND": "9", "TI": [], "title": ["", "this"], "framework-maximum-value-lot": "1e3", "amount": 5, "currency": "USD", "CY": "FR", "url": "u"},
+    ]
+    df = spark.createDataFrame([("ted", json.dumps(r)) for r in rows], "source string, payload_json string").withColumn("retrieved_at", F.current_timestamp())
+    got = {r.event_id[-1]: r for r in events.record_events(df).collect()}
+    short = lambda r: (r.title, None if r.estimated_value is None else str(r.estimated_value), r.currency, r.cpv_codes, r.procedure_id, r.buyer_id, r.country, r.source_url, r.source_event_type)
+    assert short(got["7"]) == ("[Anulado] Obras", "0.00", "EUR", ["1"], "ted:procedure:a", None, "ES", "s", "notice:cn")
+    assert short(got["8"]) == (None, None, None, ["2"], None, None, None, None, "notice")
+    assert short(got["9"]) == ("this", "1000.00", "USD", [], None, None, "FR", "u", "notice")
+
+
+@pytest.mark.parametrize(
+    ("payload", "reason"),
+    [
+        ('{"ND": "1", "TI": {"spa": "a \ufffd b"}}', None), ('{"ND": "1", "TI": {"spa": "[Anulado] Obras"}}', None), ('{"ND": "1", "TI": "a \\ud83d\\ude00"}', None), ('{"ND": "1", "TI": "a \\ud83d"}', "invalid_unicode_payload"),
+        ('{"ND": "1", "TI": "a \\\\ud83d"}', None), ('{"ND": "[]", "TI": "{}"}', None), ('{"ND": [], "TI": "t"}', "missing_tender_id"), ('{"ND": "1", "TI": {"spa": ""}, "title": "t"}', "missing_title"),
+    ],
+)
+def test_acceptance(spark, payload, reason):
+    from noticeworks.operators import intake
+
+    df = spark.createDataFrame([("ted", payload)], "source string, payload_json string")
+    assert df.select(intake.rejection_reason(F.col("source"), F.col("payload_json")).alias("r")).first().r == reason
+
+
 def test_accounting_and_strict(spark, folder):
-    rows = raw.scan(raw.raw_files(spark, folder))
+    rows = raw.scan_folder(spark, folder)
     one = {r["path"].rpartition("/")[2]: r for r in raw.accounting(rows).collect()}["one.atom"]
     assert (one.accepted, one.rejected, one.control_errors, one.tombstones) == (1, 2, 1, 1)
     with pytest.raises(Exception, match="invalid|missing|expected"):
@@ -84,7 +150,7 @@ def test_evidence(spark, folder):
 
 
 def test_events_from_raw_to_decision(spark, folder):
-    rows = raw.scan(raw.raw_files(spark, folder)).withColumn("retrieved_at", F.lit("2026-02-01 00:00:00").cast("timestamp"))
+    rows = raw.scan_folder(spark, folder).withColumn("retrieved_at", F.lit("2026-02-01 00:00:00").cast("timestamp"))
     rows = rows.where("path LIKE '%one.atom' OR path LIKE '%JSONL'")
     records = rows.where("kind = 'record'").select(F.when(F.col("path").endswith("JSONL"), "ted").otherwise("placsp").alias("source"), "payload_json", "retrieved_at")
     gone = rows.where("kind = 'tombstone'").select(F.col("record_id").alias("ref"), "deleted_at", "retrieved_at")
@@ -95,7 +161,8 @@ def test_events_from_raw_to_decision(spark, folder):
     ted = by_id["ted:notice:1"]
     assert (ted.title, ted.country, str(ted.estimated_value), ted.currency, ted.cpv_codes, str(ted.publication_date)) == ("a", "ES", "1234.50", "EUR", ["x"], "2024-01-05")
     entry = by_id["placsp:notice:https://x/1@2026-01-02T02:04:05.500000+00:00"]
-    assert (entry.title, entry.status, entry.cpv_codes, str(entry.estimated_value), entry.publication_date) == ("Suministro de café", "PUB", ["15000000"], "1234.50", None)
+    assert (entry.title, entry.status, entry.cpv_codes, str(entry.estimated_value), entry.currency, entry.publication_date) == ("Suministro de café \ufffd", "PUB", ["15000000"], "5000.00", "USD", None)
+    assert (entry.buyer_id, entry.nuts_code, entry.source_url, entry.description) == ("E1", "ES300", "https://x/p/1", "s")
     current, issues = state.current_state(found)
     assert [r.reason for r in issues.collect()] == [state.NO_ID]
     opened, counts = state.open_opportunities(current, None)
