@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.operators import enrich, legacy, state
-from noticeworks.operators.contracts import EVENT_FIELDS, ContractError, assert_key, check, read_checked
+from noticeworks.operators import enrich, intake, legacy, state
+from noticeworks.operators.contracts import EVENT_FIELDS, ContractError, assert_key, assert_row_count, check, read_checked
 from noticeworks.operators.events import procurement_events
-from noticeworks.sources import exports
+from noticeworks.sources import dimensions, exports, files
+
+#: Version of the datasets' and manifests' layout.
+FORMAT = 1
 
 
 def build_events(records: DataFrame, tombstones: DataFrame, provenance: list[str], path: str) -> int:
@@ -21,61 +26,157 @@ def build_events(records: DataFrame, tombstones: DataFrame, provenance: list[str
         raise ContractError(f"events with different contents: {[(r.event_id, r.fields) for r in bad]}")
     first = state.first_observation(found, "event_id", F.struct("ingested_at", *provenance))
     exports.write_parquet(first, path, ("event_id",))
-    return check(first.sparkSession.read.parquet(path), tuple(f if f.name != "cpv_codes" else f for f in EVENT_FIELDS))
+    return check(first.sparkSession.read.parquet(path), EVENT_FIELDS)
 
 
-def build_gold(spark: SparkSession, events_path: str, out: str, as_of: datetime | None, codes: DataFrame | None = None) -> dict:
-    """Current state, its issues, open opportunities and their codes below ``out``; the manifest."""
+def build_current_state(spark: SparkSession, events_path: str, out: str) -> dict:
+    """Current state and its issues below ``out``, with a manifest beside them."""
     events = read_checked(spark, events_path, EVENT_FIELDS)
     assert_key(events, "event_id")
     current, issues = state.current_state(events)
     exports.write_parquet(current, f"{out}/current_state", ("procedure_id",))
     exports.write_parquet(issues, f"{out}/current_state_issues")
+    counts = {name: spark.read.parquet(f"{out}/{name}").count() for name in ("current_state", "current_state_issues")}
+    manifest = {"format_version": FORMAT, "events": events_path, "rows": counts}
+    files.write_document(spark, f"{out}/current_state_manifest.json", manifest)
+    return manifest
+
+
+def build_gold(spark: SparkSession, events_path: str, out: str, as_of: datetime | None, codes: DataFrame | None = None) -> dict:
+    """Current state, its issues, open opportunities and their codes below ``out``, with
+    manifests beside them; the last one is returned."""
+    rows = build_current_state(spark, events_path, out)["rows"]
     current = spark.read.parquet(f"{out}/current_state")
     opened, counts = state.open_opportunities(current, as_of)
     exports.write_parquet(opened, f"{out}/open_opportunities", ("procedure_id",))
     opened = spark.read.parquet(f"{out}/open_opportunities")
     decisions = {r.decision: r.n for r in counts.collect()}
-    manifest = {"as_of": as_of.isoformat() if as_of else None, "decisions": decisions, "issues": spark.read.parquet(f"{out}/current_state_issues").count(), "open": opened.count()}
-    if sum(decisions.values()) != current.count() or manifest["open"] != decisions["open"]:
+    manifest = {"format_version": FORMAT, "as_of": as_of.isoformat() if as_of else None, "decisions": decisions, "issues": rows["current_state_issues"], "open": opened.count()}
+    if sum(decisions.values()) != rows["current_state"] or manifest["open"] != decisions["open"]:
         raise ContractError(f"rows unaccounted for: {manifest}")
     if codes is not None:
         assert_key(codes, "cpv_code")
-        coded = enrich.with_dimension(enrich.exploded_codes(opened), enrich.dimension(codes.withColumnRenamed("cpv_code", "_code")), "cpv_code", "_code", "cpv_matched")
+        exploded = enrich.exploded_codes(opened)
+        coded = enrich.with_dimension(exploded, enrich.dimension(codes.withColumnRenamed("cpv_code", "_code")), "cpv_code", "_code", "cpv_matched")
         exports.write_parquet(coded, f"{out}/cpv_enriched", ("procedure_id", "cpv_position"))
-        manifest["codes"] = enrich.code_coverage(coded).first().asDict()
+        written = spark.read.parquet(f"{out}/cpv_enriched")
+        expected = opened.agg(F.coalesce(F.sum(F.size("cpv_codes")), F.lit(0))).first()[0]
+        assert_row_count(written, expected, "the code dimension")
+        manifest["codes"] = enrich.code_coverage(written).first().asDict()
+    files.write_document(spark, f"{out}/gold_manifest.json", manifest)
+    return manifest
+
+
+def resolve_code_dimension(spark: SparkSession, explicit: str | None = None, built: str | None = None, vocabulary: str | None = None) -> DataFrame:
+    """The code dimension: a Parquet named for this run, else the one built before, else built
+    from the vocabulary; without any of them an error. Its key is checked."""
+    if explicit is not None:
+        found = spark.read.parquet(explicit)
+    elif built is not None and files.exists(spark, built):
+        found = spark.read.parquet(built)
+    elif vocabulary is not None and files.exists(spark, vocabulary):
+        found = dimensions.read_code_dimension(spark, vocabulary)
+    else:
+        raise ContractError(f"no code dimension at {explicit}, {built} or {vocabulary}")
+    assert_key(found, "cpv_code")
+    return found.orderBy("cpv_code")
+
+
+def resolve_unit_dimension(spark: SparkSession, built: str | None) -> DataFrame | None:
+    """The units' dimension, which a build can do without."""
+    if built is None or not files.exists(spark, built):
+        return None
+    found = spark.read.parquet(built)
+    assert_key(found, "code")
+    return found
+
+
+def build_units(sheets: dict[str, DataFrame], out: str) -> dict:
+    """Units of all scopes (scope to sheet rows) as one dimension below ``out``, in order of code.
+
+    A code in two scopes fails. The manifest counts what each scope accepted and rejected, by
+    reason, the units of each status, and parents that are no units.
+    """
+    parts = {scope: dimensions.units(rows, scope) for scope, rows in sheets.items()}
+    good, bad = (functools.reduce(DataFrame.unionByName, [p[i].withColumn("_of", F.lit(scope)) for scope, p in parts.items()]) for i in (0, 1))
+    assert_key(good, "code", 10)
+    spark = good.sparkSession
+    exports.write_parquet(good.drop("_of").orderBy("code"), f"{out}/units")
+    reasons = {}
+    for r in bad.groupBy("_of", "rejection_reason").agg(F.count("*").alias("n")).collect():
+        reasons.setdefault(r["_of"], {})[r["rejection_reason"]] = r["n"]
+    done = spark.read.parquet(f"{out}/units")
+    by = lambda c: {r[c]: r["n"] for r in done.groupBy(c).agg(F.count("*").alias("n")).collect()}
+    accepted = by("scope")
+    manifest = {
+        "dimension": "units",
+        "format_version": FORMAT,
+        "row_count": sum(accepted.values()),
+        "status_counts": by("status"),
+        "parents_unresolved": intake.unresolved_parents(done).count(),
+        "scopes": {s: {"accepted": accepted.get(s, 0), "rejected": sum(reasons.get(s, {}).values()), "rejection_reasons": reasons.get(s, {})} for s in sheets},
+    }
+    files.write_document(spark, f"{out}/units_manifest.json", manifest)
     return manifest
 
 
-def register_views(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
-    """Views over a gold folder, in order of dependency, under their export names."""
+def register_views(spark: SparkSession, gold: str, codes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Views over a gold folder, in order of dependency, under their export names.
+
+    The base view keeps the contract's names, order, types and key, and the views' totals agree
+    with it, or nothing is registered. Codes are counted from 0 in their view; without a code
+    dimension all are unmatched.
+    """
     opened = spark.read.parquet(f"{gold}/open_opportunities")
-    codes = enrich.exploded_codes(opened).withColumn("label", F.lit(None).cast("string"))
+    check(opened, tuple(f for f in EVENT_FIELDS if f.name not in ("source_event_type",)))
+    assert_key(opened, "procedure_id")
+    dim = codes if codes is not None else dimensions.empty_code_dimension(spark)
+    assert_key(dim, "cpv_code")
+    attributes = ("label_es", "label_en", "level", "parent_code", "is_leaf")
+    exploded = enrich.exploded_codes(opened).withColumn("cpv_position", F.col("cpv_position") - 1)
+    joined = enrich.with_dimension(exploded, enrich.dimension(dim.select(F.col("cpv_code").alias("_code"), *attributes)), "cpv_code", "_code", "cpv_matched")
+    coded = joined.select("procedure_id", "source", "buyer_id", "publication_date", "estimated_value", "currency", "cpv_position", "cpv_code", "cpv_matched", *attributes)
     views = {
         "open_opportunities": opened,
-        "opportunity_cpv": codes,
+        "opportunity_cpv": coded,
         "buyer_summary": enrich.buyer_summary(opened),
-        "cpv_summary": enrich.code_summary(codes),
+        "cpv_summary": enrich.code_summary(coded.withColumnRenamed("label_es", "label")),
         "opportunities_monthly": enrich.monthly_summary(opened),
         "opportunities_without_publication_date": enrich.undated_summary(opened),
     }
+    totals = enrich.reconciliation(opened, coded, views["buyer_summary"], views["opportunities_monthly"], views["opportunities_without_publication_date"])
+    if wrong := totals.where("NOT agrees").collect():
+        raise ContractError(f"views don't agree with their base: {[(r.view, r.got, r.want) for r in wrong]}")
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views
 
 
 def export_views(views: dict[str, DataFrame], out: str) -> dict[str, int]:
-    """The five exports as CSV below ``out``; rows of each, as read back."""
+    """The five exports as CSV below ``out``; rows of each.
+
+    All are written beside their places and read back, columns and rows compared, before the
+    first takes its place; a manifest follows last. A failure leaves what was there before.
+    """
     missing = set(exports.EXPORTS) - set(views)
     if missing:
         raise ContractError(f"views missing: {sorted(missing)}")
-    rows = {}
-    for name, order in exports.EXPORTS.items():
-        exports.write_csv(views[name], f"{out}/{name}", order)
-        back = views[name].sparkSession.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(f"{out}/{name}")
-        rows[name] = back.count()
-        if rows[name] and back.columns != views[name].columns:
-            raise ContractError(f"{name} was exported with {back.columns}")
+    spark = next(iter(views.values())).sparkSession
+    staging, rows = f"{out}/_staging-{uuid.uuid4().hex}", {}
+    try:
+        for name, order in exports.EXPORTS.items():
+            exports.write_csv(views[name], f"{staging}/{name}", order)
+            rows[name] = views[name].count()
+            back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(f"{staging}/{name}")
+            if (found := back.count()) != rows[name]:
+                raise ContractError(f"{name} was exported with {found} rows of {rows[name]}")
+            if rows[name] and back.columns != views[name].columns:
+                raise ContractError(f"{name} was exported with {back.columns}")
+        for name in rows:
+            files.replace(spark, f"{staging}/{name}", f"{out}/{name}")
+        files.write_document(spark, f"{out}/manifest.json", {"format_version": FORMAT, "files": {name: {"view": name, "row_count": n} for name, n in rows.items()}})
+    finally:
+        files.remove(spark, staging)
     return rows
 
 
@@ -90,6 +191,6 @@ def link_duplicates(rows: DataFrame, window: int = 7, threshold: float = 0.75) -
     weights = legacy.tfidf(rows.join(involved, ["block", "key"]).select("block", "key", "title"), "block", "key", "title")
     links = legacy.similarities(pairs, weights).where(F.col("similarity") >= threshold)
     groups = legacy.numbered_groups(legacy.link_groups(links))
-    members = groups.join(rows.select(F.col("key").alias("node"), "day", "title"), "node")
-    best = legacy.canonical(members, "day", "title", "node")
+    members = groups.join(rows.select(F.col("key").alias("node"), "day", "title", "source"), "node")
+    best = legacy.canonical(members, "day", "title", "node", "source")
     return members.join(best, "root").select(F.col("node").alias("key"), "root", "group_no", "canonical")

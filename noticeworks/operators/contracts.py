@@ -82,5 +82,12 @@ def assert_key(df: DataFrame, key: str, shown: int = 5) -> None:
         raise ContractError(f"{key} is no key: {[r[key] for r in found]}")
 
 
+def assert_row_count(df: DataFrame, expected: int, label: str) -> int:
+    """A join by a key adds no rows and loses none."""
+    if (found := df.count()) != expected:
+        raise ContractError(f"{label} changed the number of rows: {expected} before, {found} after")
+    return found
+
+
 def nested_arrays(schema: StructType) -> list[str]:
     return [f.name for f in schema.fields if isinstance(f.dataType, ArrayType)]

@@ -54,7 +54,7 @@ def average(x: str) -> Column:
     return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double")).cast("decimal(38,6)")
 
 
-def _summary(codes: str) -> list[Column]:
+def _summary() -> list[Column]:
     return [
         F.count("*").alias("opportunities_count"),
         F.sum("estimated_value").cast("decimal(38,2)").alias("total_estimated_value"),
@@ -62,15 +62,23 @@ def _summary(codes: str) -> list[Column]:
         F.min("publication_date").alias("first_publication_date"),
         F.max("publication_date").alias("last_publication_date"),
         F.min("deadline").alias("earliest_deadline"),
-        F.size(F.array_distinct(F.flatten(F.collect_set(codes)))).cast("long").alias("distinct_cpv_count"),
     ]
 
 
 def buyer_summary(rows: DataFrame) -> DataFrame:
-    """By buyer id, and by name where there is no id; rows with neither are one bucket."""
-    known = rows.where("buyer_id IS NOT NULL").groupBy("buyer_id").agg(F.max("buyer_name").alias("buyer_name"), F.lit("buyer_id").alias("identity_basis"), *_summary("cpv_codes"))
-    named = rows.where("buyer_id IS NULL").groupBy("buyer_name").agg(F.lit(None).cast("string").alias("buyer_id"), F.lit("buyer_name").alias("identity_basis"), *_summary("cpv_codes"))
-    return known.unionByName(named)
+    """By buyer id, and by name where there is no id; rows with neither are one bucket.
+
+    Both are one aggregation; distinct codes are counted by buyer and code, so that a buyer
+    with any number of them fills no buffer.
+    """
+    by_id = F.col("buyer_id").isNotNull()
+    keyed = rows.select("*", F.when(by_id, "buyer_id").otherwise("buyer_name").alias("identity_basis"), F.when(by_id, F.col("buyer_id")).otherwise(F.col("buyer_name")).alias("_who"))
+    found = keyed.groupBy("identity_basis", "_who").agg(F.first("buyer_id").alias("buyer_id"), F.max("buyer_name").alias("buyer_name"), *_summary())
+    codes = keyed.select("identity_basis", "_who", F.explode("cpv_codes").alias("_code")).groupBy("identity_basis", "_who", "_code").agg(F.lit(1).alias("_one"))
+    counts = codes.groupBy(F.col("identity_basis").alias("_basis"), F.col("_who").alias("_of")).agg(F.count("*").alias("_codes"))
+    joined = found.join(counts, (F.col("identity_basis") == F.col("_basis")) & F.col("_who").eqNullSafe(F.col("_of")), "left")
+    named = joined.withColumn("distinct_cpv_count", F.coalesce("_codes", F.lit(0).cast("long")))
+    return named.select("buyer_id", "buyer_name", "identity_basis", *(c for c in named.columns if c not in ("buyer_id", "buyer_name", "identity_basis", "_who", "_basis", "_of", "_codes")))
 
 
 def code_summary(codes: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,9 +18,20 @@ OTHER = "Other"
 
 
 def keyword_hits(folded: Column, keywords: list[str]) -> Column:
-    """Sorted distinct folded keywords that the folded text has as whole words."""
+    """Sorted distinct folded keywords that the folded text has as whole words.
+
+    The text is cut into words once, which keywords of one word are looked up among; those of
+    several are searched for one by one only where an alternation of them all is found.
+    """
     words = sorted({fold_word(k) for k in keywords})
-    return F.array_compact(F.array(*(F.when(has_word(folded, w), F.lit(w)) for w in words)))
+    single = [w for w in words if re.fullmatch(r"\w+", w)]
+    phrases = [w for w in words if w not in single]
+    none = F.array().cast("array<string>")
+    found = F.array_intersect(F.array(*map(F.lit, single)), F.regexp_extract_all(folded, F.lit(r"(?U)(\w+)"), F.lit(1))) if single else none
+    if phrases:
+        any_of = folded.rlike("|".join(map(re.escape, phrases)))
+        found = F.concat(found, F.when(any_of, F.array_compact(F.array(*(F.when(has_word(folded, w), F.lit(w)) for w in phrases)))).otherwise(none))
+    return F.array_sort(found)
 
 
 def classified(rows: DataFrame, folded: str, categories: list[tuple[str, list[str]]], prefixes: list[tuple[str, str]] = (), code: str | None = None) -> DataFrame:
@@ -27,18 +40,16 @@ def classified(rows: DataFrame, folded: str, categories: list[tuple[str, list[st
     The first category in configured order with a keyword wins, else the longest code prefix,
     else Other. The score is the number of distinct keywords.
     """
-    text = F.col(folded)
-    every = keyword_hits(text, [k for _, words in categories for k in words])
-    by_word = F.coalesce(*(F.when(F.size(keyword_hits(text, words)) > 0, F.lit(name)) for name, words in categories))
+    every = keyword_hits(F.coalesce(F.col(folded), F.lit("")), [k for _, words in categories for k in words])
+    # the keywords found, once a row: what follows refers to them
+    found = rows.select("*", F.inline(F.array(F.struct(every.alias("matched_keywords")))))
+    mine = lambda words: F.arrays_overlap("matched_keywords", F.array(*(F.lit(fold_word(w)) for w in words)))
+    by_word = F.coalesce(*(F.when(mine(words), F.lit(name)) for name, words in categories))
     by_code = longest_prefix(F.col(code), list(prefixes)) if code else F.lit(None).cast("string")
     return (
-        rows.withColumn("matched_keywords", every)
-        .withColumn("_w", by_word)
-        .withColumn("_c", by_code)
-        .withColumn("category", F.coalesce("_w", "_c", F.lit(OTHER)))
-        .withColumn("category_source", F.when(F.col("_w").isNotNull(), "keywords").when(F.col("_c").isNotNull(), "cpv").otherwise("none"))
+        found.withColumn("category", F.coalesce(by_word, by_code, F.lit(OTHER)))
+        .withColumn("category_source", F.when(by_word.isNotNull(), "keywords").when(by_code.isNotNull(), "cpv").otherwise("none"))
         .withColumn("score", F.size("matched_keywords"))
-        .drop("_w", "_c")
     )
 
 
@@ -81,6 +92,15 @@ def shares(rows: DataFrame, **conditions: Column) -> DataFrame:
     return rows.agg(*(share(F.count_if(c), F.count("*")).alias(name) for name, c in conditions.items()))
 
 
+def mart_order(mart: DataFrame, *columns: str) -> DataFrame:
+    """A mart in the order in which it is written; names after a minus descend."""
+    return mart.orderBy(*(F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in columns))
+
+
+#: Fixed: the orders of the marts of technology_summary and buyer_category.
+TECHNOLOGY_ORDER, BUYER_ORDER = ("category", "month"), ("-records", "buyer", "category")
+
+
 def technology_summary(rows: DataFrame, category: str, day: str, score: str) -> DataFrame:
     return rows.groupBy(F.col(category).alias("category"), month_label(F.col(day)).alias("month")).agg(F.count("*").alias("records"), F.sum(score).cast("long").alias("score"))
 
@@ -160,6 +180,8 @@ def numbered_groups(groups: DataFrame, root: str = "root") -> DataFrame:
     return groups.join(ranked.select(root, (F.col("_start") + F.col("_rank")).cast("int").alias("group_no")), root)
 
 
-def canonical(groups: DataFrame, day: str, title: str, key: str) -> DataFrame:
-    """The canonical record of each group: earliest, then longest title, then least key."""
-    return groups.groupBy("root").agg(F.min(F.struct(day, (-F.length(title)).alias("_l"), key)).getField(key).alias("canonical"))
+def canonical(groups: DataFrame, day: str, title: str, key: str, source: str) -> DataFrame:
+    """The canonical record of each group: earliest (undated ones last), then the longest title,
+    then the least key, then the least source."""
+    order = F.struct(F.col(day).isNull().alias("_n"), F.col(day), (-F.length(F.coalesce(title, F.lit("")))).alias("_l"), F.col(key), F.col(source))
+    return groups.groupBy("root").agg(F.min(order).getField(key).alias("canonical"))

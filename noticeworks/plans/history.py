@@ -109,14 +109,17 @@ def offenders_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parity_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    moved = o.where(F.col("o_orderkey") % 10 != 3).withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 4 == 0, F.lit(None)).otherwise(F.col("o_orderstatus")))
-    return state.parity(o.where(F.col("o_orderkey") % 10 != 7), moved, "o_orderkey", ["o_orderstatus", "o_orderpriority"])
+    # keys that only one side has: every tenth of either side is moved out of the other's reach
+    k = F.col("o_orderkey")
+    left = o.withColumn("o_orderkey", F.when(k % 10 == 7, -k).otherwise(k))
+    right = o.select(F.when(k % 10 == 3, -k).otherwise(k).alias("o_orderkey"), F.when(k % 4 != 0, F.col("o_orderstatus")).alias("o_orderstatus"), "o_orderpriority")
+    return state.parity(left, right, "o_orderkey", ["o_orderstatus", "o_orderpriority"])
 
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A digest per row; equal datasets have equal sets of them."""
-    n = table(spark, sf_dir, "nation")
-    return n.select("n_nationkey", F.sha2(F.to_json(F.struct("n_name", "n_nationkey", "n_regionkey")), 256).alias("digest"))
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", F.sha2(F.to_json(F.struct("o_custkey", "o_orderkey", "o_orderstatus")), 256).alias("digest"))
 
 
 QUERIES = {
@@ -160,10 +163,10 @@ ORACLES = {
     "tombstone_anti": "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_custkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')",
     "offenders_semi": """SELECT l_orderkey, l_linenumber, l_returnflag, l_partkey FROM lineitem
         WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag) > 1)""",
-    "parity_diff": """WITH a AS (SELECT * FROM orders WHERE o_orderkey % 10 <> 7),
-        b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS s, o_orderpriority AS p FROM orders WHERE o_orderkey % 10 <> 3)
+    "parity_diff": """WITH a AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 7 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey) FROM orders),
+        b AS (SELECT CASE WHEN o_orderkey % 10 = 3 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS s, o_orderpriority AS p FROM orders)
         SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'left_only' WHEN a.o_orderkey IS NULL THEN 'right_only' ELSE 'differs' END AS kind,
             CASE WHEN a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL THEN 'o_orderstatus' ELSE '' END AS fields
         FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR o_orderstatus IS DISTINCT FROM s OR o_orderpriority IS DISTINCT FROM p""",
-    "fingerprint": """SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}') AS digest FROM nation""",
+    "fingerprint": """SELECT o_orderkey, sha256('{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS digest FROM orders""",
 }

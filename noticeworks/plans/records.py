@@ -5,22 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.functions import codes, text
-from noticeworks.operators import legacy
-from noticeworks.session import table
+from noticeworks.functions import codes
+from noticeworks.operators import legacy, records
+from noticeworks.plans import silver
+from noticeworks.session import cut, table
 
-#: Categories of the queries, in order of preference, with words of the driver's texts.
-CATEGORIES = [("Cloud", ["thing", "with"]), ("Data", ["the", "for"]), ("Security", ["les", "pour"]), ("Software", ["von", "der"])]
 PREFIXES = [("Brand#1", "ones"), ("Brand#", "any"), ("Brand#12", "twelve"), ("Brand#2", "twos")]
+#: What is put after a document's text, and its code, by doc_id: synthetic prose has no such words.
+PHRASES = ("en la Nube", "Inteligencia  Artificial", "inteligencia artificial y SOC", "Analítica, cuadro de mando", "mantenimiento de aplicaciones", "redes", "Red/servidor", "associate", "big data lake")
+CODES = ("72415000", "72300000", "72413100", "48000000", "15000000", None, "72400000")
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("folded", text.fold(F.coalesce("text", F.lit(""))))
-    return legacy.classified(docs, "folded", CATEGORIES, [("src1", "Cloud"), ("src0", "Data")], "source")
+def _tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records of the lineage: their text as summary, with a phrase as title."""
+    k = F.col("doc_id")
+    phrase = F.element_at(F.array(*map(F.lit, PHRASES)), (k % len(PHRASES) + 1).cast("int"))
+    code = F.element_at(F.array(*map(F.lit, CODES)), (k % len(CODES) + 1).cast("int"))
+    return table(spark, sf_dir, "documents").select("doc_id", phrase.alias("title"), F.col("text").alias("summary"), code.alias("cpv_main"))
 
 
 def keyword_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir).select("doc_id", F.array_join("matched_keywords", "|").alias("matched"), "category", "category_source", "score")
+    found = records.scored(_tenders(spark, sf_dir))
+    return found.select("doc_id", F.array_join("matched_keywords", "|").alias("matched"), "category", "category_source", "score")
+
+
+def tender_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 15 fields of every payload, the payload itself by its digest."""
+    found = records.tender_records(silver.payloads(spark, sf_dir)[0])
+    return found.select(*(c for c in found.columns if c not in ("raw", "amount")), F.round("amount", 4).alias("amount"), F.col("raw").isNotNull().alias("has_raw"))
+
+
+def record_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored records in the shape and order of BI tools."""
+    rows = records.bi_rows(records.opportunity_rows(records.scored(records.tender_records(silver.payloads(spark, sf_dir)[0]))))
+    return rows.select("source", "tender_id", "category", "technology_score", "matched_keywords", "category_source", "published_date", "is_canonical")
+
+
+def record_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every gate over the records of all payloads."""
+    found = records.tender_records(silver.payloads(spark, sf_dir)[0])
+    return records.record_quality(found, records.opportunity_rows(records.scored(found)))
+
+
+def record_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken rules, a repeated record among them, counted."""
+    found = records.record_issues(records.tender_records(silver.payloads(spark, sf_dir)[0]))
+    return found.groupBy("rule").agg(F.count("*").alias("n"))
 
 
 def prefix_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,12 +66,7 @@ def classifier_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = {
-        "title_required": F.coalesce("text", F.lit("")) == "",
-        "short_text": F.col("n_chars") < 100,
-        "unknown_language": ~F.col("lang").isin("en", "fr", "de"),
-        "unique_text": F.lit(False),
-    }
+    rules = {"title_required": F.coalesce("text", F.lit("")) == "", "short_text": F.col("n_chars") < 100, "unknown_language": ~F.col("lang").isin("en", "fr", "de")}
     return legacy.quality_issues(table(spark, sf_dir, "documents"), "doc_id", rules)
 
 
@@ -87,7 +112,7 @@ def linkage_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tfidf_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that share a token, by cosine of their TF-IDF weights."""
     items = table(spark, sf_dir, "benchmark").select(F.lit("all").alias("block"), F.col("item_id").alias("key"), F.lower("text").alias("text"))
-    weights = legacy.tfidf(items, "block", "key", "text").cache()
+    weights = cut(legacy.tfidf(items, "block", "key", "text"))
     a, b = (weights.select("token", F.col("key").alias(k)) for k in ("a", "b"))
     pairs = a.join(b, "token").where("a < b").select(F.lit("all").alias("block"), "a", "b").distinct()
     return legacy.similarities(pairs, weights).select("a", "b", F.round("similarity", 6).alias("similarity"))
@@ -96,27 +121,48 @@ def tfidf_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        keyword_classify, prefix_category, classifier_eval, quality_issues, quality_gates, tech_summary, buyer_category, linkage_candidates, linkage_stats, linkage_groups, tfidf_similarity,
+        keyword_classify, tender_records, record_opportunities, record_quality, record_issues, prefix_category, classifier_eval, quality_issues, quality_gates, tech_summary, buyer_category, linkage_candidates, linkage_stats, linkage_groups, tfidf_similarity,
     )
 }
 
-_W = "(^|[^\\p{L}\\p{N}_])%s($|[^\\p{L}\\p{N}_])"
-
-
 def _hit(word: str) -> str:
-    return f"regexp_matches(t, '{_W % word}')"
-
-
-_WORDS = sorted({w for _, ws in CATEGORIES for w in ws})
-_CASE = " ".join(f"WHEN {' OR '.join(_hit(w) for w in ws)} THEN '{name}'" for name, ws in CATEGORIES)
+    return f"regexp_matches(t, '(^|[^\\p{{L}}\\p{{N}}_]){word}($|[^\\p{{L}}\\p{{N}}_])')"
+
+
+_WORDS = sorted({w for _, ws in records.CATEGORIES for w in ws})
+_CASE = " ".join(f"WHEN {' OR '.join(_hit(w) for w in ws)} THEN '{name}'" for name, ws in records.CATEGORIES)
+_BY_CODE = " ".join(f"WHEN starts_with(cpv_main, '{p}') THEN '{name}'" for p, name in sorted(records.PREFIXES, key=lambda x: -len(x[0])))
+_CLASSED = f"""coalesce(w, c, 'Other') AS category, CASE WHEN w IS NOT NULL THEN 'keywords' WHEN c IS NOT NULL THEN 'cpv' ELSE 'none' END AS category_source"""
+_FOUND = f"""list_filter([{", ".join(f"CASE WHEN {_hit(w)} THEN '{w}' END" for w in _WORDS)}], lambda x: x IS NOT NULL)"""
+_PHRASE = "[" + ", ".join(f"'{x}'" for x in PHRASES) + "]"
+_CODE = "[" + ", ".join("NULL" if x is None else f"'{x}'" for x in CODES) + "]"
+_NULL = "CAST(NULL AS VARCHAR)"
+#: The records of silver.payloads: a feed's entries are observed twice.
+_R = f"""r AS (
+  SELECT 'ted' AS source, CAST(o_orderkey AS VARCHAR) AS tender_id, CASE WHEN o_orderkey % 5 = 0 THEN '[Anulado] t' ELSE 't' END || o_custkey AS title, 'a ' || chr(65533) || ' b' AS summary, {_NULL} AS buyer,
+     CAST(o_orderdate AS DATE) AS published_date, 'EUR' AS currency, 'ESP' AS country, {_NULL} AS url, '72000000' AS cpv_main, {_NULL} AS buyer_id, {_NULL} AS region, {_NULL} AS status,
+     CASE WHEN o_orderkey % 3 = 0 THEN 7.25 WHEN o_orderkey % 4 = 0 THEN 1500 ELSE CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS DOUBLE) END AS amount FROM orders
+  UNION ALL SELECT 'placsp', CAST(c_custkey AS VARCHAR), c_name, '', NULL, CASE WHEN c_custkey % 3 <> 0 THEN DATE '2024-01-02' END, 'EUR', 'ES', NULL, c_mktsegment, NULL, NULL, 'PUB',
+     CAST(CAST(abs(c_acctbal) AS DECIMAL(20,2)) AS DOUBLE) FROM customer, range(2)
+  UNION ALL SELECT 'boe', 'B' || s_suppkey, s_name, '', NULL, DATE '2024-01-05', NULL, 'ES', NULL, NULL, NULL, NULL, NULL, NULL FROM supplier)"""
 _L = """r AS (SELECT o_custkey AS block, o_orderkey AS key, o_orderstatus AS source, CASE WHEN o_orderkey % 8 <> 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders),
 l AS (SELECT x.block, x.key AS a, y.key AS b FROM r x JOIN r y ON x.block = y.block AND x.key < y.key AND x.source <> y.source AND abs(date_diff('day', x.day, y.day)) <= 7)"""
 ORACLES = {
-    "keyword_classify": f"""SELECT doc_id, array_to_string(list_filter([{", ".join(f"CASE WHEN {_hit(w)} THEN '{w}' END" for w in _WORDS)}], lambda x: x IS NOT NULL), '|') AS matched,
-        coalesce(w, c, 'Other') AS category, CASE WHEN w IS NOT NULL THEN 'keywords' WHEN c IS NOT NULL THEN 'cpv' ELSE 'none' END AS category_source,
-        CAST({" + ".join(f"CAST({_hit(w)} AS INT)" for w in _WORDS)} AS INT) AS score
-        FROM (SELECT doc_id, t, CASE {_CASE} END AS w, CASE WHEN source LIKE 'src1%' THEN 'Cloud' WHEN source LIKE 'src0%' THEN 'Data' END AS c
-              FROM (SELECT *, strip_accents(lower(coalesce(text, ''))) AS t FROM documents))""",
+    "keyword_classify": f"""SELECT doc_id, array_to_string({_FOUND}, '|') AS matched, {_CLASSED}, CAST(len({_FOUND}) AS INT) AS score
+        FROM (SELECT *, CASE {_CASE} END AS w, CASE {_BY_CODE} END AS c FROM (SELECT doc_id, {_CODE}[doc_id % {len(CODES)} + 1] AS cpv_main,
+              strip_accents(lower({_PHRASE}[doc_id % {len(PHRASES)} + 1] || ' ' || coalesce(text, ''))) AS t FROM documents))""",
+    "tender_records": f"""WITH {_R} SELECT *, true AS has_raw FROM (SELECT * REPLACE (round(amount, 4) AS amount, CASE WHEN source = 'placsp' AND amount IS NULL THEN NULL ELSE currency END AS currency) FROM r)""",
+    "record_opportunities": f"""WITH {_R} SELECT source, tender_id, {_CLASSED}, CAST(len({_FOUND}) AS INT) AS technology_score, array_to_string({_FOUND}, ', ') AS matched_keywords,
+        coalesce(strftime(published_date, '%Y-%m-%d'), '') AS published_date, true AS is_canonical
+        FROM (SELECT *, CASE {_CASE} END AS w, CASE {_BY_CODE} END AS c FROM (SELECT *, strip_accents(lower(title || ' ' || summary)) AS t FROM r))""",
+    "record_quality": f"""WITH {_R}, n AS (SELECT count(*) AS n, count(*) FILTER (published_date IS NULL) AS d, count(*) FILTER (CASE WHEN len({_FOUND.replace("(t, ", "(strip_accents(lower(title || ' ' || summary)), ")}) > 0 THEN true ELSE false END) AS m FROM r),
+        k AS (SELECT count(*) AS k FROM (SELECT source, tender_id FROM r GROUP BY ALL HAVING count(*) > 1)),
+        g AS (SELECT 'records' AS metric, CAST(n AS DOUBLE) AS value, '>=' AS operator, 1.0::DOUBLE AS threshold FROM n UNION ALL SELECT 'title_null_share', 0, '<=', 0.05 FROM n
+          UNION ALL SELECT 'publication_date_null_share', round_even(d::DOUBLE / n, 4), '<=', 0.05 FROM n UNION ALL SELECT 'invalid_amount_share', 0, '<=', 0.1 FROM n
+          UNION ALL SELECT 'technology_match_share', round_even(m::DOUBLE / n, 4), '>=', 0.05 FROM n UNION ALL SELECT 'duplicate_keys', CAST(k AS DOUBLE), '<=', 0 FROM k
+          UNION ALL SELECT 'duplicate_share', 0, '<=', 0.35)
+        SELECT *, CASE operator WHEN '<=' THEN value <= threshold ELSE value >= threshold END AS passed FROM g""",
+    "record_issues": "SELECT 'unique_source_tender_id' AS rule, count(*) AS n FROM customer",
     "prefix_category": "SELECT p_partkey, CASE WHEN p_brand LIKE 'Brand#12%' THEN 'twelve' WHEN p_brand LIKE 'Brand#1%' THEN 'ones' WHEN p_brand LIKE 'Brand#2%' THEN 'twos' ELSE 'any' END AS category FROM part",
     "classifier_eval": """WITH r AS (SELECT CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS g, CASE WHEN n_chars > 2000 THEN 'good' WHEN n_chars > 500 THEN 'bad' ELSE 'Other' END AS p FROM documents JOIN labels USING (doc_id)),
         l AS (SELECT unnest(['good', 'bad', 'absent']) AS label),

@@ -14,7 +14,9 @@ def _text(c):
     return c.cast("string")
 
 
-def _payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted records and deletes, with what real payloads hold: brackets in titles, several
+    amounts, numbers without their text, exponents, padded instants, replacement characters."""
     o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
     money = F.when(k % 4 == 0, "1.5e3").otherwise(_text(F.col("o_totalprice").cast("decimal(20,2)")))
     title = F.concat(F.when(k % 5 == 0, "[Anulado] t").otherwise("t"), _text(F.col("o_custkey")))
@@ -45,7 +47,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = procurement_events(*_payloads(spark, sf_dir))
+    found = procurement_events(*payloads(spark, sf_dir))
     first = state.first_observation(found, "event_id", F.struct("ingested_at"))
     shown = ["event_id", "procedure_id", "source", "source_event_type", "title", "description", "estimated_value", "currency", "publication_date", "status", "country"]
     return first.select(*shown, F.array_join("cpv_codes", ",").alias("cpv_codes"), F.unix_micros("source_updated_at").alias("updated"), F.unix_micros("ingested_at").alias("ingested"))

@@ -12,7 +12,7 @@ from noticeworks.session import table
 
 def _opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    parts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("procedure_id")).agg(F.array_sort(F.collect_set(F.lpad((F.col("l_partkey") % 400).cast("string"), 4, "0"))).alias("cpv_codes"))
+    parts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("procedure_id")).agg(F.array_sort(F.collect_set(F.lpad((F.col("l_partkey") % 400).cast("string"), 9, "0"))).alias("cpv_codes"))
     rows = o.select(
         F.col("o_orderkey").alias("procedure_id"),
         F.when(F.col("o_custkey") % 4 != 0, F.concat(F.lit("B"), F.col("o_custkey").cast("string"))).alias("buyer_id"),
@@ -27,7 +27,7 @@ def _opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = table(spark, sf_dir, "part").where("p_partkey < 300").select(F.lpad(F.col("p_partkey").cast("string"), 4, "0").alias("code"), F.col("p_name").alias("label"))
+    dim = table(spark, sf_dir, "part").select(F.lpad((2 * F.col("p_partkey")).cast("string"), 9, "0").alias("code"), F.col("p_name").alias("label"))
     return enrich.with_dimension(enrich.exploded_codes(_opportunities(spark, sf_dir)), enrich.dimension(dim), "cpv_code", "code", "cpv_matched")
 
 
@@ -40,8 +40,8 @@ def coverage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def buyer_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with and without a buyer id, resolved and unresolved."""
-    dim = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.concat(F.lit("B"), F.col("c_custkey").cast("string")).alias("code"), "c_mktsegment")
+    """Events with and without a buyer id, resolved and unresolved; units have even numbers."""
+    dim = table(spark, sf_dir, "customer").select(F.concat(F.lit("B"), (2 * F.col("c_custkey")).cast("string")).alias("code"), "c_mktsegment")
     joined = enrich.with_dimension(_opportunities(spark, sf_dir), enrich.dimension(dim), "buyer_id", "code", "buyer_matched")
     return joined.agg(
         F.count("buyer_id").alias("with_id"), F.count_if(F.col("buyer_id").isNull()).alias("without_id"), F.count_if("buyer_matched").alias("resolved"),
@@ -112,11 +112,11 @@ QUERIES = {
     )
 }
 
-_O = """k AS (SELECT l_orderkey, list_sort(list(DISTINCT lpad(CAST(l_partkey % 400 AS VARCHAR), 4, '0'))) AS c FROM lineitem GROUP BY l_orderkey),
+_O = """k AS (SELECT l_orderkey, list_sort(list(DISTINCT lpad(CAST(l_partkey % 400 AS VARCHAR), 9, '0'))) AS c FROM lineitem GROUP BY l_orderkey),
 o AS (SELECT o_orderkey AS procedure_id, CASE WHEN o_custkey % 4 <> 0 THEN 'B' || o_custkey END AS buyer_id, CASE WHEN o_custkey % 8 <> 0 THEN 'name ' || (o_custkey % 50) END AS buyer_name,
    CAST(o_totalprice AS DECIMAL(20,2)) AS estimated_value, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS publication_date, o_orderdate AS deadline,
    o_orderpriority AS source, coalesce(c, []) AS cpv_codes FROM orders LEFT JOIN k ON l_orderkey = o_orderkey)"""
-_C = """p AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 4, '0') AS code, p_name AS label FROM part WHERE p_partkey < 300),
+_C = """p AS (SELECT lpad(CAST(2 * p_partkey AS VARCHAR), 9, '0') AS code, p_name AS label FROM part),
 x AS (SELECT o.* EXCLUDE cpv_codes, CAST(i AS INT) AS cpv_position, cpv_codes[i] AS cpv_code FROM o, unnest(range(1, len(cpv_codes) + 1)) AS t(i)),
 j AS (SELECT x.*, label, code IS NOT NULL AS cpv_matched FROM x LEFT JOIN p ON code = cpv_code)"""
 _S = """count(*) AS opportunities_count, CAST(sum(estimated_value) AS DECIMAL(38,2)) AS total_estimated_value,
@@ -130,7 +130,7 @@ ORACLES = {
     "coverage_metrics": f"""WITH {_O}, {_C} SELECT count(*) AS occurrences, count(*) FILTER (cpv_matched) AS matched, count(*) FILTER (NOT cpv_matched) AS unmatched,
         count(DISTINCT cpv_code) AS codes, count(DISTINCT cpv_code) FILTER (NOT cpv_matched) AS unmatched_codes FROM j""",
     "buyer_coverage": f"""WITH {_O} SELECT count(buyer_id) AS with_id, count(*) - count(buyer_id) AS without_id, count(c_custkey) AS resolved, count(buyer_id) - count(c_custkey) AS unresolved
-        FROM o LEFT JOIN customer ON buyer_id = 'B' || c_custkey AND c_custkey % 3 <> 0""",
+        FROM o LEFT JOIN customer ON buyer_id = 'B' || (2 * c_custkey)""",
     "buyer_summary": f"""WITH {_O} SELECT buyer_id, max(buyer_name) AS buyer_name, 'buyer_id' AS identity_basis, {_S}, {_Y} FROM o WHERE buyer_id IS NOT NULL GROUP BY buyer_id
         UNION ALL SELECT NULL, buyer_name, 'buyer_name', {_S}, {_Y} FROM o WHERE buyer_id IS NULL GROUP BY buyer_name""",
     "code_summary": f"""WITH {_O}, {_C} SELECT cpv_code, max(label) AS label, count(DISTINCT procedure_id) AS opportunities_count, count(DISTINCT buyer_id) AS buyers_count,

@@ -1,29 +1,83 @@
-"""The current state as a stream: each batch of events is merged into the state so far."""
+"""Folds of events kept by a stream of batches: the latest event of a key, or its first observation.
+
+The state is dealt out to buckets by a hash of the key. A batch reads and writes the buckets of
+its own keys alone, so that what a batch costs follows its keys and not the whole state.
+``path/batch=<id>/bucket=<n>`` is a bucket as of a batch; a bucket's state is the one of its
+latest batch. Batches may come late, twice or out of order: the result is that of one batch over
+all, and a repeated batch writes its own folders again.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
+from noticeworks.sources import files
 
-def merged(state: DataFrame, batch: DataFrame, key: str, time: str, event_id: str) -> DataFrame:
-    """The greater of (time, event id) for each key of both; replays change nothing."""
-    order = F.struct(F.col(time), F.col(event_id))
-    both = state.unionByName(batch)
-    return both.groupBy(key).agg(F.max_by(F.struct(*state.columns), order).alias("_r")).select("_r.*")
+BUCKETS = 64
 
+#: State and batch together, folded by key.
+Fold = Callable[[DataFrame], DataFrame]
+
+
+def latest(key: str, time: str, event_id: str) -> Fold:
+    """Keeps the greatest (time, event id) of each key; replays change nothing."""
+    return lambda rows: rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), F.struct(F.col(time), F.col(event_id))).alias("_r")).select("_r.*")
+
+
+def first_observation(key: str, provenance: Column) -> Fold:
+    """Keeps the observation of each key with the least provenance, whenever it comes."""
+    return lambda rows: rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), provenance).alias("_r")).select("_r.*")
+
+
+def _buckets(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """All buckets of all batches before one, by their folders' names."""
+    full = StructType(schema.fields).add("batch", "long").add("bucket", "int")
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], full)
+    found = spark.read.schema(full).option("basePath", path).parquet(path)
+    return found if before is None else found.where(F.col("batch") < before)
 
-def run_latest(events: DataFrame, path: str, checkpoint: str, key: str, time: str, event_id: str) -> StreamingQuery:
-    """Keeps the latest event of each key below ``path``, one folder per batch.
 
-    Batches may come late, twice or out of order: the result is that of one batch over all.
-    ``path/state=<batch id>`` is the state after a batch; a repeated batch writes its own again.
+def read_state(spark: SparkSession, path: str, schema: StructType, before: int | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """The state, or that of some buckets, as of all batches or those before one.
+
+    Which batch wrote a bucket last comes from folder names alone: a row per folder.
     """
+    found = _buckets(spark, path, schema, before)
+    newest = found.groupBy("bucket").agg(F.max("batch").alias("batch"))
+    kept = [(r["bucket"], r["batch"]) for r in newest.collect() if buckets is None or r["bucket"] in buckets]
+    if not kept:
+        return spark.createDataFrame([], schema)
+    here = F.lit(False)
+    for bucket, batch in kept:
+        here = here | ((F.col("bucket") == bucket) & (F.col("batch") == batch))
+    return found.where(here).drop("batch", "bucket")
+
+
+def run_fold(events: DataFrame, path: str, checkpoint: str, key: str, fold: Fold, buckets: int = BUCKETS) -> StreamingQuery:
+    """Keeps ``fold`` of all events below ``path``; ``read_state`` reads it."""
 
     def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = spark.read.schema(batch.schema).parquet(f"{path}/state={number - 1}") if number else spark.createDataFrame([], batch.schema)
-        merged(before, batch, key, time, event_id).write.mode("overwrite").parquet(f"{path}/state={number}")
+        spark, schema = batch.sparkSession, batch.schema
+        dealt = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        touched = sorted(r["bucket"] for r in dealt.select("bucket").distinct().collect())
+        before = read_state(spark, path, schema, number, touched)
+        merged = fold(before.unionByName(batch)).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch={number}")
 
     return events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def run_latest(events: DataFrame, path: str, checkpoint: str, key: str, time: str, event_id: str) -> StreamingQuery:
+    """Keeps the latest event of each key."""
+    return run_fold(events, path, checkpoint, key, latest(key, time, event_id))
+
+
+def run_first(events: DataFrame, path: str, checkpoint: str, key: str, provenance: Column) -> StreamingQuery:
+    """Keeps the first observation of each key by provenance."""
+    return run_fold(events, path, checkpoint, key, first_observation(key, provenance))
