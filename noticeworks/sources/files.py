@@ -50,7 +50,7 @@ def write_document(spark: SparkSession, path: str, value: object) -> None:
 
 
 def read_document(spark: SparkSession, path: str) -> object:
-    return json.loads(spark.read.option("wholetext", "true").text(path).first()["value"])
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def file_manifest(files: DataFrame) -> DataFrame:

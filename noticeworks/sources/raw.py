@@ -39,7 +39,7 @@ def raw_files(spark: SparkSession, folder: str, suffixes: tuple[str, ...] = ("js
 
 def sidecars(spark: SparkSession, folder: str) -> DataFrame:
     """The evidence beside each file: path of the file it speaks of, and its fields."""
-    text = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{SIDECAR}").text(folder)
+    text = spark.read.option("pathGlobFilter", f"*{SIDECAR}").text(folder, wholetext=True, recursiveFileLookup=True)
     named = text.select(F.regexp_replace(F.col("_metadata.file_path"), re.escape(SIDECAR) + "$", "").alias("path"), F.from_json("value", _SIDECAR_SCHEMA).alias("e"))
     return named.select("path", "e.*")
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from noticeworks.sources import files
 
@@ -36,7 +36,7 @@ def first_observation(key: str, provenance: Column) -> Fold:
 
 def _buckets(spark: SparkSession, path: str, schema: StructType, before: int | None = None) -> DataFrame:
     """All buckets of all batches before one, by their folders' names."""
-    full = StructType(schema.fields).add("batch", "long").add("bucket", "int")
+    full = StructType([*schema.fields, StructField("batch", LongType()), StructField("bucket", IntegerType())])
     if not files.exists(spark, path):
         return spark.createDataFrame([], full)
     found = spark.read.schema(full).option("basePath", path).parquet(path)
