@@ -90,21 +90,23 @@ def turn_order_error(roles: Column, template: ChatTemplate) -> Column:
 
 
 def format_conversations(rows: DataFrame, template: ChatTemplate | None = None, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row per conversation: conv_id, n_turns, error_turn, segments, formatted.
+    """One row per conversation: conv_id, n_turns, error_turn, segments, formatted, loss_spans.
 
     Turns go by turn number (nulls first), then role, then text; equal rows are turns of their
     own. Null texts and roles are empty; a role outside the template is marked by its name.
-    Rows with a null conversation form one. A conversation that breaks the turn order is
+    Rows without a conversation are one each, however many there are. ``loss_spans`` is the loss
+    mask: (start, end) of its runs in ``formatted``, in code points. A conversation that breaks the turn order is
     formatted like any other and has error_turn set. A conversation is one sequence for the
     model, so its turns meet in one row; nothing else is grouped. An empty table gives an
-    empty result; other columns are ignored.
+    empty result; texts of any length are kept whole; other columns are ignored.
     """
     template = template or ChatTemplate()
     turns = rows.select(
         F.col(conversation).alias("conv_id"),
+        F.when(F.col(conversation).isNull(), F.monotonically_increasing_id()).alias("_alone"),
         F.struct(F.col(turn).alias("turn"), empty_if_null(role).alias("role"), empty_if_null(text).alias("text")).alias("_turn"),
     )
-    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("_turn")).alias("_turns"))
+    grouped = turns.groupBy("conv_id", "_alone").agg(F.sort_array(F.collect_list("_turn")).alias("_turns"))
 
     def segments(t: Column) -> Column:
         named = F.concat(F.lit(template.other[0]), escape(t["role"], template), F.lit(template.other_end))
@@ -117,12 +119,26 @@ def format_conversations(rows: DataFrame, template: ChatTemplate | None = None,
 
         return F.array(seg(opening, F.lit(False)), seg(escape(t["text"], template), loss), seg(closing, F.lit(False)))
 
-    return grouped.select(
+    def masked(state: Column, s: Column) -> Column:
+        end = state["end"] + F.length(s["text"])
+        spans = F.concat(state["spans"], F.array(F.struct(state["end"].alias("start"), end.alias("end"))))
+        return F.struct(end.alias("end"), F.when(s["loss"], spans).otherwise(state["spans"]).alias("spans"))
+
+    begin = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    done = grouped.select(
         "conv_id",
         F.size("_turns").cast("long").alias("n_turns"),
         turn_order_error(F.transform("_turns", lambda t: t["role"]), template).alias("error_turn"),
         F.flatten(F.transform("_turns", segments)).alias("segments"),
-    ).withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
+    )
+    shown = F.array_join(F.transform("segments", lambda s: s["text"]), "")
+    return done.select("*", shown.alias("formatted"), F.aggregate("segments", begin, masked, lambda a: a["spans"]).alias("loss_spans"))
+
+
+def loss_text(formatted: Column, spans: Column, template: ChatTemplate | None = None) -> Column:
+    """What stands under the loss mask of a formatted conversation, as it was before escaping."""
+    template = template or ChatTemplate()
+    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["end"] - s["start"]), template)), "")
 
 
 def read_back(formatted: Column, template: ChatTemplate | None = None) -> Column:
@@ -157,8 +173,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(trap).alias("text")
     )
     done = format_conversations(rows.unionByName(planted), template)
-    lossy = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"], template)), "")
-    back = done.withColumn("_turns", read_back(F.col("formatted"), template)).withColumn("_loss", lossy)
+    back = done.withColumn("_turns", read_back(F.col("formatted"), template)).withColumn("_loss", loss_text(F.col("formatted"), F.col("loss_spans"), template))
     shown = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id",

@@ -40,9 +40,13 @@ def test_chat_is_read_back(spark):
     rows = [(i // 4 if i % 11 else None, i % 4 if i % 7 else None, roles[i % 6], texts[i % 12]) for i in range(240)] + [(1, 1, "user", "twice"), (1, 1, "user", "twice")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
-    want = {c: [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == c), key=key)] for c in {r[0] for r in rows}}
+    want = {c: [(r[2] or "", r[3] or "") for r in sorted((r for r in rows if r[0] == c), key=key)] for c in {r[0] for r in rows} - {None}}
+    alone = Counter((r[2] or "", r[3] or "") for r in rows if r[0] is None)
     done = chat.format_conversations(df).withColumn("back", chat.read_back(F.col("formatted"))).collect()
-    assert {r.conv_id: [(t.role, t.text) for t in r.back] for r in done} == want
+    assert {r.conv_id: [(t.role, t.text) for t in r.back] for r in done if r.conv_id is not None} == want
+    assert Counter((t.role, t.text) for r in done if r.conv_id is None for t in r.back) == alone and all(len(r.back) == 1 for r in done if r.conv_id is None)
+    for r in done:
+        assert "".join(r.formatted[s.start : s.end] for s in r.loss_spans) == "".join(s.text for s in r.segments if s.loss)
     assert all("".join(s.text for s in r.segments) == r.formatted for r in done)
     for control in chat.ChatTemplate().control_strings():
         assert all(control.strip() not in s.text for r in done for s in r.segments[1::3])
