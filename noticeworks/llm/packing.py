@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import json
 import os
 import re
 import struct
@@ -53,15 +54,33 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-#: Fixed: how this tokenizer cuts words, for letters below U+0250, whose case and normal form
-#: are the same everywhere; words with others are encoded whole.
-_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Fixed: the settings of a tokenizer whose texts may be encoded word by word, and how it cuts
+#: words, for letters below U+0250, whose case and normal form are the same everywhere; words
+#: with others are encoded whole.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+_CUT = regex.compile(_PATTERN)
 _ASCII_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x20\x09-\x0da-z0-9]+").findall
 _SIMPLE = regex.compile(r"[\x00-\u024f]*").fullmatch
 
 
+def by_words(path: str) -> bool:
+    """Whether a tokenizer's own file says that its texts may be encoded word by word."""
+    with open(path, encoding="utf-8") as f:
+        given = json.load(f)
+    marks = all("<|" in x["content"] and not (x["normalized"] or x["lstrip"] or x["rstrip"] or x["single_word"]) for x in given["added_tokens"])
+    model, before, pre = given["model"], given["normalizer"] or {}, given["pre_tokenizer"] or {}
+    plain = model["type"] == "BPE" and not model["dropout"] and given["truncation"] is None and given["padding"] is None
+    return marks and plain and before.get("normalizers") == _NORMALIZERS and pre.get("pretokenizers") == _PRE_TOKENIZERS
+
+
 class WordIds:
-    """Ids of texts under a tokenizer that drops white space and ignores case.
+    """Ids of texts under a tokenizer that drops white space and ignores case; texts of any
+    other tokenizer are encoded whole.
 
     What it merges never crosses ASCII white space nor its own cuts within a word, and doesn't
     depend on neighbours, so the ids of a text are those of its cuts, one after another. Words
@@ -73,6 +92,7 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        self.by_words = by_words(path)
         self.words: dict[bytes, bytes] = {}
         self.cuts: dict[str, bytes] = {}
 
@@ -88,6 +108,8 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned little-endian 32-bit numbers."""
+        if not self.by_words:
+            return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         if len(self.words) > MEMORY:
             self.words.clear()
         if len(self.cuts) > MEMORY:

@@ -320,6 +320,22 @@ def test_word_ids_are_the_tokenizers(corpus):
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_other_tokenizers_encode_whole_texts():
+    """Every JSON tokenizer at hand: the ids of texts are its own, by words or not."""
+    from pathlib import Path
+
+    path = packing.default_tokenizer()
+    assert packing.by_words(path)
+    texts = ["Two words,  three's 12 <|endoftext|>x", "é漢 \n\n x", "", "A a"]
+    for other in sorted(Path(path).parent.glob("*.json")):
+        try:
+            t = packing._tokenizer(str(other))
+        except Exception:  # not a tokenizer's file
+            continue
+        for text, ids in zip(texts, packing.WordIds(str(other)).encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, (other.name, text)
+
+
 def check_packing(pieces_of, rows, capacity):
     filled = defaultdict(list)
     for r in rows:
