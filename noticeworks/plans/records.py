@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeworks.functions import codes
-from noticeworks.operators import legacy, records
+from noticeworks.operators import builds, legacy, records
 from noticeworks.plans import silver
 from noticeworks.session import cut, table
 
@@ -109,6 +109,14 @@ def linkage_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legacy.numbered_groups(legacy.link_groups(links)).select("node", "root", "group_no")
 
 
+def linked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole linkage over orders as records of three sources: candidates, similarity of
+    titles, groups and their canonical records."""
+    title = F.lower(F.concat_ws(" ", F.lit("supply order"), F.col("o_orderpriority"), F.concat(F.lit("lot"), (F.col("o_orderkey") % 3).cast("string"))))
+    rows = _dated(spark, sf_dir).join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), title.alias("title")), "key")
+    return builds.link_duplicates(rows, 7, 0.75)
+
+
 def tfidf_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that share a token, by cosine of their TF-IDF weights."""
     items = table(spark, sf_dir, "benchmark").select(F.lit("all").alias("block"), F.col("item_id").alias("key"), F.lower("text").alias("text"))
@@ -121,7 +129,7 @@ def tfidf_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        keyword_classify, tender_records, record_opportunities, record_quality, record_issues, prefix_category, classifier_eval, quality_issues, quality_gates, tech_summary, buyer_category, linkage_candidates, linkage_stats, linkage_groups, tfidf_similarity,
+        keyword_classify, tender_records, record_opportunities, record_quality, record_issues, prefix_category, classifier_eval, quality_issues, quality_gates, tech_summary, buyer_category, linkage_candidates, linkage_stats, linkage_groups, linked_records, tfidf_similarity,
     )
 }
 
@@ -183,6 +191,18 @@ ORACLES = {
         g AS (SELECT a AS node, a AS root FROM e UNION SELECT e.b, g.root FROM g JOIN e ON e.a = g.node AND g.root < e.b),
         m AS (SELECT node, min(root) AS root FROM g GROUP BY node)
         SELECT node, root, CAST(dense_rank() OVER (ORDER BY root) AS INT) AS group_no FROM m""",
+    "linked_records": f"""WITH RECURSIVE {_L},
+        s AS (SELECT r.*, lower('supply order ' || o_orderpriority || ' lot' || (o_orderkey % 3)) AS title FROM r JOIN orders ON o_orderkey = key),
+        i AS (SELECT block, a AS key FROM l UNION SELECT block, b FROM l), t AS (SELECT block, key, unnest(list_filter(regexp_extract_all(title, '[\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 2)) AS w FROM i JOIN s USING (block, key)),
+        f AS (SELECT block, key, w, count(*) AS tf FROM t GROUP BY ALL), d AS (SELECT block, w, count(*) AS df FROM f GROUP BY ALL), n AS (SELECT block, count(*) AS n FROM i GROUP BY block),
+        x AS (SELECT block, key, w, (1 + tf) * ln((1 + n)::DOUBLE / (1 + df)) + 1 AS v FROM f JOIN d USING (block, w) JOIN n USING (block)),
+        y AS (SELECT block, key, w, v / sqrt(sum(v * v) OVER (PARTITION BY block, key)) AS v FROM x),
+        k AS (SELECT a, b FROM l JOIN y p ON p.block = l.block AND p.key = a JOIN y q ON q.block = l.block AND q.key = b AND q.w = p.w GROUP BY a, b HAVING round(sum(p.v * q.v), 12) >= 0.75),
+        e AS (SELECT a, b FROM k UNION SELECT b, a FROM k),
+        g AS (SELECT a AS node, a AS root FROM e UNION SELECT e.b, g.root FROM g JOIN e ON e.a = g.node AND g.root < e.b),
+        m AS (SELECT node, min(root) AS root FROM g GROUP BY node)
+        SELECT node AS key, root, CAST(dense_rank() OVER (ORDER BY root) AS INT) AS group_no, first_value(node) OVER (PARTITION BY root ORDER BY day, -length(title), node, source) AS canonical
+        FROM m JOIN s ON s.key = node""",
     "tfidf_similarity": r"""WITH t AS (SELECT item_id AS k, unnest(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), lambda x: length(x) > 2)) AS w FROM benchmark),
         f AS (SELECT k, w, count(*) AS tf FROM t GROUP BY k, w), d AS (SELECT w, count(*) AS df FROM f GROUP BY w), n AS (SELECT count(*) AS n FROM benchmark),
         x AS (SELECT k, f.w, (1 + tf) * ln((1 + n)::DOUBLE / (1 + df)) + 1 AS v FROM f JOIN d ON f.w = d.w, n),
