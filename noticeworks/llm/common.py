@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeworks.sources import files
+
 #: ASCII white space, as a character class of regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,9 +36,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or _folder_of_tests()
 
 
+#: Where tables written by operators are noted while a caller wants to know them.
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Notes the folders of the tables that operators write meanwhile, for ``remove_tables``."""
+    _NOTED.append(paths)
+    try:
+        yield
+    finally:
+        _NOTED.remove(paths)
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Removes noted tables, once nothing that reads them is needed any more."""
+    while paths:
+        files.remove(spark, paths.pop())
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: the lineage ends there."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/noticeworks-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_folder(df.sparkSession).rstrip('/')}/noticeworks-{uuid.uuid4().hex}"
+    for paths in _NOTED:
+        paths.append(folder)
+    path = f"{folder}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -278,9 +278,9 @@ def grouped(sets: DataFrame, rule: Threshold) -> DataFrame:
 
 
 def token_postings(sets: DataFrame) -> DataFrame:
-    """A row per set and token of its prefix: sid, cluster, n, group, member, reach, token; only
-    tokens that more than one cluster has."""
-    postings = sets.select("sid", "cluster", F.col("n").cast("long").alias("n"), "group", "member", F.posexplode("prefix").alias("i", "token"))
+    """A row per set, by its group and member, and token of its prefix: cluster, n, group, member,
+    i, token; only tokens that more than one cluster has."""
+    postings = sets.select("cluster", F.col("n").cast("long").alias("n"), "group", "member", F.posexplode("prefix").alias("i", "token"))
     met = postings.groupBy("token").agg(F.min("cluster").alias("c"), F.max("cluster").alias("d")).where("c <> d")
     return postings.join(met.select((F.col("token") + F.lit(0)).alias("token")), "token", "left_semi")
 
@@ -293,18 +293,18 @@ def token_group_matrix(postings: DataFrame) -> DataFrame:
 
 
 def opened_groups(postings: DataFrame, matrix: DataFrame, rule: Threshold) -> DataFrame:
-    """Queries and the groups that their bound opens: sid, cluster, n, group, hits (bits of the
-    members with enough tokens in common).
+    """Queries (by own group and member, ``own`` and ``me``) and the groups that their bound opens:
+    own, me, cluster, n, group, hits (bits of the members with enough tokens in common).
 
     The smaller set of a link is the query (at the same size both are), so only places in its
     prefix count from which it can still overlap enough with a set as large as itself.
     """
     num, den = rule.num, rule.den
-    q = postings.where("reach >= n").select("token", "sid", "cluster", "n", "reach")
+    q = postings.where("reach >= n").select("token", F.col("group").alias("own"), F.col("member").alias("me"), "cluster", "n", "reach")
     m = matrix.select(F.col("token").alias("_token"), "group", "low", "high", F.col("reach").alias("_reach"), "members")
     bound = (F.col("n") <= F.col("high")) & (F.col("n") <= F.col("_reach")) & (F.col("low") <= F.col("reach")) & (F.col("n") * den >= F.col("low") * num)
     met = q.join(m, (F.col("token") == F.col("_token")) & bound)
-    shown = met.groupBy("sid", "cluster", "n", "group").agg(F.count("*").alias("shown"), F.collect_list("members").alias("masks"))
+    shown = met.groupBy("own", "me", "cluster", "n", "group").agg(F.count("*").alias("shown"), F.collect_list("members").alias("masks"))
     shown = shown.where((F.col("shown") >= SHOWN) | (F.col("n") < LARGE))  # a query isn't larger than what it links with
     none = F.lit(0).cast("long")
     # bits seen at least once, twice, three times: as many as SHOWN
@@ -316,9 +316,9 @@ def opened_groups(postings: DataFrame, matrix: DataFrame, rule: Threshold) -> Da
             a["once"].bitwiseOR(x).alias("once"), a["twice"].bitwiseOR(a["once"].bitwiseAND(x)).alias("twice"), a["thrice"].bitwiseOR(a["twice"].bitwiseAND(x)).alias("thrice")
         ),
     )
-    counted = shown.select("sid", "cluster", "n", "group", seen.alias("seen"))
+    counted = shown.select("own", "me", "cluster", "n", "group", seen.alias("seen"))
     hits = F.when(F.col("n") < LARGE, F.col("seen.once")).otherwise(F.col("seen.thrice"))
-    return counted.select("sid", "cluster", "n", "group", hits.alias("hits")).where("hits <> 0")
+    return counted.select("own", "me", "cluster", "n", "group", hits.alias("hits")).where("hits <> 0")
 
 
 def opened_by_bound(sets: DataFrame, rule: Threshold) -> DataFrame:
@@ -369,7 +369,8 @@ def links_of_opened(opened: DataFrame, sets: DataFrame, docs: DataFrame, rule: T
     Queries meet a group's hit members (64 at most) together, so that nothing is spread out to
     pairs before the bitmaps allow it. A group with very many queries is met by parts of them.
     """
-    opened = written(opened, "opened")
+    me = sets.select(F.col("group").alias("own"), F.col("member").alias("me"), "sid")
+    opened = written(opened.join(me, ["own", "me"]).select("sid", "cluster", "n", "group", "hits"), "opened")
     per_group = opened.groupBy("group").agg(F.bit_or("hits").alias("hits"), F.count("*").alias("k"))
     places = F.filter(F.sequence(F.lit(0), F.lit(rule.group - 1)), lambda i: F.getbit("hits", i) == 1)
     hit = per_group.select("group", F.ceil(F.col("k") / QUERIES).cast("int").alias("parts"), F.explode(places).alias("member"))
