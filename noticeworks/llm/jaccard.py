@@ -8,8 +8,8 @@ they can decide (a set's rarest ones, its prefix), each with the bits of the mem
 it and the least and greatest size they can overlap with. Each set is then a query: the tokens
 it has in common with a group's union, of sizes that allow a link, bound its overlap with every
 member, and only groups that reach the bound are opened. In an opened group the bits are added
-up, and members with enough tokens in common are compared: the query's bitmap with the union of
-the members' bitmaps, then with each, then the sets token by token.
+up, and members with enough tokens in common are compared, by bitmaps first and then token by
+token.
 
 A group of copies with edits may hold a third of all sets, and comparing all of its pairs would
 be quadratic. So sets that share minhash bands meet the most typical set of the band first, and
@@ -42,11 +42,9 @@ BUCKETS = 1 << BITS
 _BUCKET = np.uint64(64 - BITS)
 #: Common tokens at least that a set must show with a group in its prefix to open it, where
 #: all sets are large enough to have them; prefixes are longer by as many, less one.
-SHOWN, LARGE = 3, 8
+SHOWN, LARGE = 3, 30
 #: Members of a group: one bit each of a long.
 GROUP = 64
-#: Queries that meet a group's members at once.
-QUERIES = 1024
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Keys up to this number are broadcast to fetch texts; more are joined by a shuffle.
@@ -331,58 +329,16 @@ def opened_by_bound(sets: DataFrame, rule: Threshold) -> DataFrame:
     return opened_groups(postings, token_group_matrix(postings), rule)
 
 
-def _met_in_groups(rule: Threshold):
-    """Pairs of one group's queries and members that their bitmaps allow to link. The union of
-    the members' bitmaps is met first: tokens that it lacks no member has."""
-    num, den = rule.num, rule.den
-
-    def stacked(bits: pd.Series, size: int) -> np.ndarray:
-        return np.stack([_folded(np.frombuffer(b, np.uint8), size) for b in bits])
-
-    def meet(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(queries) and len(members):
-            size = min(min(map(len, queries["q_bits"])), min(map(len, members["m_bits"])))
-            m_bits, q_bits = stacked(members["m_bits"], size), stacked(queries["q_bits"], size)
-            n_m, c_m, place, names = (members[c].to_numpy() for c in ("n", "cluster", "member", "sid"))
-            # of folded bitmaps, bits that only the other side has count as well
-            size_m, union = np.bitwise_count(m_bits).sum(axis=1, dtype=np.int64), np.bitwise_or.reduce(m_bits, axis=0)
-            for i, (sid, n, cluster, hits) in enumerate(zip(queries["sid"], queries["n"], queries["cluster"], queries["hits"], strict=True)):
-                q = q_bits[i]
-                most = n - int(np.bitwise_count(q & ~union).sum())
-                if den * most < num * (2 * n - most):  # what it links with isn't smaller
-                    continue
-                hit = np.array([hits >> int(p) & 1 for p in place], bool)
-                at = np.flatnonzero(hit & (c_m != cluster) & (n_m >= n) & (n_m * num <= n * den))
-                both = np.bitwise_count(m_bits[at] & q).sum(axis=1, dtype=np.int64)
-                common = np.minimum(n - (int(np.bitwise_count(q).sum()) - both), n_m[at] - (size_m[at] - both))
-                at = at[den * common >= num * (n + n_m[at] - common)]
-                found += [(min(sid, y), max(sid, y)) for y in names[at]]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return meet
-
-
-def links_of_opened(opened: DataFrame, sets: DataFrame, docs: DataFrame, rule: Threshold) -> DataFrame:
-    """The pairs of sids (a, b) of different clusters that link, from opened groups.
-
-    Queries meet a group's hit members (64 at most) together, so that nothing is spread out to
-    pairs before the bitmaps allow it. A group with very many queries is met by parts of them.
-    """
-    me = sets.select(F.col("group").alias("own"), F.col("member").alias("me"), "sid")
-    opened = written(opened.join(me, ["own", "me"]).select("sid", "cluster", "n", "group", "hits"), "opened")
-    per_group = opened.groupBy("group").agg(F.bit_or("hits").alias("hits"), F.count("*").alias("k"))
+def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs of sids (a, b) of different clusters from opened groups. ``sets``: sid, n, prefix,
+    cluster, group, member."""
+    me = sets.select(F.col("group").alias("own"), F.col("member").alias("me"), F.col("sid").alias("x"))
+    opened = opened_by_bound(sets, rule).join(me, ["own", "me"])
     places = F.filter(F.sequence(F.lit(0), F.lit(rule.group - 1)), lambda i: F.getbit("hits", i) == 1)
-    hit = per_group.select("group", F.ceil(F.col("k") / QUERIES).cast("int").alias("parts"), F.explode(places).alias("member"))
-    members = written(sets.select("group", "member", "sid", "n", "cluster").join(hit, ["group", "member"]), "members")
-    tokens = token_sets(opened.select("sid").unionByName(members.select("sid")), sets, docs, rule)
-    query_bits = tokens.select("sid", F.col("bits").alias("q_bits"))
-    member_bits = tokens.select("sid", F.col("bits").alias("m_bits"))
-    parts = members.groupBy("group").agg(F.max("parts").alias("parts"))
-    left = opened.join(parts, "group").select("group", F.pmod(F.xxhash64("sid"), "parts").cast("int").alias("part"), "sid", "n", "cluster", "hits").join(query_bits, "sid")
-    right = members.join(member_bits, "sid").select("group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "sid", "n", "cluster", "member", "m_bits")
-    pairs = left.groupBy("group", "part").cogroup(right.groupBy("group", "part")).applyInPandas(_met_in_groups(rule), "a string, b string")
-    return compared(written(pairs.distinct(), "pairs"), tokens, rule)
+    hit = opened.select("x", F.col("cluster").alias("cluster_x"), F.col("n").alias("n_x"), "group", F.explode(places).alias("member"))
+    member = sets.select("group", "member", F.col("sid").alias("y"), F.col("cluster").alias("cluster_y"), F.col("n").alias("n_y"))
+    pairs = hit.join(member, ["group", "member"]).where("cluster_x <> cluster_y AND n_x <= n_y").where(_compatible(F.col("n_x"), F.col("n_y"), rule))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def similar_components(docs: DataFrame, rule: Threshold | None = None) -> DataFrame:
@@ -402,9 +358,9 @@ def similar_components(docs: DataFrame, rule: Threshold | None = None) -> DataFr
     sets = written(sets.select(_sorted_id(F.col("f.doc"), F.col("sid")).alias("sid"), F.col("sid").alias("hash"), F.col("f._key").alias("_key"), "n", "bands", "score", "least", "prefix"), "sets")
     groups = grouped(sets, rule)
     links, clustered = clusters(sets, docs, rule)
-    inside = sets.select("sid", "_key", "n", "prefix").join(groups, "sid").join(clustered, "sid", "left")
-    inside = written(inside.select("sid", "_key", "n", "prefix", "group", "member", F.xxhash64(F.coalesce("cluster", "sid")).alias("cluster")), "groups")
-    more = links_of_opened(opened_by_bound(inside, rule), inside, docs, rule)
+    inside = sets.select("sid", "n", "prefix").join(groups, "sid").join(clustered, "sid", "left")
+    inside = written(inside.select("sid", "n", "prefix", "group", "member", F.xxhash64(F.coalesce("cluster", "sid")).alias("cluster")), "groups")
+    more = linked(group_pairs(inside, rule), sets, docs, rule)
     roots = components(links.unionByName(more))
     named = sets.select("sid", "hash").join(roots, F.col("sid") == F.col("node"), "left").select(fresh(F.col("hash")).alias("hash"), _doc_of(F.coalesce("root", "sid")).alias("component_id"))
     joined = rows.select("doc", "_key", "n", F.coalesce("sid", "_key").alias("hash")).join(named, "hash", "left")
