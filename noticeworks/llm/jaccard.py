@@ -14,8 +14,10 @@ token.
 A group of copies with edits may hold a third of all sets, and comparing all of its pairs would
 be quadratic. So sets that share minhash bands meet the most typical set of the band first, and
 those linked to it form a cluster. Sets of one cluster are linked already, so the matrix serves
-only pairs of different clusters, and tokens that a single cluster has are left out of it. All
-links between sets of different clusters are found that way, so the components are exact.
+only pairs of different clusters, and tokens that a single cluster has are left out of it. How
+many of those a set has bounds what it can have in common with any set of another cluster, which
+decides on each pair of an opened group before it is made. All links between sets of different
+clusters are found that way, so the components are exact.
 
 Shingles are 64-bit hashes of their words. Only their order needs frequencies: counts of all
 shingles of all documents in 2**18 hash buckets, a table of fixed size.
@@ -319,25 +321,27 @@ def opened_groups(postings: DataFrame, matrix: DataFrame, rule: Threshold) -> Da
     return counted.select("own", "me", "cluster", "n", "group", hits.alias("hits")).where("hits <> 0")
 
 
-def opened_by_bound(sets: DataFrame, rule: Threshold) -> DataFrame:
-    """What opened_groups makes of ``sets``: sid, n, prefix, cluster, group, member."""
+def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs of sids (a, b) of different clusters from opened groups. ``sets``: sid, n, prefix,
+    cluster, group, member."""
     num, den = rule.num, rule.den
     # the largest set that can overlap enough when one of its first common tokens is at i
     spare = F.when(F.col("n") >= LARGE, SHOWN - 1).otherwise(0)
     reach = F.floor(((F.col("n") - F.col("i") + spare) * (num + den)) / num).cast("long") - F.col("n")
     postings = token_postings(sets).withColumn("reach", reach).drop("i")
-    return opened_groups(postings, token_group_matrix(postings), rule)
-
-
-def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
-    """Pairs of sids (a, b) of different clusters from opened groups. ``sets``: sid, n, prefix,
-    cluster, group, member."""
-    me = sets.select(F.col("group").alias("own"), F.col("member").alias("me"), F.col("sid").alias("x"))
-    opened = opened_by_bound(sets, rule).join(me, ["own", "me"])
+    met = postings.groupBy("group", "member").agg(F.count("*").alias("met"))
+    # the most tokens that a set can have in common with one of another cluster: those of its
+    # prefix that no other cluster has are missing there
+    most = F.col("n") - F.size("prefix") + F.col("met")
+    known = sets.join(met, ["group", "member"]).select("sid", "group", "member", "cluster", "n", most.alias("most"))
+    me = known.select(F.col("group").alias("own"), F.col("member").alias("me"), F.col("sid").alias("x"), F.col("most").alias("most_x"))
+    enough = F.col("most_x") * (num + den) >= 2 * num * F.col("n")  # with a set of its own size or more
+    opened = opened_groups(postings, token_group_matrix(postings), rule).join(me, ["own", "me"]).where(enough)
     places = F.filter(F.sequence(F.lit(0), F.lit(rule.group - 1)), lambda i: F.getbit("hits", i) == 1)
-    hit = opened.select("x", F.col("cluster").alias("cluster_x"), F.col("n").alias("n_x"), "group", F.explode(places).alias("member"))
-    member = sets.select("group", "member", F.col("sid").alias("y"), F.col("cluster").alias("cluster_y"), F.col("n").alias("n_y"))
+    hit = opened.select("x", "most_x", F.col("cluster").alias("cluster_x"), F.col("n").alias("n_x"), "group", F.explode(places).alias("member"))
+    member = known.select("group", "member", F.col("sid").alias("y"), F.col("cluster").alias("cluster_y"), F.col("n").alias("n_y"), F.col("most").alias("most_y"))
     pairs = hit.join(member, ["group", "member"]).where("cluster_x <> cluster_y AND n_x <= n_y").where(_compatible(F.col("n_x"), F.col("n_y"), rule))
+    pairs = pairs.where(F.least("most_x", "most_y") * (num + den) >= num * (F.col("n_x") + F.col("n_y")))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

@@ -157,6 +157,16 @@ def test_components_are_exact(spark, corpus, rule):
     assert got == brute_components(rows, rule)
 
 
+def test_opened_pairs_are_bounded_by_what_one_cluster_has_alone(spark):
+    rule = jaccard.Threshold(1, 90, 100)
+    common = list(range(1000, 1013))
+    # 100 tokens each: 95 in common are needed, so up to 5 of a set's tokens may be its cluster's alone
+    alone = {"w": 0, "x": 2, "y": 5, "z": 6}
+    rows = [(s, 100, [10 * i + j for j in range(k)] + common[k:], i, 7, i) for i, (s, k) in enumerate(alone.items())]
+    sets = spark.createDataFrame(rows, "sid string, n long, prefix array<bigint>, cluster long, group long, member int")
+    assert {tuple(r) for r in jaccard.group_pairs(sets, rule).collect()} == {("w", "x"), ("w", "y"), ("x", "y")}
+
+
 def test_one_of_each_group_stays(corpus, nothing):
     kept = jaccard.keep_one(corpus)
     assert kept.columns == corpus.columns and jaccard.keep_one(nothing).count() == 0
