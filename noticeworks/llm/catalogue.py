@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.llm import chat, jaccard, lines, packing, pieces, quality, runs, secrets, sharding, syncmers, urls
+from noticeworks.llm import chat, classifier, jaccard, lines, packing, pieces, quality, runs, secrets, sharding, syncmers, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_risk_controlled_quality": quality.op9_risk_controlled_quality,
         "op10_jump_sharding": sharding.op10_jump_sharding,
         "op12_lyndon_runs": runs.op12_lyndon_runs,
+        "op13_quality_classifier": classifier.op13_quality_classifier,
     }
 
 
