@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeworks.llm import chat, classifier, jaccard, lines, packing, pieces, quality, runs, secrets, sharding, syncmers, urls
+from noticeworks.llm import chat, classifier, jaccard, lines, packing, pieces, quality, resampling, runs, secrets, sharding, syncmers, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bin_completion": packing.op8_bin_completion,
         "op9_risk_controlled_quality": quality.op9_risk_controlled_quality,
         "op10_jump_sharding": sharding.op10_jump_sharding,
+        "op11_importance_resampling": resampling.op11_importance_resampling,
         "op12_lyndon_runs": runs.op12_lyndon_runs,
         "op13_quality_classifier": classifier.op13_quality_classifier,
     }
@@ -34,4 +35,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_ngram_jaccard": jaccard.OP4_SQL,
         "op6_chat_format": chat.OP6_SQL,
         "op9_risk_controlled_quality": quality.OP9_SQL,
+        "op11_importance_resampling": resampling.OP11_SQL,
     }

@@ -56,16 +56,29 @@ def remove_tables(spark: SparkSession, paths: list[str]) -> None:
         files.remove(spark, paths.pop())
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """df, written to the shared folder and read again: the lineage ends there."""
     folder = f"{shared_folder(df.sparkSession).rstrip('/')}/noticeworks-{uuid.uuid4().hex}"
     for paths in _NOTED:
         paths.append(folder)
     path = f"{folder}/{name}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def expanded(df: DataFrame, count: str, nth: str, step: int = 1024) -> DataFrame:
+    """Each row as often as its ``count``, with its number there, from 0, in ``nth``.
+
+    Rows are dealt out by ``step`` copies, so that no task makes all copies of one row and no
+    array holds more than a ``step``-th of their numbers.
+    """
+    (block,) = unused(df, "_block")
+    last = F.floor((F.col(count) - 1) / step).cast("long")
+    parts = df.withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition(partitions(df.sparkSession))
+    end = F.least(F.col(count), (F.col(block) + 1) * step) - 1
+    return parts.withColumn(nth, F.explode(F.sequence(F.col(block) * step, end))).drop(block)
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, each lengthened until no column of df has it: columns may have any name."""
     taken, found = {c.lower() for c in df.columns}, []
