@@ -18,7 +18,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 
 import numpy as np
@@ -272,12 +272,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, settings: Settings | None =
         return pa.array([pooled(word_rows(t.as_py(), known), shared.value).tolist() for t in texts], pa.list_(pa.float64()))
 
     part = F.pmod(F.xxhash64(F.lit(settings.seed), "text"), F.lit(settings.calibration))  # copies of a text stay together
-    rows_ = labelled_texts(docs, labels, settings, label).select("doc_id", "y", part.alias("part"), numbers("text").alias("x")).orderBy("doc_id").collect()
-    x = np.array([r.x for r in rows_]).reshape(len(rows_), width(settings))
-    y, held = np.array([r.y for r in rows_]), np.array([r.part == 0 for r in rows_], bool)
+    found = labelled_texts(docs, labels, settings, label).select("doc_id", "y", part.alias("part"), numbers("text").alias("x")).collect()
+    found.sort(key=lambda r: r.doc_id)
+    x = np.array([r.x for r in found]).reshape(len(found), width(settings))
+    y, held = np.array([r.y for r in found]), np.array([r.part == 0 for r in found], bool)
     network = train(x[~held], y[~held], settings)
-    found = Network(*(getattr(network, f) for f in ("mean", "scale", "w1", "b1", "w2", "b2")), temperature(network.logits(x[held]), y[held]))
-    return QualityModel(settings, vectors, found)
+    return QualityModel(settings, vectors, replace(network, temperature=temperature(network.logits(x[held]), y[held])))
 
 
 def quality_score(spark: SparkSession, text: Column, model: QualityModel) -> Column:
