@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ from noticeworks.sources import files
 
 #: ASCII white space, as a character class of regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
+#: Keys up to this number are broadcast to fetch texts; more are joined by a shuffle.
+MAX_BROADCAST_KEYS = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,31 +39,46 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or _folder_of_tests()
 
 
-#: Where tables written by operators are noted while a caller wants to know them.
-_NOTED: list[list[str]] = []
+#: Lists of the folders of tables written since each scope began, the innermost last. Threads
+#: have scopes of their own.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("noticeworks_scopes", default=())
 
 
 @contextmanager
-def noting(paths: list[str]) -> Iterator[None]:
-    """Notes the folders of the tables that operators write meanwhile, for ``remove_tables``."""
-    _NOTED.append(paths)
+def noting() -> Iterator[list[str]]:
+    """A scope: the folders of the tables written in it that no scope inside removes."""
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
     try:
-        yield
+        yield paths
     finally:
-        _NOTED.remove(paths)
+        _SCOPES.reset(token)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A scope whose tables are removed in the end, but for those written as ``kept``: an operator
+    writes its small result so and leaves no table that it needed on the way."""
+    with noting() as paths:
+        try:
+            yield
+        finally:
+            remove_tables(spark, paths)
 
 
 def remove_tables(spark: SparkSession, paths: list[str]) -> None:
-    """Removes noted tables, once nothing that reads them is needed any more."""
-    while paths:
-        files.remove(spark, paths.pop())
+    """Removes tables that nothing reads any more."""
+    for path in paths:
+        files.remove(spark, path)
 
 
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df, written to the shared folder and read again: the lineage ends there."""
+def written(df: DataFrame, name: str, kept: bool = False, **options: str) -> DataFrame:
+    """df, written to the shared folder and read again: the lineage ends there. A ``kept`` one
+    belongs to the scope around the innermost."""
     folder = f"{shared_folder(df.sparkSession).rstrip('/')}/noticeworks-{uuid.uuid4().hex}"
-    for paths in _NOTED:
-        paths.append(folder)
+    scopes = _SCOPES.get()[: -1 if kept else None]
+    if scopes:
+        scopes[-1].append(folder)
     path = f"{folder}/{name}"
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import fresh, row_key, table, unused, written
+from noticeworks.llm.common import MAX_BROADCAST_KEYS, fresh, row_key, scratch, table, unused, written
 from noticeworks.llm.components import components
 
 BITS = 18
@@ -49,8 +49,6 @@ SHOWN, LARGE = 3, 30
 GROUP = 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: Keys up to this number are broadcast to fetch texts; more are joined by a shuffle.
-MAX_BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -224,19 +222,21 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Threshold)
     """The pairs of sids (a, b) whose sets link. Pairs first meet the sets' bitmaps, which bound
     what they can have in common, and those that pass the token sets, by joins that adaptive
     execution can split."""
-    pairs = written(pairs, "pairs")
-    tokens = token_sets(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))), sets, docs, rule)
-    num, den = rule.num, rule.den
+    with scratch(docs.sparkSession):
+        pairs = written(pairs, "pairs")
+        tokens = token_sets(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))), sets, docs, rule)
+        num, den = rule.num, rule.den
 
-    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            good = []
-            for a, m, b, n in zip(batch["bits_a"], batch["n_a"], batch["bits_b"], batch["n_b"], strict=True):
-                common = most_common(a, m, b, n)
-                good.append(den * common >= num * (m + n - common))
-            yield batch.loc[good, ["a", "b"]]
+        def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                good = []
+                for a, m, b, n in zip(batch["bits_a"], batch["n_a"], batch["bits_b"], batch["n_b"], strict=True):
+                    common = most_common(a, m, b, n)
+                    good.append(den * common >= num * (m + n - common))
+                yield batch.loc[good, ["a", "b"]]
 
-    return compared(_with_both(pairs, tokens, "n", "bits").mapInPandas(bound, "a string, b string"), tokens, rule)
+        near = _with_both(pairs, tokens, "n", "bits").mapInPandas(bound, "a string, b string")
+        return written(compared(near, tokens, rule), "links", kept=True)
 
 
 def _compatible(x: Column, y: Column, rule: Threshold) -> Column:
@@ -248,7 +248,7 @@ def clusters(sets: DataFrame, docs: DataFrame, rule: Threshold) -> tuple[DataFra
     banded = sets.select("sid", "n", "score", F.explode("bands").alias("band"))
     typical = banded.groupBy("band").agg(F.max(F.struct("score", "sid", "n")).alias("p"), F.count("*").alias("k")).where("k > 1")
     pairs = banded.join(typical.select(fresh(F.col("band")).alias("band"), "p"), "band").where(F.col("sid") != F.col("p.sid")).where(_compatible(F.col("n"), F.col("p.n"), rule))
-    links = written(linked(pairs.select(F.col("sid").alias("a"), F.col("p.sid").alias("b")).distinct(), sets, docs, rule), "links")
+    links = linked(pairs.select(F.col("sid").alias("a"), F.col("p.sid").alias("b")).distinct(), sets, docs, rule)
     return links, components(links).select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
 
 
@@ -355,21 +355,25 @@ def similar_components(docs: DataFrame, rule: Threshold | None = None) -> DataFr
     """
     rule = rule or Threshold()
     docs = docs.select("doc_id", "text")
-    rows = written(document_sets(docs, rule), "documents")
-    some = rows.where("sid IS NOT NULL")
-    first = F.struct(F.col("doc").isNull(), "doc", "_key")
-    sets = some.groupBy("sid").agg(F.min(first).alias("f"), *(F.first(c).alias(c) for c in ("n", "bands", "score", "least", "prefix")))
-    sets = written(sets.select(_sorted_id(F.col("f.doc"), F.col("sid")).alias("sid"), F.col("sid").alias("hash"), F.col("f._key").alias("_key"), "n", "bands", "score", "least", "prefix"), "sets")
-    groups = grouped(sets, rule)
-    links, clustered = clusters(sets, docs, rule)
-    inside = sets.select("sid", "n", "prefix").join(groups, "sid").join(clustered, "sid", "left")
-    inside = written(inside.select("sid", "n", "prefix", "group", "member", F.xxhash64(F.coalesce("cluster", "sid")).alias("cluster")), "groups")
-    more = linked(group_pairs(inside, rule), sets, docs, rule)
-    roots = components(links.unionByName(more))
-    named = sets.select("sid", "hash").join(roots, F.col("sid") == F.col("node"), "left").select(fresh(F.col("hash")).alias("hash"), _doc_of(F.coalesce("root", "sid")).alias("component_id"))
-    joined = rows.select("doc", "_key", "n", F.coalesce("sid", "_key").alias("hash")).join(named, "hash", "left")
-    component = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id"))
-    return joined.select(F.col("doc").alias("doc_id"), "_key", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    with scratch(docs.sparkSession):
+        with scratch(docs.sparkSession):
+            rows = written(document_sets(docs, rule), "documents")
+            first = F.struct(F.col("doc").isNull(), "doc", "_key")
+            sets = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min(first).alias("f"), *(F.first(c).alias(c) for c in ("n", "bands", "score", "least", "prefix")))
+            name = _sorted_id(F.col("f.doc"), F.col("sid"))
+            sets = written(sets.select(name.alias("sid"), F.col("sid").alias("hash"), F.col("f._key").alias("_key"), "n", "bands", "score", "least", "prefix"), "sets", kept=True)
+            rows = written(rows.select("doc", "_key", "n", "sid"), "rows", kept=True)
+        groups = grouped(sets, rule)
+        links, clustered = clusters(sets, docs, rule)
+        inside = sets.select("sid", "n", "prefix").join(groups, "sid").join(clustered, "sid", "left")
+        inside = written(inside.select("sid", "n", "prefix", "group", "member", F.xxhash64(F.coalesce("cluster", "sid")).alias("cluster")), "groups")
+        more = linked(group_pairs(inside, rule), sets, docs, rule)
+        roots = components(links.unionByName(more))
+        named = sets.select("sid", "hash").join(roots, F.col("sid") == F.col("node"), "left").select(fresh(F.col("hash")).alias("hash"), _doc_of(F.coalesce("root", "sid")).alias("component_id"))
+        joined = rows.select("doc", "_key", "n", F.coalesce("sid", "_key").alias("hash")).join(named, "hash", "left")
+        component = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component_id"))
+        found = joined.select(F.col("doc").alias("doc_id"), "_key", F.col("n").alias("n_shingles"), component.alias("component_id"))
+        return written(found, "found", kept=True)
 
 
 def keep_one(docs: DataFrame, rule: Threshold | None = None) -> DataFrame:

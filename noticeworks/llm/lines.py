@@ -23,15 +23,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import SPACE, empty_if_null, fresh, row_key, table, unused, written
+from noticeworks.llm.common import MAX_BROADCAST_KEYS, SPACE, empty_if_null, fresh, row_key, scratch, table, unused, written
 
 
-def split_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc, _key and _whole (the text) of one of all rows that are equal in document and text.
+
+    Keys are counted first, without texts. Texts of keys that stand once aren't shuffled, as
+    long as the others are few enough to broadcast; those of the others are combined before.
+    """
+    keyed = docs.select(F.col(doc_id).alias("doc"), row_key(doc_id, text).alias("_key"), empty_if_null(text).alias("_whole"))
+    many = written(keyed.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select("_key"), "repeated")
+    if many.count() <= MAX_BROADCAST_KEYS:
+        many = F.broadcast(many)
+    again = keyed.join(many, "_key", "left_semi").groupBy("_key").agg(F.min("doc").alias("doc"), F.min("_whole").alias("_whole"))
+    return keyed.join(many, "_key", "left_anti").select("doc", "_key", "_whole").unionByName(again)
+
+
+def split_lines(keyed: DataFrame) -> DataFrame:
     """Lines with words: doc (null doc_ids last), _key, line (from 0), words, hash and other (a
     hash with another seed, of 58 bits, of which as many as a window has lines can be summed)."""
-    t = empty_if_null(text)
-    # keys before the lines: what stands beside posexplode is evaluated for every line
-    keyed = docs.select(F.col(doc_id).alias("doc"), row_key(doc_id, text).alias("_key"), t.alias("_whole"))
     lines = keyed.select("doc", "_key", F.posexplode(F.split("_whole", "\n")).alias("line", "_text"))
     words = F.size(F.filter(F.split("_text", f"{SPACE}+"), lambda w: w != ""))
     return lines.select("doc", "_key", "line", words.cast("long").alias("words"), F.xxhash64("_text").alias("hash"), F.shiftright(F.xxhash64(F.lit(7), "_text"), 6).alias("other")).where("words > 0")
@@ -42,12 +53,11 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
 
     Result: doc, _key, and for each of ``forward`` and ``back`` a struct of first and last
     line, run and other (hashes of the window), and mark and at: its fingerprint, the smallest
-    line hash, and the place. Rows equal in document and text count once.
+    line hash, and the place. A key's lines stand once.
     """
     by_line = W.partitionBy("_key").orderBy("line")
-    once = lines.withColumn("_before", F.lag("line").over(by_line)).where("_before IS NULL OR _before < line")
     # words before each line; its last word's number is words before the next, less one
-    placed = once.withColumn("_end", F.sum("words").over(by_line.rowsBetween(W.unboundedPreceding, 0))).withColumn("_start", F.col("_end") - F.col("words"))
+    placed = lines.withColumn("_end", F.sum("words").over(by_line.rowsBetween(W.unboundedPreceding, 0))).withColumn("_start", F.col("_end") - F.col("words"))
     ahead = W.partitionBy("_key").orderBy("_start").rangeBetween(0, min_words - 1)
     behind = W.partitionBy("_key").orderBy("_end").rangeBetween(-(min_words - 1), 0)
 
@@ -71,25 +81,27 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, doc_id: str = "doc_id",
     in a third of all documents is one row of the counts. Only hashes and places are shuffled,
     never texts. The windows are written to the shared folder, so that texts are split once.
     """
-    wins = written(windows(split_lines(docs, doc_id, text), min_words), "windows")
-    # a repeated run holds a window forward, whose fingerprint has two places; its windows back
-    # have theirs among the same lines
-    marks = wins.select("_key", F.inline(F.array_compact(F.array("forward", "back")))).select("_key", F.hex("mark").alias("mark"), "at")
-    shared = marks.groupBy("mark").agg(F.min(F.struct("_key", "at")).alias("a"), F.max(F.struct("_key", "at")).alias("b")).where("a <> b").select(fresh(F.col("mark")).alias("mark"))
-    order = F.struct(F.col("doc").isNull().alias("none"), "doc", "_key")
-    placed = wins.select(order.alias("of"), F.inline(F.array_compact(F.array("forward", "back")))).select("of", "first", "last", "at", F.hex("mark").alias("mark"), F.hex("run").alias("run"), "other")
-    # a window forward and one back over the same lines are one place
-    seen = placed.join(shared, "mark", "left_semi")
-    place = F.struct("of", "first")
-    firsts = seen.groupBy("mark", "run", "other").agg(F.min(place).alias("origin"), F.max(place).alias("latest")).where("origin < latest")
-    firsts = firsts.select(fresh(F.col("mark")).alias("mark"), fresh(F.col("run")).alias("run"), "other", "origin")
-    again = seen.join(firsts, ["mark", "run", "other"]).where(place > F.col("origin")).select(F.col("of._key").alias("_key"), "first", "last")
-    by_place = W.partitionBy("_key").orderBy("first", "last")
-    covered = F.max("last").over(by_place.rowsBetween(W.unboundedPreceding, -1))
-    starts = again.withColumn("_new", F.when(covered.isNull() | (F.col("first") > covered + 1), 1).otherwise(0))
-    islands = starts.withColumn("_island", F.sum("_new").over(by_place.rowsBetween(W.unboundedPreceding, 0)))
-    merged = islands.groupBy("_key", "_island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    return merged.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
+    with scratch(docs.sparkSession):
+        wins = written(windows(split_lines(one_of_each(docs, doc_id, text)), min_words), "windows")
+        # a repeated run holds a window forward, whose fingerprint has two places; its windows back
+        # have theirs among the same lines
+        marks = wins.select("_key", F.inline(F.array_compact(F.array("forward", "back")))).select("_key", F.hex("mark").alias("mark"), "at")
+        shared = marks.groupBy("mark").agg(F.min(F.struct("_key", "at")).alias("a"), F.max(F.struct("_key", "at")).alias("b")).where("a <> b").select(fresh(F.col("mark")).alias("mark"))
+        order = F.struct(F.col("doc").isNull().alias("none"), "doc", "_key")
+        placed = wins.select(order.alias("of"), F.inline(F.array_compact(F.array("forward", "back")))).select("of", "first", "last", "at", F.hex("mark").alias("mark"), F.hex("run").alias("run"), "other")
+        # a window forward and one back over the same lines are one place
+        seen = placed.join(shared, "mark", "left_semi")
+        place = F.struct("of", "first")
+        firsts = seen.groupBy("mark", "run", "other").agg(F.min(place).alias("origin"), F.max(place).alias("latest")).where("origin < latest")
+        firsts = firsts.select(fresh(F.col("mark")).alias("mark"), fresh(F.col("run")).alias("run"), "other", "origin")
+        again = seen.join(firsts, ["mark", "run", "other"]).where(place > F.col("origin")).select(F.col("of._key").alias("_key"), "first", "last")
+        by_place = W.partitionBy("_key").orderBy("first", "last")
+        covered = F.max("last").over(by_place.rowsBetween(W.unboundedPreceding, -1))
+        starts = again.withColumn("_new", F.when(covered.isNull() | (F.col("first") > covered + 1), 1).otherwise(0))
+        islands = starts.withColumn("_island", F.sum("_new").over(by_place.rowsBetween(W.unboundedPreceding, 0)))
+        merged = islands.groupBy("_key", "_island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        runs = merged.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
+        return written(runs, "runs", kept=True)
 
 
 def without_runs(text: Column, runs: Column) -> Column:

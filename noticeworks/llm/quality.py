@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import SPACE, empty_if_null, table, unused, written
+from noticeworks.llm.common import SPACE, empty_if_null, scratch, table, unused, written
 
 #: Scores of a document; each is rejected above its cutoff.
 SCORES = ("symbol_share", "upper_share", "repeat_share", "dup_line_share", "mean_word_chars", "short_line_share")
@@ -246,9 +246,10 @@ def proven_rules(sequences: dict[str | None, list[tuple[str, float]]], counts: l
 def learn_rules(measured: DataFrame, labels: DataFrame, stratum: str, control: RiskControl) -> dict[str | None, list[tuple[str, float]]]:
     """The proven rules of each stratum. The labelled rows' scores, a few numbers each, are
     written to the shared folder; counts per labelled stratum reach the driver."""
-    held = written(labelled_scores(measured, labels, stratum, control), "labelled")
-    sequences = rule_sequences([r.asDict() for r in tuning_counts(held, control).collect()], control)
-    return proven_rules(sequences, holdout_counts(held, sequences), control)
+    with scratch(measured.sparkSession):
+        held = written(labelled_scores(measured, labels, stratum, control), "labelled")
+        sequences = rule_sequences([r.asDict() for r in tuning_counts(held, control).collect()], control)
+        return proven_rules(sequences, holdout_counts(held, sequences), control)
 
 
 def apply_rules(measured: DataFrame, stratum: str, rules: dict[str | None, list[tuple[str, float]]]) -> DataFrame:

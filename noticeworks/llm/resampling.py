@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import expanded, partitions, table, written
+from noticeworks.llm.common import expanded, partitions, scratch, table, written
 
 #: Bytes of words in lower case; all others separate words.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -52,8 +52,8 @@ class Resampling:
     share: int = 25
     min_words: int = 20
     seed: int = 7
-    block_bytes: int = 24_000_000
-    chunk_features: int = 2_000_000
+    block_bytes: int = 12_000_000
+    chunk_features: int = 1_000_000
 
 
 def cut(raw: bytes, separator: int) -> tuple[pa.Array, np.ndarray]:
@@ -105,6 +105,13 @@ def blocks(docs: DataFrame, target: bool, rule: Resampling) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(gather, schema)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time: a block's is of some megabytes."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 @dataclass
 class _Level:
     """The distinct features of one length in a block: ``at`` the words they begin with, in
@@ -159,7 +166,7 @@ def pages(of: DataFrame, chunks: int, rule: Resampling) -> DataFrame:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = zstandard.ZstdCompressor(3)
-        for row in (row for batch in batches for row in batch.to_pylist()):
+        for row in _rows(batches):
             if not row["n_words"]:
                 continue
             levels, vocabulary = _read(row, longest)
@@ -240,36 +247,37 @@ def importance(docs: DataFrame, target: DataFrame, rule: Resampling | None = Non
     """
     rule = rule or Resampling()
     spark, longest, buckets = docs.sparkSession, rule.longest, rule.buckets
-    sides = blocks(docs, False, rule).unionByName(blocks(target.select(F.lit(None).alias("doc_id"), "text"), True, rule))
-    held = written(sides, "blocks", compression="zstd")
-    total = held.agg(F.sum("n_words")).first()[0] or 0
-    chunks = max(partitions(spark), longest * total // rule.chunk_features + 1)
-    answers = written(dictionary(pages(held, chunks, rule), rule), "dictionary", compression="zstd")
-    sums = answers.where("block IS NULL").select(F.inline("sums")).groupBy("bucket").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
-    found = np.array(gains({r["bucket"]: (r["s"], r["t"]) for r in sums.collect()}, buckets), np.int64)
-
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacked, kind = zstandard.ZstdDecompressor(), np.uint16 if buckets <= 1 << 16 else np.uint32
-        for row in (row for batch in batches for row in batch.to_pylist()):
-            sizes = np.array(row["sizes"], np.int64)
-            gained = np.zeros(row["n_words"] + 1, np.int64)  # by the word before which features begin
-            if row["n_words"]:
-                levels, _ = _read(row, longest)
-                order, _, _ = _dealt(levels, chunks)
-                bucket = np.empty(len(order), np.int64)
-                bucket[order] = np.concatenate([np.frombuffer(unpacked.decompress(p["buckets"]), kind) for p in sorted(row["pages"], key=lambda p: p["chunk"])])
-                at = 0
-                for x in levels:
-                    gained[x.at + 1] += found[bucket[at : at + len(x.keys)]][x.which]
-                    at += len(x.keys)
-            sums, ends = np.cumsum(gained), np.cumsum(sizes)
-            n = sum(np.maximum(sizes - k, 0) for k in range(longest))
-            weight = (sums[ends] - sums[ends - sizes]) // np.maximum(n, 1)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(row["doc_ids"], pa.int64()), "n_words": sizes, "n_features": n, "weight": weight})
-
-    met = answers.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("chunk", "buckets")).alias("pages"))  # a block's own, so of its size
-    mine = held.where("NOT target").join(met, "block", "left").select("doc_ids", "sizes", "n_words", "words", "vocabulary", "pages")
-    return mine.mapInArrow(weigh, "doc_id long, n_words long, n_features long, weight long")
+    with scratch(spark):
+        sides = blocks(docs, False, rule).unionByName(blocks(target.select(F.lit(None).alias("doc_id"), "text"), True, rule))
+        held = written(sides, "blocks", compression="zstd")
+        total = held.agg(F.sum("n_words")).first()[0] or 0
+        chunks = max(partitions(spark), longest * total // rule.chunk_features + 1)
+        answers = written(dictionary(pages(held, chunks, rule), rule), "dictionary", compression="zstd")
+        sums = answers.where("block IS NULL").select(F.inline("sums")).groupBy("bucket").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
+        found = np.array(gains({r["bucket"]: (r["s"], r["t"]) for r in sums.collect()}, buckets), np.int64)
+
+        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            unpacked, kind = zstandard.ZstdDecompressor(), np.uint16 if buckets <= 1 << 16 else np.uint32
+            for row in _rows(batches):
+                sizes = np.array(row["sizes"], np.int64)
+                gained = np.zeros(row["n_words"] + 1, np.int64)  # by the word before which features begin
+                if row["n_words"]:
+                    levels, _ = _read(row, longest)
+                    order, _, _ = _dealt(levels, chunks)
+                    bucket = np.empty(len(order), np.int64)
+                    bucket[order] = np.concatenate([np.frombuffer(unpacked.decompress(p["buckets"]), kind) for p in sorted(row["pages"], key=lambda p: p["chunk"])])
+                    at = 0
+                    for x in levels:
+                        gained[x.at + 1] += found[bucket[at : at + len(x.keys)]][x.which]
+                        at += len(x.keys)
+                sums, ends = np.cumsum(gained), np.cumsum(sizes)
+                n = sum(np.maximum(sizes - k, 0) for k in range(longest))
+                weight = (sums[ends] - sums[ends - sizes]) // np.maximum(n, 1)
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(row["doc_ids"], pa.int64()), "n_words": sizes, "n_features": n, "weight": weight})
+
+        met = answers.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("chunk", "buckets")).alias("pages"))  # a block's own, so of its size
+        mine = held.where("NOT target").join(met, "block", "left").select("doc_ids", "sizes", "n_words", "words", "vocabulary", "pages")
+        return written(mine.mapInArrow(weigh, "doc_id long, n_words long, n_features long, weight long"), "weights", kept=True)
 
 
 def gumbel_milli(seed: int, doc_id: Column) -> Column:
@@ -290,7 +298,6 @@ def resample(docs: DataFrame, target: DataFrame, rule: Resampling | None = None)
     """
     rule = rule or Resampling()
     scored = importance(docs, target, rule).withColumn("score", F.col("weight") + gumbel_milli(rule.seed, F.col("doc_id")))
-    scored = written(scored, "scored")
     enough = scored.where(F.col("n_words") >= rule.min_words)
     drawn = rule.share * enough.count() // 100
     same = enough.groupBy(*scored.columns).agg(F.count("*").alias("_n"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import empty_if_null, fresh, row_key, table, unused, written
+from noticeworks.llm.common import empty_if_null, expanded, fresh, row_key, table, unused, written
 
 #: Kind, pattern, group of the secret itself, least characters of that group; fixed values.
 BASE_KINDS = (
@@ -129,7 +129,7 @@ def find_secrets(docs: DataFrame, repository: str | None = None, owner: str = "s
     is_base = (F.col("rank") >= 0) & (F.col("rank") < ORDER["other"])
     spans = F.array_compact(F.array(F.when(is_base | ((F.col("rank") == ORDER["other"]) & live), span), F.when(is_base & live, inner)))
     grouped = joined.groupBy("doc_id", "_key").agg(F.count_if(F.col("rank") < 0).alias("_n"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(spans)))).alias("spans"))
-    return grouped.select("doc_id", "_key", "spans", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy")).drop("_copy")
+    return expanded(grouped, "_n", "_copy").select("doc_id", "_key", "spans")
 
 
 def shown(spans: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import empty_if_null, partitions, table
+from noticeworks.llm.common import empty_if_null, expanded, partitions, table, unused
 
 #: Fixed multiplier of the generator, and its two halves of 32 bits.
 MULTIPLIER = 2862933555777941757
@@ -72,18 +72,21 @@ def jump_hash(key: Column, shards: int) -> Column:
 def numbered(df: DataFrame, group: str, order: list[Column], spread: Column, parts: int, name: str) -> DataFrame:
     """Rows numbered from 0 without gaps within each group, however large the groups are.
 
-    Each group is split in ``parts`` by ``spread``; parts are numbered on their own and start
-    where the parts before them end. The counts meet the rows by group and part, as which the
-    rows are dealt out already.
+    Equal rows are counted as one before anything is shuffled, and spread out again when they
+    are numbered, so that a row that stands very often is one row of its part. Each group is
+    split in ``parts`` by ``spread``; parts are numbered on their own and start where the parts
+    before them end.
     """
-    split = df.withColumn("_part", F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int"))
-    counts = split.groupBy(group, "_part").agg(F.count("*").alias("_n"))
-    before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(F.col(group).alias("_group"), F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = W.partitionBy(group, "_part").orderBy(*order)
-    ranked = split.withColumn("_rank", F.row_number().over(within) - 1)
-    joined = ranked.join(starts, (F.col(group) == F.col("_group")) & (F.col("_part") == F.col("_of")))
-    return joined.withColumn(name, F.col("_start") + F.col("_rank")).drop("_part", "_rank", "_group", "_of", "_start")
+    n, part, start, held, of, copy = unused(df, "_n", "_part", "_start", "_group", "_of", "_copy")
+    same = df.groupBy(*df.columns).agg(F.count("*").alias(n))
+    split = same.withColumn(part, F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int"))
+    counts = split.groupBy(group, part).agg(F.sum(n).alias(n))
+    before = W.partitionBy(group).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(F.col(group).alias(held), F.col(part).alias(of), F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    within = W.partitionBy(group, part).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    ranked = split.withColumn(copy, F.coalesce(F.sum(n).over(within), F.lit(0)))
+    joined = ranked.join(starts, (F.col(group) == F.col(held)) & (F.col(part) == F.col(of))).withColumn(start, F.col(start) + F.col(copy))
+    return expanded(joined.drop(copy, held, of, part), n, copy).withColumn(name, F.col(start) + F.col(copy)).select(*df.columns, name)
 
 
 def shard_documents(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import ascii_lower, table
+from noticeworks.llm.common import ascii_lower, expanded, table
 
 #: Host rules of the query: (host and path, verdict).
 HOST_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
@@ -120,7 +120,7 @@ def filter_urls(pages: DataFrame, host_rules=HOST_RULES, patterns=PATTERNS, page
     hits = met.select("page_id", "url", F.struct("exception", "size", "pattern", "decision").alias("hit"))
     judged = own.withColumn("n", F.lit(1)).unionByName(hits.withColumn("n", F.lit(0))).groupBy("page_id", "url").agg(F.sum("n").alias("n"), F.max("hit").alias("hit"))
     host, path = host_and_path(F.col("url"))
-    done = judged.select("page_id", "url", "hit", host.alias("host"), path.alias("path"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_copy"))
+    done = expanded(judged, "n", "_copy").select("page_id", "url", "hit", host.alias("host"), path.alias("path"))
     fit = host_rule(F.col("host"), F.col("path"), host_rules)
     return done.withColumn("_fit", fit).select(
         "page_id",

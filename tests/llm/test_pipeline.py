@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from noticeworks.llm import catalogue, packing
+from noticeworks.llm.common import noting
 from tests.llm.conftest import prose
 from tests.llm.test_row_operators import measures
 from tests.llm.test_text_operators import brute_components, check_packing, deleted_lines, shingles, spans_of
@@ -80,3 +81,39 @@ def test_native_operators_run_no_python(spark):
     for name in ("op1_secret_ownership", "op3_line_winnowing", "op6_chat_format", "op9_risk_controlled_quality", "op10_jump_sharding"):
         plan = catalogue.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow")), name
+
+
+def test_stages_need_no_writing_between(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder)
+    assert Counter(map(tuple, docs.collect())) == Counter(map(tuple, corpus_pipeline.run(spark, folder).collect()))
+
+
+def test_results_stay_readable_beside_later_runs(spark, folder):
+    """Two results of a session, one of them made in another thread at the same time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(2) as pool:
+        first, second = pool.map(lambda _: corpus_pipeline.run(spark, folder), range(2))
+    third = corpus_pipeline.run(spark, folder)
+    counts = [Counter(map(tuple, df.collect())) for df in (first, second, third, first)]
+    assert counts[0] == counts[1] == counts[2] == counts[3] and counts[0]
+
+
+def test_a_run_leaves_its_pieces_alone(spark, folder):
+    with noting() as left:
+        packed = corpus_pipeline.run(spark, folder)
+    assert [name for path in left if os.path.exists(path) for name in os.listdir(path)] == ["pieces"]
+    assert packed.count() > 0
+
+
+@pytest.mark.parametrize("rows", [[], [(None, "the same words again and again " + prose(7, 60), None, None, None)] * 40 + [(None, None, "en", "s", 1), (3, "", "en", "s", 0), (4, prose(8, 9000), "en", "s", 1)] * 2])
+def test_odd_documents(spark, folder, tmp_path, rows):
+    """An empty table; repeated rows, null ids and texts, a long text; further columns."""
+    docs = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, _key string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == ({None, 4} if rows else set())
+    assert not rows or sum(r.length for r in got if r.doc_id == 4) > 9000
