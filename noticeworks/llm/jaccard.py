@@ -337,11 +337,15 @@ def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
     me = known.select(F.col("group").alias("own"), F.col("member").alias("me"), F.col("sid").alias("x"), F.col("most").alias("most_x"))
     enough = F.col("most_x") * (num + den) >= 2 * num * F.col("n")  # with a set of its own size or more
     opened = opened_groups(postings, token_group_matrix(postings), rule).join(me, ["own", "me"]).where(enough)
-    places = F.filter(F.sequence(F.lit(0), F.lit(rule.group - 1)), lambda i: F.getbit("hits", i) == 1)
-    hit = opened.select("x", "most_x", F.col("cluster").alias("cluster_x"), F.col("n").alias("n_x"), "group", F.explode(places).alias("member"))
-    member = known.select("group", "member", F.col("sid").alias("y"), F.col("cluster").alias("cluster_y"), F.col("n").alias("n_y"), F.col("most").alias("most_y"))
-    pairs = hit.join(member, ["group", "member"]).where("cluster_x <> cluster_y AND n_x <= n_y").where(_compatible(F.col("n_x"), F.col("n_y"), rule))
-    pairs = pairs.where(F.least("most_x", "most_y") * (num + den) >= num * (F.col("n_x") + F.col("n_y")))
+    # a group's members, 64 at most, meet the query as a whole; pairs are made of those that can link
+    member = F.struct("member", F.col("sid").alias("y"), "cluster", "n", "most")
+    whole = known.groupBy("group").agg(F.collect_list(member).alias("members"))
+
+    def can_link(m: Column) -> Column:
+        hit = (F.getbit("hits", m["member"]) == 1) & (m["cluster"] != F.col("cluster")) & (F.col("n") <= m["n"])
+        return hit & _compatible(F.col("n"), m["n"], rule) & (F.least(F.col("most_x"), m["most"]) * (num + den) >= num * (F.col("n") + m["n"]))
+
+    pairs = opened.join(whole, "group").select("x", F.explode(F.filter("members", can_link)["y"]).alias("y"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
