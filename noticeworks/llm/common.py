@@ -84,6 +84,12 @@ def written(df: DataFrame, name: str, kept: bool = False, **options: str) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of steps whose results are written: it does so when the
+    driver collects garbage, which else may be long after."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def expanded(df: DataFrame, count: str, nth: str, step: int = 1024) -> DataFrame:
     """Each row as often as its ``count``, with its number there, from 0, in ``nth``.
 

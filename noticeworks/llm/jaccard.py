@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from noticeworks.llm.common import MAX_BROADCAST_KEYS, fresh, row_key, scratch, table, unused, written
+from noticeworks.llm.common import MAX_BROADCAST_KEYS, free_shuffles, fresh, row_key, scratch, table, unused, written
 from noticeworks.llm.components import components
 
 BITS = 18
@@ -224,6 +224,7 @@ def linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Threshold)
     execution can split."""
     with scratch(docs.sparkSession):
         pairs = written(pairs, "pairs")
+        free_shuffles(docs.sparkSession)
         tokens = token_sets(pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))), sets, docs, rule)
         num, den = rule.num, rule.den
 
@@ -367,10 +368,12 @@ def similar_components(docs: DataFrame, rule: Threshold | None = None) -> DataFr
             name = _sorted_id(F.col("f.doc"), F.col("sid"))
             sets = written(sets.select(name.alias("sid"), F.col("sid").alias("hash"), F.col("f._key").alias("_key"), "n", "bands", "score", "least", "prefix"), "sets", kept=True)
             rows = written(rows.select("doc", "_key", "n", "sid"), "rows", kept=True)
+        free_shuffles(docs.sparkSession)
         groups = grouped(sets, rule)
         links, clustered = clusters(sets, docs, rule)
         inside = sets.select("sid", "n", "prefix").join(groups, "sid").join(clustered, "sid", "left")
         inside = written(inside.select("sid", "n", "prefix", "group", "member", F.xxhash64(F.coalesce("cluster", "sid")).alias("cluster")), "groups")
+        free_shuffles(docs.sparkSession)
         more = linked(group_pairs(inside, rule), sets, docs, rule)
         roots = components(links.unionByName(more))
         named = sets.select("sid", "hash").join(roots, F.col("sid") == F.col("node"), "left").select(fresh(F.col("hash")).alias("hash"), _doc_of(F.coalesce("root", "sid")).alias("component_id"))
