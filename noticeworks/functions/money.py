@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -38,10 +39,30 @@ def _with_point(t: Column) -> Column:
     )
 
 
+#: A decimal number; digits may have single underscores between them.
+_FLOAT = r"^[+-]?(?:\p{Nd}+(?:_\p{Nd}+)*[.]?(?:\p{Nd}+(?:_\p{Nd}+)*)?|[.]\p{Nd}+(?:_\p{Nd}+)*)(?:[eE][+-]?\p{Nd}+(?:_\p{Nd}+)*)?$"
+#: An amount that is its own exact decimal.
+_PLAIN = r"^[0-9]{1,18}(?:[.][0-9]{1,2})?$"
+
+
+def _ascii_digits(x: Column) -> Column:
+    """Digits of other alphabets as those of ASCII: each block of ten begins with its zero."""
+    zeros = [chr(c) for c in range(0x80, 0x1FFFF) if unicodedata.decimal(chr(c), None) == 0]
+    return F.translate(x, "".join(chr(ord(z) + i) for z in zeros for i in range(10)), "0123456789" * len(zeros))
+
+
 def lenient_amount(x: Column) -> Column:
-    """A double; null for what isn't a number, isn't finite or is negative."""
-    d = amount_text(x).try_cast("double")
-    return F.when((d >= 0) & (d < float("inf")), d)
+    """A double; null for what isn't a number, isn't finite or is negative.
+
+    A number is decimal, with an exponent or not; digits of any alphabet count, underscores
+    between digits too. Other forms that a cast would take (suffixes, hexadecimal) are none.
+    """
+
+    def cast(t: Column) -> Column:
+        usual = F.when(t.rlike("^[0-9.]+$"), t).when(t.rlike(_FLOAT), F.replace(_ascii_digits(t), F.lit("_"), F.lit("")))
+        return usual.try_cast("double")
+
+    return let(let(amount_text(x), cast), lambda d: F.when((d >= 0) & (d < float("inf")), d))
 
 
 def exact_amount(x: Column) -> Column:
@@ -71,7 +92,8 @@ def exact_amount(x: Column) -> Column:
         value = F.when(s["plain"], F.when(zero, F.lit(0).cast(MONEY)).when((places <= 2) & (before <= 18), t.try_cast(MONEY)))
         return F.struct(value.alias("value"), error.alias("error"))
 
-    return let(let(F.lower(F.regexp_replace(amount_text(x), "^[+]", "")), split), judged)
+    kept = F.struct(x.try_cast(MONEY).alias("value"), F.lit(None).cast("string").alias("error"))
+    return F.when(x.rlike(_PLAIN), kept).otherwise(let(let(F.lower(F.regexp_replace(amount_text(x), "^[+]", "")), split), judged))
 
 
 def currency_of(amount: Column, currency: Column, default: str | None = None) -> Column:

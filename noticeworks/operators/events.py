@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.functions import jsonx, money, text, timex
+from noticeworks.functions import jsonx, money, shapes, text, timex
 from noticeworks.operators.contracts import EVENT_FIELDS
 
 _NAMES = [f.name for f in EVENT_FIELDS]
 
 
+#: Fixed: what event and procedure ids begin with.
+NOTICES = {"ted": "ted:notice:", "placsp": "placsp:notice:", "boe": "boe:notice:"}
+PROCEDURES = {"ted": "ted:procedure:", "placsp": "placsp:procedure:"}
+
+
 def _event(rows: DataFrame, **columns: Column) -> DataFrame:
     """The contract's columns in order and type; those not given are null."""
     ddl = {f.name: f.kind for f in EVENT_FIELDS}
@@ -34,6 +39,7 @@ TEXTS = {
 }
 CODES = {"ted": ("PC", "cpv"), "placsp": ("cpv",)}
 PROCEDURE, BUYER = ("procedure-identifier", "BT-04-notice"), ("buyer-identifier", "BI")
+LISTED = tuple(dict.fromkeys([n for names in CODES.values() for n in names] + [*PROCEDURE, *BUYER]))
 #: Fixed: a notice's amount is the first of these that isn't null, even if it is invalid; a feed
 #: entry's the first whose key is there, even if it is null.
 TED_AMOUNTS = ("estimated-value-lot", "framework-maximum-value-lot", "amount")
@@ -52,39 +58,68 @@ def _once(rows: DataFrame, **columns: Column) -> DataFrame:
     return rows.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
 
 
-def record_events(records: DataFrame) -> DataFrame:
-    """Events of accepted records: source, payload_json, retrieved_at. One pass over them: a
-    payload is parsed once, its fields are read in one cast, and each column chooses among them
-    by source. Values of a kind stand in an array, so that one expression reads them all."""
-    source = F.col("source")
-    rows = _once(records.select("source", "retrieved_at", "payload_json").where(source.isin("ted", "placsp", "boe")), f=jsonx.fields(jsonx.payload(F.col("payload_json")), _READ))
-    at = lambda name: F.col(f"f.`{name}`")
-
-    def by_source(choices: dict[str, Column]) -> Column:
-        found = F.lit(None)
-        for name, choice in choices.items():
-            found = F.when(source == name, choice).otherwise(found)
-        return found
-
-    # of fields among which the first truthy one counts, those that are truthy
-    asked = list(dict.fromkeys(n for by in (*TEXTS.values(), CODES) for names in by.values() if len(names) > 1 for n in names))
-    rows = _once(rows, full=F.transform(F.array(*map(at, asked)), lambda x: F.when(jsonx.is_truthy(x), x)))
-    pick = lambda names: at(names[0]) if len(names) == 1 else F.coalesce(*(F.get("full", F.lit(asked.index(n))) for n in names))
+_NAMES_OF_TEXTS = (*TEXTS, "amount", "currency")
+_LISTS = ("codes", "procedure", "buyer")
+
+
+#: Fields among which the first truthy one counts.
+_ASKED = tuple(dict.fromkeys(n for by in (*TEXTS.values(), CODES) for names in by.values() if len(names) > 1 for n in names))
+
+
+def _full(reader: shapes.Variants | shapes.Texts) -> Column:
+    """An array of the asked fields, null where one isn't truthy."""
+    return F.transform(F.array(*map(reader.value, _ASKED)), lambda x: F.when(reader.truthy(x), x))
+
+
+def _picked(reader: shapes.Variants | shapes.Texts, full: Column) -> dict[str, Column]:
+    """The fields that a payload's columns are made of, chosen by source."""
+    source, at = F.col("source"), reader.value
+    by_source = lambda choices: shapes.by_source(source, choices)
+
+    def pick(names: tuple[str, ...]) -> Column:
+        return at(names[0]) if len(names) == 1 else F.coalesce(*(F.get(full, F.lit(_ASKED.index(n))) for n in names))
+
     overall, exclusive = FEED_AMOUNTS
     chosen = lambda end: F.when(at(overall).isNotNull(), at(f"{overall}{end}")).otherwise(at(f"{exclusive}{end}"))
-    given = F.coalesce(*(F.when(jsonx.is_given(at(n)), at(n)) for n in TED_AMOUNTS))
-    values = {c: by_source({s: pick(names) for s, names in by.items()}) for c, by in TEXTS.items()}
-    values |= {"amount": by_source({"ted": given, "placsp": chosen("_raw")}), "currency": by_source({"ted": at("currency"), "placsp": chosen("_currency")})}
-    none = F.array().cast("array<variant>")
-    lists = {"codes": jsonx.items(by_source({s: pick(names) for s, names in CODES.items()}))}
-    lists |= {n: F.concat(*(F.coalesce(jsonx.items(at(x)), none) for x in names)) for n, names in (("procedure", PROCEDURE), ("buyer", BUYER))}
-    rows = _once(
-        rows,
-        texts=F.transform(F.array(*values.values()), lambda x: F.when(x.isNotNull(), F.nullif(jsonx.shown_text(x), F.lit("")))),
-        lists=F.transform(F.array(*lists.values()), lambda xs: text.distinct_nonblank(F.transform(F.coalesce(xs, none), lambda i: jsonx.shown_text(i, depth=1)))),
-        number=F.when(source == "placsp", jsonx.as_text(chosen(""))),
-    )
-    rows = _once(rows, **{c: F.get("texts", F.lit(i)) for i, c in enumerate(values)}, **{f"all_{c}": F.get("lists", F.lit(i)) for i, c in enumerate(lists)})
+    given = F.coalesce(*(F.when(reader.given(at(n)), at(n)) for n in TED_AMOUNTS))
+    found = {c: by_source({s: pick(names) for s, names in by.items()}) for c, by in (TEXTS | {"codes": CODES}).items()}
+    found |= {"amount": by_source({"ted": given, "placsp": chosen("_raw")}), "currency": by_source({"ted": at("currency"), "placsp": chosen("_currency")})}
+    found |= {f"{n}_{i}": at(x) for n, names in (("procedure", PROCEDURE), ("buyer", BUYER)) for i, x in enumerate(names)}
+    return found | {"number": by_source({"placsp": chosen("")}), "link": by_source({"ted": at("links")})}
+
+
+def _finished(reader: shapes.Variants | shapes.Texts, picked: dict[str, Column]) -> Column:
+    """A struct of what the fields say: texts, lists of texts, a number's text, an address."""
+    lists = [picked[n] for n in ("codes", *(f"{n}_{i}" for n, names in (("procedure", PROCEDURE), ("buyer", BUYER)) for i in range(len(names))))]
+    number, link = reader.text(picked["number"]), reader.link(picked["link"])
+    return F.struct(reader.shown(picked[c] for c in _NAMES_OF_TEXTS).alias("texts"), reader.items(lists).alias("lists"), number.alias("number"), link.alias("link"))
+
+
+def record_events(records: DataFrame) -> DataFrame:
+    """Events of accepted records: source, payload_json, retrieved_at. One pass over them: a
+    payload of usual shape is read into texts at once, others by VARIANT, and each column
+    chooses among the fields by source."""
+    source, payload = F.col("source"), F.col("payload_json")
+    by_source = lambda choices: shapes.by_source(source, choices)
+    rows = records.select("source", "retrieved_at", "payload_json").where(source.isin(*NOTICES))
+    rows = _once(rows, f=F.from_json(payload, shapes.text_schema(_READ)))
+    texts = shapes.Texts(F.col("f"))
+    odd = shapes.is_odd(payload, F.col("f"), _READ, exact=(*FEED_AMOUNTS, *TED_AMOUNTS), present=FEED_AMOUNTS[:1], listed=LISTED)
+    rows = _once(rows, odd=F.coalesce(odd, F.lit(True)), full=_full(texts))
+    picked = _picked(texts, F.col("full"))
+    rows = _once(rows, picked=F.struct(*(x.alias(c) for c, x in picked.items())))
+    usual = _finished(texts, {c: F.col(f"picked.{c}") for c in picked})
+
+    def any_shape(f: Column) -> Column:
+        reader = shapes.Variants(f)
+        return money.let(_full(reader), lambda full: _finished(reader, _picked(reader, full)))
+
+    by_variant = money.let(jsonx.fields(jsonx.payload(payload), _READ), any_shape)
+    rows = _once(rows, found=F.when(F.col("odd"), by_variant).otherwise(usual)).select("source", "retrieved_at", "found.*")
+    # codes, and what is published under two names for each of procedure and buyer
+    listed = [F.get("lists", F.lit(0)), *(F.flatten(F.array_compact(F.slice("lists", i, 2))) for i in (2, 4))]
+    rows = _once(rows, own_lists=F.transform(F.array(*listed), shapes.distinct), **{c: F.get("texts", F.lit(i)) for i, c in enumerate(_NAMES_OF_TEXTS)})
+    rows = _once(rows.drop("texts"), **{f"all_{c}": F.get("own_lists", F.lit(i)) for i, c in enumerate(_LISTS)})
     # a feed's amount counts only beside its number, as published where that is there
     amount = F.when(source == "ted", F.col("amount")).when(F.col("number").isNotNull(), F.coalesce(F.col("amount"), F.col("number")))
     rows = _once(rows, exact=money.exact_amount(amount)["value"], instant=timex.aware_instant(F.col("updated")))
@@ -93,11 +128,11 @@ def record_events(records: DataFrame) -> DataFrame:
     return _event(
         rows,
         event_id=by_source({
-            "ted": F.concat(F.lit("ted:notice:"), c("id")),
-            "placsp": F.concat(F.lit("placsp:notice:"), c("id"), F.lit("@"), F.coalesce(timex.iso_marker(c("instant")), F.lit("undated"))),
-            "boe": F.concat(F.lit("boe:notice:"), c("id")),
+            "ted": F.concat(F.lit(NOTICES["ted"]), c("id")),
+            "placsp": F.concat(F.lit(NOTICES["placsp"]), c("id"), F.lit("@"), F.coalesce(timex.iso_marker(c("instant")), F.lit("undated"))),
+            "boe": F.concat(F.lit(NOTICES["boe"]), c("id")),
         }),
-        procedure_id=by_source({"ted": F.concat(F.lit("ted:procedure:"), one_of("all_procedure")), "placsp": F.concat(F.lit("placsp:procedure:"), c("id"))}),
+        procedure_id=by_source({"ted": F.concat(F.lit(PROCEDURES["ted"]), one_of("all_procedure")), "placsp": F.concat(F.lit(PROCEDURES["placsp"]), c("id"))}),
         source=source,
         source_event_type=by_source({"ted": F.coalesce(F.concat(F.lit("notice:"), c("kind")), F.lit("notice")), "placsp": F.lit("notice_snapshot"), "boe": F.lit("notice")}),
         buyer_id=by_source({"ted": one_of("all_buyer"), "placsp": c("buyer_dir3")}),
@@ -112,7 +147,7 @@ def record_events(records: DataFrame) -> DataFrame:
         status=c("status"),
         nuts_code=c("nuts"),
         country=F.when(source == "ted", text.country_code(c("country"))).otherwise(F.lit("ES")),
-        source_url=F.coalesce(c("url"), by_source({"ted": jsonx.link_of(at("links"))})),
+        source_url=F.coalesce(c("url"), c("link")),
         ingested_at=c("retrieved_at"),
     )
 
@@ -124,7 +159,7 @@ def tombstone_events(rows: DataFrame) -> DataFrame:
     return _event(
         rows,
         event_id=F.coalesce(dated, F.concat(F.lit("placsp:tombstone:"), F.col("ref"))),
-        procedure_id=F.concat(F.lit("placsp:procedure:"), F.col("ref")),
+        procedure_id=F.concat(F.lit(PROCEDURES["placsp"]), F.col("ref")),
         source=F.lit("placsp"),
         source_event_type=F.lit("tombstone"),
         cpv_codes=F.array().cast("array<string>"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.functions import jsonx, money, text, timex
+from noticeworks.functions import jsonx, money, shapes, text, timex
 from noticeworks.operators import legacy
 from noticeworks.operators.events import _once
 
@@ -57,18 +57,20 @@ def tender_records(records: DataFrame) -> DataFrame:
     """
     source = F.col("source")
     known = F.when(source.isin("ted", "placsp", "boe"), source).otherwise(F.raise_error(F.concat(F.lit("unsupported source: "), F.coalesce(source, F.lit("")))).cast("string"))
-    rows = _once(records.select(known.alias("source"), "payload_json"), f=jsonx.fields(jsonx.payload(F.col("payload_json")), _READ))
-    rows = _once(rows, full=F.transform(F.array(*(F.col(f"f.`{n}`") for n in _READ)), lambda x: F.when(jsonx.is_truthy(x), x)))
-    pick = lambda names: F.coalesce(*(F.get("full", F.lit(_READ.index(n))) for n in names))
-
-    def by_source(choices: dict[str, Column]) -> Column:
-        found = F.lit(None)
-        for name, choice in choices.items():
-            found = F.when(source == name, choice).otherwise(found)
-        return found
-
-    chosen = [by_source({s: pick(names) for s, names in by.items()}) for by in _TEXTS.values()]
-    rows = _once(rows, texts=F.transform(F.array(*chosen), lambda x: F.when(x.isNotNull(), F.nullif(jsonx.shown_text(x), F.lit("")))))
+    payload = F.col("payload_json")
+    rows = _once(records.select(known.alias("source"), "payload_json"), f=F.from_json(payload, shapes.text_schema(_READ)))
+
+    def finished(reader: shapes.Variants | shapes.Texts, full: Column) -> Column:
+        pick = lambda names: F.coalesce(*(F.get(full, F.lit(_READ.index(n))) for n in names))
+        chosen = [shapes.by_source(source, {s: pick(names) for s, names in by.items()}) for by in _TEXTS.values()]
+        return F.struct(reader.shown(chosen).alias("texts"), F.when(source == "ted", reader.link(reader.value("links"))).alias("link"))
+
+    full = lambda reader: F.transform(F.array(*map(reader.value, _READ)), lambda x: F.when(reader.truthy(x), x))
+    texts, any_shape = shapes.Texts(F.col("f")), shapes.Variants
+    amounts = [n for names in _TEXTS["amount_text"].values() for n in names]
+    rows = _once(rows, odd=F.coalesce(shapes.is_odd(payload, F.col("f"), _READ, exact=amounts), F.lit(True)), full=full(texts))
+    by_variant = money.let(jsonx.fields(jsonx.payload(payload), _READ), lambda f: money.let(full(any_shape(f)), lambda x: finished(any_shape(f), x)))
+    rows = _once(rows, found=F.when(F.col("odd"), by_variant).otherwise(finished(texts, F.col("full")))).select("source", "payload_json", "found.*")
     rows = _once(rows, **{c: F.get("texts", F.lit(i)) for i, c in enumerate(_TEXTS)})
     # null where the number is; what a payload holds as a number is taken as it is
     rows = _once(rows, amount=money.lenient_amount(F.col("amount_text")))
@@ -77,7 +79,7 @@ def tender_records(records: DataFrame) -> DataFrame:
         "source", F.coalesce("tender_id", empty).alias("tender_id"), F.coalesce("title", empty).alias("title"), F.coalesce("summary", empty).alias("summary"), "buyer",
         timex.lenient_date(F.col("day")).alias("published_date"), "amount",
         F.when(source == "ted", F.coalesce("money", F.when(F.col("amount").isNotNull(), "EUR"))).otherwise(F.col("money")).alias("currency"),
-        F.when(source == "ted", F.col("place")).otherwise("ES").alias("country"), F.coalesce("url", F.when(source == "ted", jsonx.link_of(F.col("f.links")))).alias("url"),
+        F.when(source == "ted", F.col("place")).otherwise("ES").alias("country"), F.coalesce("url", F.col("link")).alias("url"),
         F.col("code").alias("cpv_main"), "buyer_id", "region", "status", F.col("payload_json").alias("raw"),
     )
 

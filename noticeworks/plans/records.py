@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.functions import codes
-from noticeworks.operators import builds, legacy, records
+from noticeworks.functions import codes, money
+from noticeworks.operators import builds, legacy, lineage, records
 from noticeworks.plans import silver
-from noticeworks.session import cut, table
+from noticeworks.session import cut, spread, table
 
 PREFIXES = [("Brand#1", "ones"), ("Brand#", "any"), ("Brand#12", "twelve"), ("Brand#2", "twos")]
 #: What is put after a document's text, and its code, by doc_id: synthetic prose has no such words.
@@ -126,10 +126,57 @@ def tfidf_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legacy.similarities(pairs, weights).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
+#: What titles of the lineage's orders end with, by order: the same procedure's notices share it.
+GOODS = ("servidores y almacenamiento", "licencias de software", "mantenimiento de aplicaciones", "servicios en la nube", "obras de pavimentación", "suministro de energía")
+LINEAGE_CODES = ("30200000", "48000000", "72260000", "72415000", "45233000", "09310000")
+
+
+def lineage_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of orders as notices of their customers, of which two in five are published in a
+    second source, some days later and with another title, or none."""
+    o, k = spread(table(spark, sf_dir, "orders")), F.col("o_orderkey")
+    of = lambda names: F.element_at(F.array(*map(F.lit, names)), (k % len(names) + 1).cast("int"))
+    buyer = F.when(F.col("o_custkey") % 20 != 0, F.concat(F.lit("Ayuntamiento de la Villa nº "), (F.col("o_custkey") % 400 + 1000).cast("string")))
+    title = F.concat_ws(" ", F.lit("Expediente"), k.cast("string"), F.lit("contrato de"), of(GOODS))
+    day = F.when(k % 9 != 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+    ted = F.struct(k.cast("string").alias("ND"), F.create_map(F.lit("spa"), title).alias("TI"), F.array(F.create_map(F.lit("spa"), buyer)).alias("_b"), buyer.alias("buyer-name"), F.array(of(LINEAGE_CODES)).alias("PC"), day.alias("PD"))
+    again = F.when(k % 35 == 0, F.lit("!")).when(k % 5 == 0, F.concat(F.upper(title), F.lit(" (lote único)"))).otherwise(F.concat_ws(" ", F.lit("Otro anuncio"), of(GOODS)))
+    later = F.concat(F.date_format(F.date_add("o_orderdate", (k % 10).cast("int")), "yyyy-MM-dd"), F.lit("T10:00:00Z"))
+    feed = F.struct(F.concat(F.lit("https://x/"), k.cast("string")).alias("atom_id"), k.cast("string").alias("tender_no"), again.alias("title"), buyer.alias("buyer"), F.array(of(LINEAGE_CODES)).alias("cpv"), later.alias("updated"))
+    both = [o.select(F.lit("ted").alias("source"), F.to_json(ted).alias("payload_json")), o.where(k % 5 < 2).select(F.lit("placsp").alias("source"), F.to_json(feed).alias("payload_json"))]
+    return both[0].unionByName(both[1])
+
+
+def _lineage(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Scored records, assignments and counters, from payloads."""
+    scored = cut(records.scored(records.tender_records(lineage_payloads(spark, sf_dir))).drop("raw"))
+    return scored, *lineage.duplicate_groups(lineage.linkable(scored))
+
+
+def record_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From payloads to opportunities with their duplicate groups."""
+    scored, assigned, _ = _lineage(spark, sf_dir)
+    rows = lineage.assigned_opportunities(scored, assigned)
+    return rows.select("source", "tender_id", "category", "category_source", "dup_group", "is_canonical", "duplicate_of")
+
+
+def lineage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of the lineage's linkage, and the share of records that repeat another."""
+    scored, _, stats = _lineage(spark, sf_dir)
+    n = scored.agg(F.count("*").alias("records"))
+    both = stats.drop("compared_pairs").join(F.broadcast(n))  # a single row each
+    return both.withColumn("duplicate_share", money.share(F.col("duplicated_records"), F.col("records")))
+
+
+def classifier_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyword verdict of the lineage's records against their codes."""
+    return lineage.code_evaluation(records.scored(records.tender_records(lineage_payloads(spark, sf_dir))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        keyword_classify, tender_records, record_opportunities, record_quality, record_issues, prefix_category, classifier_eval, quality_issues, quality_gates, tech_summary, buyer_category, linkage_candidates, linkage_stats, linkage_groups, linked_records, tfidf_similarity,
+        keyword_classify, tender_records, record_opportunities, record_quality, record_issues, prefix_category, classifier_eval, quality_issues, quality_gates, tech_summary, buyer_category, linkage_candidates, linkage_stats, linkage_groups, linked_records, tfidf_similarity, record_lineage, lineage_counters, classifier_by_code,
     )
 }
 
@@ -155,7 +202,43 @@ _R = f"""r AS (
   UNION ALL SELECT 'boe', 'B' || s_suppkey, s_name, '', NULL, DATE '2024-01-05', NULL, 'ES', NULL, NULL, NULL, NULL, NULL, NULL FROM supplier)"""
 _L = """r AS (SELECT o_custkey AS block, o_orderkey AS key, o_orderstatus AS source, CASE WHEN o_orderkey % 8 <> 0 THEN CAST(o_orderdate AS DATE) END AS day FROM orders),
 l AS (SELECT x.block, x.key AS a, y.key AS b FROM r x JOIN r y ON x.block = y.block AND x.key < y.key AND x.source <> y.source AND abs(date_diff('day', x.day, y.day)) <= 7)"""
+_LIST = lambda names: "[" + ", ".join(f"'{x}'" for x in names) + "]"
+#: The records of lineage_payloads, their groups and verdicts.
+_LINEAGE = f"""
+o AS (SELECT *, o_orderkey AS k, {_LIST(GOODS)}[o_orderkey % {len(GOODS)} + 1] AS goods, {_LIST(LINEAGE_CODES)}[o_orderkey % {len(LINEAGE_CODES)} + 1] AS code,
+  CASE WHEN o_custkey % 20 <> 0 THEN 'ayuntamiento villa ' || (o_custkey % 400 + 1000) ELSE 'sin-comprador' END AS buyer FROM orders),
+r AS (SELECT 'ted' AS source, k, code, buyer || '|' || substr(code, 1, 2) AS block, CASE WHEN k % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS day, 'Expediente ' || k || ' contrato de ' || goods AS title FROM o
+  UNION ALL SELECT 'placsp', k, code, buyer || '|' || substr(code, 1, 2), CAST(o_orderdate AS DATE) + CAST(k % 10 AS INT),
+    CASE WHEN k % 35 = 0 THEN '!' WHEN k % 5 = 0 THEN upper('Expediente ' || k || ' contrato de ' || goods) || ' (lote único)' ELSE 'Otro anuncio ' || goods END FROM o WHERE k % 5 < 2),
+s AS (SELECT *, source || chr(1) || k AS key, strip_accents(lower(title)) AS t FROM r),
+c AS (SELECT x.block, x.key AS a, y.key AS b FROM s x JOIN s y ON x.block = y.block AND x.source = 'placsp' AND y.source = 'ted' AND abs(date_diff('day', x.day, y.day)) <= 7),
+i AS (SELECT block, a AS key FROM c UNION SELECT block, b FROM c),
+w AS (SELECT block, key, unnest(list_filter(regexp_extract_all(t, '[\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 2)) AS w FROM i JOIN s USING (block, key)),
+f AS (SELECT block, key, w, count(*) AS tf FROM w GROUP BY ALL), d AS (SELECT block, w, count(*) AS df FROM f GROUP BY ALL), n AS (SELECT block, count(*) AS n FROM i GROUP BY block),
+x AS (SELECT block, key, w, (1 + tf) * ln((1 + n)::DOUBLE / (1 + df)) + 1 AS v FROM f JOIN d USING (block, w) JOIN n USING (block)),
+y AS (SELECT block, key, w, v / sqrt(sum(v * v) OVER (PARTITION BY block, key)) AS v FROM x),
+l AS (SELECT a, b FROM c JOIN y p ON p.block = c.block AND p.key = a JOIN y q ON q.block = c.block AND q.key = b AND q.w = p.w GROUP BY a, b HAVING round(sum(p.v * q.v), 12) >= 0.75),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+g AS (SELECT a AS node, a AS root FROM e UNION SELECT e.b, g.root FROM g JOIN e ON e.a = g.node AND g.root < e.b),
+m AS (SELECT node AS key, min(root) AS root FROM g GROUP BY node),
+z AS (SELECT m.*, dense_rank() OVER (ORDER BY root) AS group_no, first_value(key) OVER q AS canonical, first_value(CAST(k AS VARCHAR)) OVER q AS canonical_id
+  FROM m JOIN s USING (key) WINDOW q AS (PARTITION BY root ORDER BY day, -length(title), CAST(k AS VARCHAR), source)),
+v AS (SELECT s.*, CASE {_CASE} END AS by_word, CASE {_BY_CODE.replace("cpv_main", "code")} END AS by_code FROM s)"""
+_MARKS = ", ".join(f"round_even({x}, 4) AS {name}" for x, name in (("p", "precision"), ("r", "recall"), ("f", "f1")))
 ORACLES = {
+    "record_lineage": f"""WITH RECURSIVE {_LINEAGE} SELECT source, CAST(k AS VARCHAR) AS tender_id, coalesce(by_word, by_code, 'Other') AS category,
+        CASE WHEN by_word IS NOT NULL THEN 'keywords' WHEN by_code IS NOT NULL THEN 'cpv' ELSE 'none' END AS category_source, CAST(group_no AS INT) AS dup_group,
+        coalesce(key = canonical, true) AS is_canonical, CASE WHEN key <> canonical THEN canonical_id END AS duplicate_of FROM v LEFT JOIN z USING (key)""",
+    "lineage_counters": f"""WITH RECURSIVE {_LINEAGE} SELECT (SELECT count(*) FROM c) AS candidate_pairs, (SELECT count(*) FROM c JOIN s ON s.key = a WHERE t <> '!') AS evaluated_pairs, (SELECT count(*) FROM l) AS linked_pairs,
+        (SELECT count(DISTINCT root) FROM m) AS linked_groups, (SELECT count(*) - count(DISTINCT root) FROM m) AS duplicated_records, (SELECT count(*) FROM s WHERE day IS NULL) AS records_without_date,
+        (SELECT count(*) FROM s) AS records, round_even((SELECT count(*) - count(DISTINCT root) FROM m)::DOUBLE / (SELECT count(*) FROM s), 4) AS duplicate_share""",
+    "classifier_by_code": f"""WITH RECURSIVE {_LINEAGE}, h AS (SELECT by_code AS gold, coalesce(by_word, 'Other') AS said FROM v WHERE by_code IS NOT NULL AND by_word IS NOT NULL),
+        labels AS (SELECT unnest({_LIST([name for name, _ in records.CATEGORIES])}) AS label),
+        n2 AS (SELECT label, count(*) FILTER (gold = label AND said = label) AS tp, count(*) FILTER (gold <> label AND said = label) AS fp, count(*) FILTER (gold = label AND said <> label) AS fn FROM labels, h GROUP BY label),
+        p2 AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0::DOUBLE ELSE tp::DOUBLE / (tp + fp) END AS p, CASE WHEN tp + fn = 0 THEN 0.0::DOUBLE ELSE tp::DOUBLE / (tp + fn) END AS r FROM n2),
+        f2 AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0::DOUBLE ELSE 2 * p * r / (p + r) END AS f FROM p2)
+        SELECT label AS category, {_MARKS}, tp + fn AS support, (SELECT count(*) FROM h) AS evaluated_records, (SELECT count(*) FROM s) AS total_records,
+        round_even((SELECT count(*) FROM h)::DOUBLE / (SELECT count(*) FROM s), 4) AS coverage, round_even((SELECT avg(f) FROM f2), 4) AS macro_f1 FROM f2""",
     "keyword_classify": f"""SELECT doc_id, array_to_string({_FOUND}, '|') AS matched, {_CLASSED}, CAST(len({_FOUND}) AS INT) AS score
         FROM (SELECT *, CASE {_CASE} END AS w, CASE {_BY_CODE} END AS c FROM (SELECT doc_id, {_CODE}[doc_id % {len(CODES)} + 1] AS cpv_main,
               strip_accents(lower({_PHRASE}[doc_id % {len(PHRASES)} + 1] || ' ' || coalesce(text, ''))) AS t FROM documents))""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeworks.operators import intake, state
 from noticeworks.operators.events import procurement_events
-from noticeworks.session import table
+from noticeworks.session import spread, table
 
 
 def _text(c):
@@ -17,7 +17,7 @@ def _text(c):
 def payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Accepted records and deletes, with what real payloads hold: brackets in titles, several
     amounts, numbers without their text, exponents, padded instants, replacement characters."""
-    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    o, k = spread(table(spark, sf_dir, "orders")), F.col("o_orderkey")
     money = F.when(k % 4 == 0, "1.5e3").otherwise(_text(F.col("o_totalprice").cast("decimal(20,2)")))
     title = F.concat(F.when(k % 5 == 0, "[Anulado] t").otherwise("t"), _text(F.col("o_custkey")))
     ted = F.struct(
@@ -25,7 +25,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.create_map(F.lit("spa"), F.lit("a \ufffd b")).alias("description-glo"), F.when(k % 3 == 0, F.array(F.lit("7,25"))).alias("estimated-value-lot"),
         money.alias("amount"), F.lit("ESP").alias("CY"), F.date_format("o_orderdate", "yyyy-MM-dd'Z'").alias("PD"), F.lit("ted").alias("_source"),
     )
-    c, n = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    c, n = spread(table(spark, sf_dir, "customer")), F.col("c_custkey")
     euros = F.abs("c_acctbal").cast("decimal(20,2)")
     overall = n + F.lit(0.5)
     placsp = F.struct(

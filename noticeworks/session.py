@@ -33,6 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where it has fewer partitions: a small table of one row group would be
+    one task's work. Tables with splits enough aren't shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @cache
 def _folder_of_tests() -> str:
     return tempfile.mkdtemp(prefix="noticeworks-")

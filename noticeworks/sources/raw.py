@@ -65,7 +65,7 @@ def evidence_issues(files: DataFrame, evidence: DataFrame) -> DataFrame:
         .when(F.col("_own").isNull(), "orphan_sidecar")
         .when(F.col("_error").isNotNull(), F.concat(F.lit("invalid_"), F.col("_error")))
         .when(F.col("_own") != F.col("sha256"), "checksum_mismatch")
-        .when(~F.col("path").endswith(F.col("raw_path")), "path_mismatch")
+        .when(~F.col("path").endswith(F.concat(F.lit("/"), F.col("raw_path"))), "path_mismatch")
     )
     return both.select("path", issue.alias("issue")).where("issue IS NOT NULL")
 
@@ -174,7 +174,7 @@ def _text(node) -> str | None:
 
 def amount_of(text: str) -> float | None:
     """What functions.money.lenient_amount makes of a published amount, infinity included."""
-    t = re.sub(r"\s+", "", text)
+    t = re.sub(r"\s+", "", text)  # float() takes digits of any alphabet and underscores between them, and names of infinity
     last = max(t.rfind(","), t.rfind("."))
     if "," in t and "." in t:
         t = re.sub("[,.]", "", t[:last]) + "." + t[last + 1 :]
