@@ -120,7 +120,7 @@ def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """
     key, gone, new = unused(docs, "_key", "_runs", "_new")
     runs = repeated_runs(docs, min_words).select(F.col("_key").alias(key), F.col("runs").alias(gone))
-    joined = docs.withColumn(key, row_key()).join(runs, key, "left")
+    joined = docs.withColumn(key, row_key()).join(runs.hint("merge"), key, "left")  # runs grow with the corpus
     cut = joined.withColumn(new, F.when(F.col(gone).isNull(), F.col("text")).otherwise(without_runs(F.col("text"), F.col(gone))))
     changed = {"text": F.col(new), "n_chars": F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.length(new).cast("long"))}
     return cut.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns))
@@ -130,7 +130,7 @@ def op3_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: which lines go and a digest of what stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     runs = repeated_runs(docs)
-    joined = docs.withColumn("_key", row_key()).join(runs, "_key", "left")
+    joined = docs.withColumn("_key", row_key()).join(runs.hint("merge"), "_key", "left")
     gone = F.coalesce(F.col("runs"), F.array().cast("array<struct<first:int,last:int>>"))
     lines = F.split(empty_if_null(), "\n")
     return joined.select(
