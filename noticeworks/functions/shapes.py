@@ -26,9 +26,11 @@ _BRACKETED = r'"(?:\[(?:[^"\\]|\\.)*\]|\{(?:[^"\\]|\\.)*\})"'
 #: of lists or objects, containers of white space, such numbers in containers.
 _ODD = (
     r"\x01(?:-?0+\x01|false\x01|-?\d+[.eE][^\x01]*\x01"
-    r"|\[\s*[\[{]|\[\s+\]|\{\s+\}|[\[{][^\x01]*(?:[\[,:]\s*-?\d+[.eE]|[\[,]\s*[\[{]))"
+    r"|\[\s*[\[{]|\[\s+\]|\{\s+\}|[\[{](?:[^\x01]*[\[,:])?\s*-?\d+[.eE]|[\[{][^\x01]*[\[,]\s*[\[{])"
 )
 
+_ZERO = r"\x01(?:-?0[.0]*(?:[eE][+-]?\d+)?|false)\x01"
+
 
 def is_odd(payload: Column, f: Column, names: Iterable[str], exact: Iterable[str] = (), present: Iterable[str] = (), listed: Iterable[str] = ()) -> Column:
     """Whether a payload, of whose fields ``f`` has the texts, needs VARIANT. ``exact``: fields
@@ -37,6 +39,8 @@ def is_odd(payload: Column, f: Column, names: Iterable[str], exact: Iterable[str
     exact = set(exact)
     joined = F.concat_ws("\x01", F.lit(""), *(f[n] for n in names if n not in exact), F.lit(""))
     odd = F.when(payload.contains('"[') | payload.contains('"{'), payload.rlike(_BRACKETED)).otherwise(F.lit(False)) | joined.rlike(_ODD)
+    if exact:
+        odd = odd | F.concat_ws("\x01", F.lit(""), *(f[n] for n in sorted(exact)), F.lit("")).rlike(_ZERO)
     for name in listed:
         odd = odd | F.coalesce(f[name].startswith("{"), F.lit(False))
     for name in present:
