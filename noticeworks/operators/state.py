@@ -87,22 +87,19 @@ def current_state(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     events that can't be placed, with their reason.
 
     Procedures of several events with an undated one among them are issues: all their events
-    compete. One shuffle by procedure serves the counts and the ranking.
+    compete. Events are combined by procedure before they are shuffled, and only the procedures
+    that compete are looked up again.
     """
     judged = events.withColumn("_reason", F.when(F.col("procedure_id").isNull(), NO_ID).otherwise(identity_reason()))
-    unplaced = judged.where("_reason IS NOT NULL")
-    group = W.partitionBy("procedure_id")
-    placed = (
-        judged.where("_reason IS NULL")
-        .withColumn("_n", F.count("*").over(group))
-        .withColumn("_undated", F.count_if(F.col("source_updated_at").isNull()).over(group))
-    )
+    unplaced, placed = judged.where("_reason IS NOT NULL"), judged.where("_reason IS NULL")
+    newest = F.max_by(F.struct(*events.columns), F.struct("source_updated_at", "event_id"))
+    grouped = placed.groupBy("procedure_id").agg(F.count("*").alias("_n"), F.count_if(F.col("source_updated_at").isNull()).alias("_undated"), newest.alias("_event"))
     competing = (F.col("_n") > 1) & (F.col("_undated") > 0)
-    order = group.orderBy(F.col("source_updated_at").desc_nulls_last(), F.col("event_id").desc())
-    state = placed.where(~competing).withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
+    state = grouped.where(~competing).select("_event.*")
     state = state.withColumn("is_deleted", F.col("source_event_type") == TOMBSTONE).select(*events.columns, "is_deleted")
     columns = ["event_id", "procedure_id", "source", "source_event_type"]
-    issues = unplaced.select(*columns, F.col("_reason").alias("reason")).unionByName(placed.where(competing).select(*columns, F.lit(UNDATED).alias("reason")))
+    rivals = placed.join(grouped.where(competing).select(F.concat("procedure_id", F.lit("")).alias("procedure_id")), "procedure_id", "left_semi")
+    issues = unplaced.select(*columns, F.col("_reason").alias("reason")).unionByName(rivals.select(*columns, F.lit(UNDATED).alias("reason")))
     return state, issues
 
 
@@ -143,3 +140,25 @@ def parity(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> D
     side = F.when(F.col("_r").isNull(), "left_only").when(F.col("_l").isNull(), "right_only").otherwise("differs")
     both = a.join(b, key, "full").select(key, side.alias("kind"), F.when(side == "differs", F.array_join(differ, ",")).otherwise("").alias("fields"))
     return both.where("kind <> 'differs' OR fields <> ''")
+
+
+#: The prime that sums of hashes are taken modulo of: that of 61 bits.
+_PRIME = (1 << 61) - 1
+
+
+def digest(rows: DataFrame) -> DataFrame:
+    """One row: ``rows``, their number, and ``digest``, one of the dataset as a multiset.
+
+    Two hashes of 64 bits of each row, with its columns by name, are summed modulo a prime, so
+    that partial sums are combined in any order: equal datasets have equal digests however they
+    are sorted and partitioned, and one with a row lost, doubled or changed has another (chances
+    of 2**-61 for each sum apart). Column names and types go into it too.
+    """
+    names = sorted(rows.columns)
+    kinds = "|".join(f"{c}:{dict(rows.dtypes)[c]}" for c in names)
+    # as a text, in which a null differs from all values and neighbours can't run together
+    text = F.to_json(F.struct(*(F.col(c) for c in names)), {"ignoreNullFields": "false"})
+    sums = [F.sum(F.pmod(F.xxhash64(F.lit(seed), text), F.lit(_PRIME)).cast("decimal(38,0)")) for seed in (1, 2)]
+    added = rows.agg(F.count("*").alias("rows"), *(F.coalesce(x, F.lit(0).cast("decimal(38,0)")).alias(f"s{i}") for i, x in enumerate(sums)))
+    parts = [F.lit(kinds), F.col("rows").cast("string"), *((F.col(f"s{i}") % F.lit(_PRIME)).cast("string") for i in range(2))]
+    return added.select("rows", F.sha2(F.concat_ws("/", *parts), 256).alias("digest"))

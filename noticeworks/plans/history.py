@@ -7,13 +7,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from noticeworks.operators import state
-from noticeworks.session import table
+from noticeworks.session import scratch_path, table
+from noticeworks.streaming import latest
 
 
 def latest_state(events: DataFrame, key: str, time: str, event_id: str) -> DataFrame:
-    """The row of each key with the greatest time; a tie goes to the greatest event id."""
-    order = W.partitionBy(key).orderBy(F.col(time).desc_nulls_last(), F.col(event_id).desc())
-    return events.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    """The row of each key with the greatest time; a tie goes to the greatest event id. Rows are
+    combined before they are shuffled; a time that is there beats one that isn't."""
+    order = F.struct(F.col(time), F.col(event_id))
+    return events.groupBy(key).agg(F.max_by(F.struct(*events.columns), order).alias("_r")).select("_r.*")
 
 
 def latest_state_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +118,28 @@ def parity_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.parity(left, right, "o_orderkey", ["o_orderstatus", "o_orderpriority"])
 
 
+def streamed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest event of each user, kept by a stream that reads the table in batches."""
+    schema = table(spark, sf_dir, "events").schema
+    top = scratch_path(spark)
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/events.parquet*")
+    fold = latest.latest("user_id", "ts", "event_id")
+    latest.run_fold(stream, f"{top}/state", f"{top}/checkpoint", "user_id", fold).awaitTermination()
+    return latest.read_state(spark, f"{top}/state", schema, fold)
+
+
+def dataset_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One digest for each of three datasets: a table, the same in another order and partitioning,
+    and one with a row twice; and whether it equals the first."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    sets = {"orders": o, "shuffled": o.repartition(7, "o_custkey"), "doubled": o.unionByName(o.where("o_orderkey = 7"))}
+    rows = [state.digest(df).select(F.lit(name).alias("dataset"), "*") for name, df in sets.items()]
+    every = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    first = state.digest(o).select(F.col("digest").alias("_first"))
+    same = every.join(F.broadcast(first)).withColumn("same", F.col("digest") == F.col("_first"))  # a single row
+    return same.select("dataset", "rows", "same")
+
+
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A digest per row; equal datasets have equal sets of them."""
     o = table(spark, sf_dir, "orders")
@@ -126,7 +150,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         latest_state_per_key, latest_state_decisions, current_state, undated_competing_issues, provenance_min, dedup_observations, collision_detect,
-        fold_latest_updates, folded_updates, latest_snapshot, tombstone_anti, offenders_semi, parity_diff, fingerprint,
+        fold_latest_updates, folded_updates, latest_snapshot, tombstone_anti, offenders_semi, parity_diff, fingerprint, streamed_latest, dataset_digests,
     )
 }
 
@@ -135,6 +159,9 @@ _H = """h AS (SELECT CASE WHEN event_type = 'error' THEN 'placsp:tombstone:u/' |
    event_type = 'error' AS is_deleted, CASE WHEN event_type <> 'error' THEN ts END AS u FROM events),
 c AS (SELECT *, count(*) OVER (PARTITION BY procedure_id) AS n, count(*) FILTER (u IS NULL) OVER (PARTITION BY procedure_id) AS k FROM h WHERE procedure_id IS NOT NULL)"""
 ORACLES = {
+    "streamed_latest": "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1",
+    "dataset_digests": """WITH n AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey = 7) AS again FROM orders)
+        SELECT 'orders' AS dataset, n AS rows, true AS same FROM n UNION ALL SELECT 'shuffled', n, true FROM n UNION ALL SELECT 'doubled', n + again, again = 0 FROM n""",
     "latest_state_per_key": "SELECT * EXCLUDE r FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS r FROM events) WHERE r = 1",
     "latest_state_decisions": """
         SELECT user_id, event_id, event_type, ts,

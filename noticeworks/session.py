@@ -45,19 +45,23 @@ def _folder_of_tests() -> str:
     return tempfile.mkdtemp(prefix="noticeworks-")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df as a table in the folder of spark.checkpoint.dir.
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder's path in the folder of spark.checkpoint.dir.
 
     Only in local mode may a session have none (then a folder for tests is made).
-
-    Its lineage ends there, lost executors take nothing away, and unlike a checkpoint it has
-    the sizes of its files: estimates of a loop's joins would multiply from round to round.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not folder and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    folder = folder or _folder_of_tests()
-    path = f"{folder.rstrip('/')}/noticeworks-{uuid.uuid4().hex}"
+    return f"{(folder or _folder_of_tests()).rstrip('/')}/noticeworks-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df as a table in the folder of spark.checkpoint.dir.
+
+    Its lineage ends there, lost executors take nothing away, and unlike a checkpoint it has
+    the sizes of its files: estimates of a loop's joins would multiply from round to round.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what a folder holds; none for one that isn't there."""
+    system, place = _system(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(place)) if system.exists(place) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, place = _system(spark, path)
     system.delete(place, True)

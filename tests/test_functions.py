@@ -77,9 +77,8 @@ def test_stream_equals_one_batch(spark, tmp_path):
     ):
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
         run(stream, str(tmp_path / name), str(tmp_path / f"{name}-cp")).awaitTermination(120)
-        got = latest.read_state(spark, str(tmp_path / name), whole.schema)
+        got = latest.read_state(spark, str(tmp_path / name), whole.schema, fold)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, fold(whole).collect()), key=str), name
-        assert latest.read_state(spark, str(tmp_path / name), whole.schema, before=1).count() <= got.count()
 
 
 @pytest.mark.parametrize(
