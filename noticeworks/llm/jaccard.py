@@ -329,7 +329,9 @@ def group_pairs(sets: DataFrame, rule: Threshold) -> DataFrame:
     # the largest set that can overlap enough when one of its first common tokens is at i
     spare = F.when(F.col("n") >= LARGE, SHOWN - 1).otherwise(0)
     reach = F.floor(((F.col("n") - F.col("i") + spare) * (num + den)) / num).cast("long") - F.col("n")
-    postings = token_postings(sets).withColumn("reach", reach).drop("i")
+    # written, as what follows reads it three times, each with other columns
+    postings = written(token_postings(sets).withColumn("reach", reach).drop("i"), "postings")
+    free_shuffles(sets.sparkSession)
     met = postings.groupBy("group", "member").agg(F.count("*").alias("met"))
     # the most tokens that a set can have in common with one of another cluster: those of its
     # prefix that no other cluster has are missing there
