@@ -134,8 +134,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def word_vectors(docs: DataFrame, settings: Settings, text: str = "text") -> np.ndarray:
     """The table of word vectors. It has a fixed size, whatever the documents."""
     context = np.zeros((settings.rows, settings.dims))
-    counts = context_counts(docs, settings, text).toPandas()
-    context[counts["row"].to_numpy()] = counts.drop(columns="row").to_numpy()
+    counts = context_counts(docs, settings, text).toArrow()
+    context[counts["row"].to_numpy()] = np.stack([counts[f"c{i}"].to_numpy() for i in range(settings.dims)], axis=1)
     places, signs = index_vectors(settings)
     own = np.zeros((settings.rows, settings.dims))
     np.put_along_axis(own, places[:-1], signs[:-1], axis=1)
