@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from noticeworks.operators import enrich, intake, legacy, state
 from noticeworks.operators.contracts import EVENT_FIELDS, ContractError, assert_key, assert_row_count, check, read_checked
 from noticeworks.operators.events import procurement_events
-from noticeworks.sources import dimensions, exports, files
+from noticeworks.sources import dimensions, exports, files, publication
 
 #: Version of the datasets' and manifests' layout.
 FORMAT = 1
@@ -42,9 +42,13 @@ def build_current_state(spark: SparkSession, events_path: str, out: str) -> dict
     return manifest
 
 
-def build_gold(spark: SparkSession, events_path: str, out: str, as_of: datetime | None, codes: DataFrame | None = None) -> dict:
-    """Current state, its issues, open opportunities and their codes below ``out``, with
-    manifests beside them; the last one is returned."""
+def build_gold(spark: SparkSession, events_path: str, out: str, as_of: datetime | None, codes: DataFrame | None = None, units: DataFrame | None = None) -> dict:
+    """Current state, its issues, open opportunities, their codes and their buyers' units below
+    ``out``, with manifests beside them; the last one is returned.
+
+    Codes and units are joined where their dimensions are given. An opportunity that lists a
+    code twice fails the build with codes, as its facts would count twice.
+    """
     rows = build_current_state(spark, events_path, out)["rows"]
     current = spark.read.parquet(f"{out}/current_state")
     opened, counts = state.open_opportunities(current, as_of)
@@ -56,6 +60,8 @@ def build_gold(spark: SparkSession, events_path: str, out: str, as_of: datetime
         raise ContractError(f"rows unaccounted for: {manifest}")
     if codes is not None:
         assert_key(codes, "cpv_code")
+        if twice := enrich.repeated_codes(opened).orderBy("procedure_id").limit(5).collect():
+            raise ContractError(f"codes listed twice: {[(r.procedure_id, r.cpv_codes) for r in twice]}")
         exploded = enrich.exploded_codes(opened)
         coded = enrich.with_dimension(exploded, enrich.dimension(codes.withColumnRenamed("cpv_code", "_code")), "cpv_code", "_code", "cpv_matched")
         exports.write_parquet(coded, f"{out}/cpv_enriched", ("procedure_id", "cpv_position"))
@@ -63,10 +69,37 @@ def build_gold(spark: SparkSession, events_path: str, out: str, as_of: datetime
         expected = opened.agg(F.coalesce(F.sum(F.size("cpv_codes")), F.lit(0))).first()[0]
         assert_row_count(written, expected, "the code dimension")
         manifest["codes"] = enrich.code_coverage(written).first().asDict()
+    if units is not None:
+        exports.write_parquet(with_units(opened, units), f"{out}/buyer_enriched", ("procedure_id",))
+        written = spark.read.parquet(f"{out}/buyer_enriched")
+        assert_row_count(written, manifest["open"], "the unit dimension")
+        manifest["units"] = enrich.unit_coverage(written).first().asDict() | {"dimension_rows": units.count()}
     files.write_document(spark, f"{out}/gold_manifest.json", manifest)
     return manifest
 
 
+#: Fixed: the columns of a unit that its buyer's facts get, under these names.
+UNIT_FIELDS = {
+    "name": "buyer_dir3_name", "scope": "buyer_dir3_scope", "hierarchy": "buyer_dir3_hierarchy_level", "parent": "buyer_dir3_parent_code", "principal": "buyer_dir3_principal_code",
+    "status": "buyer_dir3_status", "nif": "buyer_dir3_nif",
+}
+
+
+def with_units(events: DataFrame, units: DataFrame) -> DataFrame:
+    """events with buyer_dir3_matched and their buyers' unit; all are kept, each once. The units'
+    key is checked."""
+    assert_key(units, "code")
+    dim = enrich.dimension(units.select("code", *(F.col(c).alias(name) for c, name in UNIT_FIELDS.items())))
+    joined = enrich.with_dimension(events, dim, "buyer_id", "code", "buyer_dir3_matched")
+    return joined.select(*events.columns, "buyer_dir3_matched", *UNIT_FIELDS.values())
+
+
+def publish_gold(spark: SparkSession, events_path: str, out: str, as_of: datetime | None, codes: DataFrame | None = None, units: DataFrame | None = None) -> dict:
+    """``build_gold`` in a folder of its own, which is published when all of it is there."""
+    with publication.publishing(spark, out) as folder:
+        return build_gold(spark, events_path, folder, as_of, codes, units)
+
+
 def resolve_code_dimension(spark: SparkSession, explicit: str | None = None, built: str | None = None, vocabulary: str | None = None) -> DataFrame:
     """The code dimension: a Parquet named for this run, else the one built before, else built
     from the vocabulary; without any of them an error. Its key is checked."""
@@ -120,6 +153,26 @@ def build_units(sheets: dict[str, DataFrame], out: str) -> dict:
     return manifest
 
 
+#: The types of the views, by name and place; fixed, as exports and readers rely on them.
+VIEW_TYPES = {
+    "opportunity_cpv": "procedure_id string, source string, buyer_id string, publication_date date, estimated_value decimal(20,2), currency string, cpv_position int, cpv_code string, "
+    "cpv_matched boolean, label_es string, label_en string, level tinyint, parent_code string, is_leaf boolean",
+    "buyer_summary": "buyer_id string, buyer_name string, identity_basis string, opportunities_count bigint, total_estimated_value decimal(38,2), avg_estimated_value decimal(38,6), "
+    "first_publication_date date, last_publication_date date, earliest_deadline timestamp, distinct_cpv_count bigint",
+    "cpv_summary": "cpv_code string, label string, opportunities_count bigint, buyers_count bigint, total_estimated_value decimal(38,2), avg_estimated_value decimal(38,6)",
+    "opportunities_monthly": "month date, source string, opportunities_count bigint, total_estimated_value decimal(38,2), avg_estimated_value decimal(38,6)",
+    "opportunities_without_publication_date": "source string, opportunities_count bigint, total_estimated_value decimal(38,2)",
+}
+
+
+def check_views(views: dict[str, DataFrame]) -> None:
+    """Names, order and types of the columns of every view that has a contract."""
+    for name, wanted in VIEW_TYPES.items():
+        found = [(c, kind) for c, kind in views[name].dtypes]
+        if found != [tuple(x.split(" ", 1)) for x in wanted.split(", ")]:
+            raise ContractError(f"{name} has {found}, not {wanted}")
+
+
 def register_views(spark: SparkSession, gold: str, codes: DataFrame | None = None) -> dict[str, DataFrame]:
     """Views over a gold folder, in order of dependency, under their export names.
 
@@ -134,7 +187,7 @@ def register_views(spark: SparkSession, gold: str, codes: DataFrame | None = Non
     assert_key(dim, "cpv_code")
     attributes = ("label_es", "label_en", "level", "parent_code", "is_leaf")
     exploded = enrich.exploded_codes(opened).withColumn("cpv_position", F.col("cpv_position") - 1)
-    joined = enrich.with_dimension(exploded, enrich.dimension(dim.select(F.col("cpv_code").alias("_code"), *attributes)), "cpv_code", "_code", "cpv_matched")
+    joined = enrich.with_dimension(exploded, enrich.dimension(dim.select(F.col("cpv_code").alias("_code"), *attributes).withColumn("level", F.col("level").cast("tinyint"))), "cpv_code", "_code", "cpv_matched")
     coded = joined.select("procedure_id", "source", "buyer_id", "publication_date", "estimated_value", "currency", "cpv_position", "cpv_code", "cpv_matched", *attributes)
     views = {
         "open_opportunities": opened,
@@ -144,6 +197,7 @@ def register_views(spark: SparkSession, gold: str, codes: DataFrame | None = Non
         "opportunities_monthly": enrich.monthly_summary(opened),
         "opportunities_without_publication_date": enrich.undated_summary(opened),
     }
+    check_views(views)
     totals = enrich.reconciliation(opened, coded, views["buyer_summary"], views["opportunities_monthly"], views["opportunities_without_publication_date"])
     if wrong := totals.where("NOT agrees").collect():
         raise ContractError(f"views don't agree with their base: {[(r.view, r.got, r.want) for r in wrong]}")

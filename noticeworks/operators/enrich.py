@@ -49,6 +49,18 @@ def code_coverage(enriched: DataFrame, code: str = "cpv_code", flag: str = "cpv_
     )
 
 
+def unit_coverage(enriched: DataFrame, buyer: str = "buyer_id", flag: str = "buyer_dir3_matched") -> DataFrame:
+    """One row: facts, those with a buyer's id, and of these the resolved and unresolved ones."""
+    has = F.col(buyer).isNotNull()
+    return enriched.agg(
+        F.count("*").alias("input_events"),
+        F.count_if(has).alias("events_with_buyer_id"),
+        F.count_if(~has).alias("events_without_buyer_id"),
+        F.count_if(flag).alias("resolved_events"),
+        F.count_if(has & ~F.col(flag)).alias("unresolved_events_with_buyer_id"),
+    )
+
+
 def average(x: str) -> Column:
     """Average of decimals as decimal(38,6): the exact sum, divided as doubles."""
     return F.try_divide(F.sum(x).cast("double"), F.count(x).cast("double")).cast("decimal(38,6)")

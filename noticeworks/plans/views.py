@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeworks.functions import codes
-from noticeworks.operators import enrich
+from noticeworks.operators import builds, enrich
 from noticeworks.session import table
 
 
@@ -104,11 +104,20 @@ def row_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.groupBy("reason").agg(F.count("*").alias("n"), F.count_distinct("c_nationkey").alias("nations"))
 
 
+def unit_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as facts whose buyers are suppliers, of which most have none: the coverage."""
+    s, key = table(spark, sf_dir, "supplier"), F.concat(F.lit("E"), F.col("s_suppkey").cast("string"))
+    none = F.lit(None).cast("string")
+    units = s.select(key.alias("code"), F.col("s_name").alias("name"), F.lit("1").alias("scope"), F.lit(1).cast("smallint").alias("hierarchy"), none.alias("parent"), none.alias("principal"), F.lit("V").alias("status"), none.alias("nif"))
+    facts = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("procedure_id"), F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("E"), F.col("c_custkey").cast("string"))).alias("buyer_id"))
+    return enrich.unit_coverage(builds.with_units(facts, units))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         codes_posexplode_left_join, coverage_metrics, buyer_coverage, buyer_summary, code_summary, monthly_summary, undated_summary, reconciliation, export_rows,
-        hierarchy_levels, nearest_ancestor, row_validation,
+        hierarchy_levels, nearest_ancestor, row_validation, unit_enrichment,
     )
 }
 
@@ -126,6 +135,8 @@ _Y = """min(publication_date) AS first_publication_date, max(publication_date) A
 _T = """t AS (SELECT DISTINCT rpad(CAST(p_partkey + 10 AS VARCHAR), 8, '0') AS code FROM part),
 v AS (SELECT code, length(rtrim(code, '0')) AS k, regexp_full_match(code, '[0-9]{8}') AND code NOT LIKE '00%' AND regexp_full_match(rtrim(code, '0'), '[0-9]{1,2}[1-9]*') AS valid FROM t)"""
 ORACLES = {
+    "unit_enrichment": """WITH f AS (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS b FROM customer), m AS (SELECT b, b IN (SELECT s_suppkey FROM supplier) AS hit FROM f)
+        SELECT count(*) AS input_events, count(b) AS events_with_buyer_id, count(*) FILTER (b IS NULL) AS events_without_buyer_id, count(*) FILTER (hit) AS resolved_events, count(*) FILTER (b IS NOT NULL AND NOT hit) AS unresolved_events_with_buyer_id FROM m""",
     "codes_posexplode_left_join": f"WITH {_O}, {_C} SELECT procedure_id, cpv_position, cpv_code, label, cpv_matched FROM j",
     "coverage_metrics": f"""WITH {_O}, {_C} SELECT count(*) AS occurrences, count(*) FILTER (cpv_matched) AS matched, count(*) FILTER (NOT cpv_matched) AS unmatched,
         count(DISTINCT cpv_code) AS codes, count(DISTINCT cpv_code) FILTER (NOT cpv_matched) AS unmatched_codes FROM j""",

@@ -34,10 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over all cores, where it has fewer partitions: a small table of one row group would be
-    one task's work. Tables with splits enough aren't shuffled."""
+    """df over all cores, where it comes from fewer files: a small table of one row group would be
+    one task's work. Tables of many files aren't shuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 @cache
