@@ -52,8 +52,8 @@ class Resampling:
     share: int = 25
     min_words: int = 20
     seed: int = 7
-    block_bytes: int = 12_000_000
-    chunk_features: int = 1_000_000
+    block_bytes: int = 6_000_000
+    chunk_features: int = 500_000
 
 
 def cut(raw: bytes, separator: int) -> tuple[pa.Array, np.ndarray]:
