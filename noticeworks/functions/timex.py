@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions.text import strip
 
-_ZONED = r"^\d{4}-?\d{2}-?\d{2}[T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d{1,9})?)?)?([Zz]|[+-]\d{2}(:?\d{2})?)$"
+_ZONED = r"^\d{4}-?\d{2}-?\d{2}[^0-9]\d{2}(:?\d{2}(:?\d{2}([.,]\d{1,9})?)?)?([Zz]|[+-]\d{2}(:?\d{2})?)$"
 
 
 def lenient_date(x: Column) -> Column:
@@ -20,15 +20,20 @@ def lenient_date(x: Column) -> Column:
 
 def aware_instant(x: Column) -> Column:
     """A timestamp of a text with a zone, white space around it or not; null for one without and
-    for what is none."""
-    t = F.upper(strip(x))
-    full = F.regexp_replace(t, r"^(\d{4})-?(\d{2})-?(\d{2})[T ]", "$1-$2-$3T")
+    for what is none. Date and time may be apart by any character, and a zone may have seconds."""
+    whole = F.upper(strip(x))
+    # a zone's seconds are taken off the instant
+    seconds = r"^(\d{4}-?\d{2}-?\d{2}[^0-9].*([+-])\d{2}:?\d{2}):?([0-5]\d)$"
+    t = F.when(whole.rlike(seconds), F.regexp_extract(whole, seconds, 1)).otherwise(whole)
+    beyond = F.when(whole.rlike(seconds), F.concat(F.regexp_extract(whole, seconds, 2), F.regexp_extract(whole, seconds, 3)).cast("long")).otherwise(0)
+    full = F.regexp_replace(t, r"^(\d{4})-?(\d{2})-?(\d{2})[^0-9]", "$1-$2-$3T")
     full = F.regexp_replace(full, r"T(\d{2})(\d{2})(\d{2})?", "T$1:$2:$3")
     full = F.regexp_replace(F.regexp_replace(full, r":(?=$|[Z+-])", ""), r"([+-]\d{2}):?(\d{2})$", "$1:$2")
     full = F.regexp_replace(full, r"^([^T]+T\d{2})(?=$|[Z+-])", "$1:00")
     full = F.regexp_replace(full, r"^([^T]+T\d{2}:\d{2})(?=$|[Z+-])", "$1:00")
     full = F.regexp_replace(F.replace(full, F.lit(","), F.lit(".")), r"([+-]\d{2})$", "$1:00")
-    return F.when(t.rlike(_ZONED), full.try_cast("timestamp"))
+    found = full.try_cast("timestamp")
+    return F.when(t.rlike(_ZONED), F.when(beyond == 0, found).otherwise(F.timestamp_micros(F.unix_micros(found) - beyond * 1_000_000)))
 
 
 def iso_marker(x: Column) -> Column:

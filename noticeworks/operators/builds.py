@@ -19,13 +19,16 @@ FORMAT = 1
 
 
 def build_events(records: DataFrame, tombstones: DataFrame, provenance: list[str], path: str) -> int:
-    """Events without repeated observations, at ``path``. Differing contents of one event fail."""
+    """Events without repeated observations, at ``path``, in order of their ids. Differing contents
+    of one event fail, naming its first observation by ``provenance``."""
     found = procurement_events(records, tombstones)
     fields = [f.name for f in EVENT_FIELDS if f.name not in ("event_id", "ingested_at")]
     if bad := state.collisions(found, "event_id", fields).orderBy("event_id").limit(5).collect():
-        raise ContractError(f"events with different contents: {[(r.event_id, r.fields) for r in bad]}")
+        seen = found.where(F.col("event_id").isin([r.event_id for r in bad]))
+        firsts = {r.event_id: r.first.asDict() for r in seen.groupBy("event_id").agg(F.min(F.struct("ingested_at", *provenance)).alias("first")).collect()}
+        raise ContractError(f"events with different contents: {[(r.event_id, r.fields, firsts[r.event_id]) for r in bad]}")
     first = state.first_observation(found, "event_id", F.struct("ingested_at", *provenance))
-    exports.write_parquet(first, path, ("event_id",))
+    exports.write_parquet(first, path, ("event_id",), whole=True)
     return check(first.sparkSession.read.parquet(path), EVENT_FIELDS)
 
 

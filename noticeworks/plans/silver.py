@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from noticeworks.operators import intake, state
 from noticeworks.operators.events import procurement_events
 from noticeworks.session import spread, table
+from noticeworks.sources import raw
 
 
 def _text(c):
@@ -62,6 +63,20 @@ def acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select(F.lit("accepted").alias("reason")).unionByName(bad.select(F.col("rejection_reason").alias("reason"))).groupBy("reason").agg(F.count("*").alias("n"))
 
 
+def ingestion_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as records of three sources, some of them faulty, and suppliers as deletes: what
+    was parsed, accepted and rejected of each source."""
+    k = F.col("c_custkey")
+    source = F.when(k % 3 == 0, "ted").when(k % 3 == 1, "placsp").otherwise("boe")
+    payload = F.when(k % 7 == 0, '{"ND": "1", "title": ""}').when(k % 11 == 0, '{"title": "t"}').otherwise('{"ND": "1", "tender_no": "1", "item_id": "1", "title": "t"}')
+    reason = intake.rejection_reason(F.col("source"), F.col("payload_json"))
+    rows = table(spark, sf_dir, "customer").select(source.alias("source"), payload.alias("payload_json")).withColumn("reason", reason)
+    kind = F.when(F.col("reason").isNull(), "record").otherwise("rejection")
+    judged = rows.select("source", kind.alias("kind"), F.when(F.col("reason").isNotNull(), "record").alias("scope"))
+    deletes = table(spark, sf_dir, "supplier").select(F.lit("placsp").alias("source"), F.lit("tombstone").alias("kind"), F.lit(None).cast("string").alias("scope"))
+    return raw.accounting(judged.unionByName(deletes), "source")
+
+
 def extraction_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.windows(spark, "2024-01-01", "2024-03-05", 7).unionByName(intake.months(spark, "2024-01-15", "2024-03-05").toDF("window_start", "window_end"))
 
@@ -71,7 +86,7 @@ def unresolved_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.unresolved_parents(units)
 
 
-QUERIES = {"silver_events": silver_events, "acceptance": acceptance, "extraction_windows": extraction_windows, "unresolved_parents": unresolved_parents}
+QUERIES = {"silver_events": silver_events, "acceptance": acceptance, "ingestion_by_source": ingestion_by_source, "extraction_windows": extraction_windows, "unresolved_parents": unresolved_parents}
 
 _NO = "CAST(NULL AS VARCHAR)"
 ORACLES = {
@@ -89,6 +104,9 @@ ORACLES = {
                'placsp:procedure:https://x/' || s_suppkey, 'placsp', 'tombstone', NULL, NULL, NULL, NULL, NULL, NULL, NULL, '',
                CASE WHEN s_suppkey % 2 = 0 THEN epoch_us(TIMESTAMP '2024-01-03') END, epoch_us(TIMESTAMP '2024-02-01') FROM supplier
         UNION ALL SELECT 'boe:notice:B' || s_suppkey, NULL, 'boe', 'notice', s_name, NULL, NULL, NULL, DATE '2024-01-05', NULL, 'ES', '', NULL, epoch_us(TIMESTAMP '2024-02-01') FROM supplier""",
+    "ingestion_by_source": """WITH r AS (SELECT CASE c_custkey % 3 WHEN 0 THEN 'ted' WHEN 1 THEN 'placsp' ELSE 'boe' END AS source, c_custkey % 7 = 0 OR c_custkey % 11 = 0 AS bad FROM customer)
+        SELECT source, count(*) AS parsed, count(*) FILTER (NOT bad) AS accepted, count(*) FILTER (bad) AS rejected, 0::BIGINT AS document_errors, 0::BIGINT AS control_errors,
+            CASE source WHEN 'placsp' THEN (SELECT count(*) FROM supplier) ELSE 0 END AS tombstones, NOT bool_or(bad) AS passed FROM r GROUP BY source""",
     "acceptance": """SELECT CASE c_custkey % 6 WHEN 0 THEN 'accepted' WHEN 1 THEN 'missing_title' WHEN 2 THEN 'missing_tender_id' WHEN 3 THEN 'source_mismatch' WHEN 4 THEN 'unsupported_source'
         ELSE 'accepted' END AS reason, count(*) AS n FROM customer GROUP BY 1""",
     "extraction_windows": """SELECT CAST(d AS DATE) AS window_start, CAST(least(d + INTERVAL 6 DAY, TIMESTAMP '2024-03-05') AS DATE) AS window_end FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2024-03-06', INTERVAL 7 DAY) AS t(d)

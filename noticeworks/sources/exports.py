@@ -15,9 +15,10 @@ EXPORTS = {
 }
 
 
-def write_parquet(df: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
-    """zstd Parquet; ``order`` sorts within files, which helps skipping and is no contract."""
-    (df.sortWithinPartitions(*order) if order else df).write.mode("overwrite").option("compression", "zstd").parquet(path)
+def write_parquet(df: DataFrame, path: str, order: tuple[str, ...] = (), whole: bool = False) -> None:
+    """zstd Parquet. ``order`` sorts within files, which helps skipping and is no contract; with
+    ``whole`` files in name order are the dataset in its order."""
+    (df if not order else df.orderBy(*order) if whole else df.sortWithinPartitions(*order)).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def json_line(df: DataFrame) -> Column:

@@ -303,15 +303,19 @@ def strict(rows: DataFrame) -> DataFrame:
     return rows.withColumn("reason", F.when(F.col("kind") == "rejection", failed))
 
 
-def accounting(rows: DataFrame) -> DataFrame:
-    """By file: accepted and rejected records, document and control errors, tombstones."""
-    return rows.groupBy("path").agg(
+def accounting(rows: DataFrame, by: str = "path") -> DataFrame:
+    """By file, or by source where rows have one: records parsed, accepted and rejected, document
+    and control errors, tombstones, and whether nothing was rejected."""
+    is_rejection = F.col("kind") == "rejection"
+    counts = rows.groupBy(by).agg(
         F.count_if(F.col("kind") == "record").alias("accepted"),
-        F.count_if((F.col("kind") == "rejection") & (F.col("scope") == "record")).alias("rejected"),
+        F.count_if(is_rejection & (F.col("scope") == "record")).alias("rejected"),
         F.count_if(F.col("scope") == "document").alias("document_errors"),
         F.count_if(F.col("scope") == "control").alias("control_errors"),
         F.count_if(F.col("kind") == "tombstone").alias("tombstones"),
+        (F.count_if(is_rejection) == 0).alias("passed"),
     )
+    return counts.withColumn("parsed", F.col("accepted") + F.col("rejected"))
 
 
 def sheet_rows(files: DataFrame, header_row: int = 2) -> DataFrame:

@@ -21,7 +21,8 @@ def test_exact_amount(spark, value, amount, error):
 @pytest.mark.parametrize(
     ("value", "micros"),
     [("2024-01-02T03:04:05Z", 1704164645000000), ("2024-01-02T03:04:05.5+01:00", 1704161045500000), ("20240102T030405Z", 1704164645000000), ("2024-01-02T03:04:05", None),
-     ("2024-01-02", None), ("2024-13-02T00:00:00Z", None), ("", None), (None, None), ("2024-01-02T03z", 1704164400000000)],
+     ("2024-01-02", None), ("2024-13-02T00:00:00Z", None), ("", None), (None, None), ("2024-01-02T03z", 1704164400000000), ("2024-01-02_03:04:05+00:00", 1704164645000000),
+     ("2024-01-02T03:04:05+00:00:30", 1704164615000000), ("2024-01-02T03:04:05.5-010000", 1704168245500000), ("2024-01-02T03:04:05-00:00:05", 1704164650000000), ("2024-01-02T03:04:05+00:00:75", None)],
 )
 def test_aware_instant(spark, value, micros):
     assert one(spark, value, lambda x: F.unix_micros(timex.aware_instant(x))) == micros
