@@ -1,7 +1,7 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule compares one score of a document with a cutoff. Labelled rows are split by a hash of
-their doc_id. On the tuning part every stratum gets a cutoff per rule, out of a fixed grid: the
+Each rule compares one score of a document with a cutoff. Labelled texts, each once, are split by
+a hash. On the tuning part every stratum gets a cutoff per rule, out of a fixed grid: the
 one that rejects the most bad documents, each good one lost weighing as much as ``good_cost``
 bad ones; rules that gain nothing are left out, and the others are put in order, those that
 lose fewest good documents first. Cutoff vector j is the first j rules together. On the rest,
@@ -29,7 +29,7 @@ SCORES = ("symbol_share", "upper_share", "repeat_share", "dup_line_share", "mean
 
 #: Strata with rules up to this number are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_STRATA = 100_000
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_n_upper", "_n_letters", "_n_lines", "_n_short_lines")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_n_upper", "_n_letters", "_n_lines", "_n_short_lines", "_text_hash")
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,7 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the word, symbol, line and repetition counts of every whole text.
 
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, _n_upper, _n_letters,
-    _n_lines, _n_short_lines. A null text counts as empty. Everything stays within the row: no
+    _n_lines, _n_short_lines and _text_hash. A null text counts as empty. Everything stays within the row: no
     shuffle. Windows are compared by 64-bit hashes of their words' hashes. Columns of docs with
     these names are replaced.
     """
@@ -130,6 +130,7 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         count(r"[A-Za-z]+").alias("_n_letters"),
         F.size(lines_).cast("long").alias("_n_lines"),
         F.size(F.filter(lines_, lambda x: F.length(x) < 20)).cast("long").alias("_n_short_lines"),
+        F.md5(t).alias("_text_hash"),
     )
 
 
@@ -163,15 +164,18 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def labelled_scores(measured: DataFrame, labels: DataFrame, stratum: str, control: RiskControl) -> DataFrame:
-    """stratum, tuned (whether the row is for tuning), quality and the scores of labelled rows.
+    """stratum, tuned (whether the row is for tuning), quality and the scores of labelled texts.
 
-    Documents that fail the base rules are left out: no cutoff decides about them. Of repeated
-    labels of a document the lowest counts; null labels don't.
+    A text that several documents have is one row, as the binomial bound needs rows that are
+    independent, and is for tuning or not as a whole. Documents that fail the base rules are left
+    out: no cutoff decides about them. Of several labels of a document or text the lowest counts;
+    null labels don't.
     """
     marks = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality IS NOT NULL")
-    part = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("long") % control.tuning
-    held = measured.where(~base_failed()).select("doc_id", F.col(stratum).cast("string").alias("stratum"), (part == 0).alias("tuned"), *(c.alias(s) for s, c in scores().items()))
-    return held.join(marks, "doc_id").drop("doc_id")
+    held = measured.where(~base_failed()).select("doc_id", F.col(stratum).cast("string").alias("stratum"), "_text_hash", *(c.alias(s) for s, c in scores().items()))
+    texts = held.join(marks, "doc_id").groupBy("stratum", "_text_hash").agg(F.min("quality").alias("quality"), *(F.min(s).alias(s) for s in SCORES))
+    part = F.conv(F.substring("_text_hash", 1, 8), 16, 10).cast("long") % control.tuning
+    return texts.withColumn("tuned", part == 0).drop("_text_hash")
 
 
 def tuning_counts(held: DataFrame, control: RiskControl) -> DataFrame:
@@ -313,12 +317,13 @@ r AS (SELECT n, count(DISTINCT place) AS n_repeat_words FROM
 c AS (SELECT doc_id, lang, n, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
    coalesce(n_repeat_words, 0) AS n_repeat_words, length(t) - length(regexp_replace(t, '[A-Z]+', '', 'g')) AS n_upper,
-   length(t) - length(regexp_replace(t, '[A-Za-z]+', '', 'g')) AS n_letters, len(l) AS n_lines, len([x for x in l if length(x) < 20]) AS n_short_lines
-   FROM w LEFT JOIN r USING (n)),
+   length(t) - length(regexp_replace(t, '[A-Za-z]+', '', 'g')) AS n_letters, len(l) AS n_lines, len([x for x in l if length(x) < 20]) AS n_short_lines,
+   md5(t) AS hash FROM w LEFT JOIN r USING (n)),
 m AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c),
 s AS ({scored}),
 q AS (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id HAVING min(quality) IS NOT NULL),
-h AS (SELECT lang, n, score, place, x, quality, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % {control.tuning} = 0 AS tuned FROM s JOIN q USING (doc_id) WHERE NOT base_failed),
+u AS (SELECT hash, min(quality) AS quality, min(n) AS n FROM m JOIN q USING (doc_id) WHERE NOT base_failed GROUP BY lang, hash),
+h AS (SELECT lang, s.n, score, place, x, quality, CAST('0x' || substr(hash, 1, 8) AS BIGINT) % {control.tuning} = 0 AS tuned FROM s JOIN u ON s.n = u.n),
 grid(score, i, cutoff) AS (VALUES {grid}),
 k AS (SELECT lang, score, place, i, cutoff, count(*) FILTER (quality = 1 AND x > cutoff) AS lost, count(*) FILTER (quality = 0 AND x > cutoff) AS caught
    FROM h JOIN grid USING (score) WHERE tuned GROUP BY ALL),

@@ -244,3 +244,16 @@ def test_op13_learns_from_rows_that_are_not_held_out(spark, tmp_path):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
     truth = {r.doc_id: r.quality for r in rows.collect()}
     assert np.mean([got[i].predicted == q for i, q in truth.items()]) > 0.97
+
+
+def test_copies_of_a_labelled_text_are_one_row(spark):
+    """The binomial bound of the quality rules counts texts: copies stand once, on one side."""
+    from noticeworks.llm import quality
+    from tests.llm.conftest import prose
+
+    rows = [(100 * i + j, prose(i, 40 + i), "en", 1 if j else i % 2) for i in range(30) for j in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    held = quality.labelled_scores(quality.with_measures(docs.drop("quality")), docs.select("doc_id", "quality"), "lang", quality.RiskControl()).collect()
+    assert len(held) == 30 and sum(r.quality for r in held) == 15
+    tuned = [int(hashlib.md5(prose(i, 40 + i).encode()).hexdigest()[:8], 16) % 3 == 0 for i in range(30)]
+    assert sum(r.tuned for r in held) == sum(tuned)
