@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.functions import jsonx, text
+from noticeworks.functions import jsonx, money, text
+from noticeworks.operators.events import _once
 
 SOURCES = ("ted", "placsp", "boe")
 
@@ -14,30 +15,45 @@ SOURCES = ("ted", "placsp", "boe")
 _HALF_PAIR = r"(?i)\\ud[89ab][0-9a-f]{2}(?!\\ud[c-f])|(?<!\\ud[89ab][0-9a-f]{2})\\ud[c-f][0-9a-f]{2}"
 
 
+_IDS, _TITLES = ("ND", "notice_id", "tender_no", "item_id", "identificador"), ("TI", "title", "titulo")
+
+
 def rejection_reason(source: Column, payload: Column) -> Column:
     """Why a candidate isn't accepted, by the first rule broken; null if it is.
 
     Rules in order: valid unicode, a known source, the payload's own source, an id, a title. The
     reasons are fixed values.
     """
-    v = jsonx.payload(payload)
-    own = F.lower(F.coalesce(jsonx.first_truthy(v, "_source", "source"), source))
-    record_id = jsonx.first_truthy(v, "ND", "notice_id", "tender_no", "item_id", "identificador")
-    title = jsonx.shown_text(jsonx.first_value(*(jsonx.value(v, n) for n in ("TI", "title", "titulo"))))
+    names = ("_source", "source", *_IDS, *_TITLES)
+
+    def asked(f: Column) -> Column:
+        first = lambda of: jsonx.first_value(*(f[n] for n in of))
+        own = F.lower(F.coalesce(jsonx.as_text(first(("_source", "source"))), source))
+        title = F.coalesce(money.let(first(_TITLES), lambda x: jsonx.shown_text(x)), F.lit(""))
+        return F.struct(own.alias("own"), jsonx.as_text(first(_IDS)).alias("id"), title.alias("title"))
+
+    def judged(r: Column) -> Column:
+        return (
+            F.when(~F.coalesce(source.isin(*SOURCES) & r["own"].isin(*SOURCES), F.lit(False)), "unsupported_source")
+            .when(r["own"] != source, "source_mismatch")
+            .when(r["id"].isNull(), "missing_tender_id")
+            .when(r["title"] == "", "missing_title")
+        )
+
     halves = F.replace(payload, F.lit("\\\\"), F.lit(""))  # an escaped backslash escapes nothing after it
-    return (
-        F.when(~F.is_valid_utf8(payload) | halves.rlike(_HALF_PAIR), "invalid_unicode_payload")
-        .when(~F.coalesce(source.isin(*SOURCES) & own.isin(*SOURCES), F.lit(False)), "unsupported_source")
-        .when(own != source, "source_mismatch")
-        .when(record_id.isNull(), "missing_tender_id")
-        .when(title == "", "missing_title")
-    )
+    found = money.let(jsonx.fields(jsonx.payload(payload), names), lambda f: money.let(asked(f), judged))
+    return F.when(~F.is_valid_utf8(payload) | halves.rlike(_HALF_PAIR), "invalid_unicode_payload").otherwise(found)
+
+
+def judged(rows: DataFrame) -> DataFrame:
+    """Candidates (source, payload_json, ...) with their rejection_reason, each judged once."""
+    return _once(rows, rejection_reason=rejection_reason(F.col("source"), F.col("payload_json")))
 
 
 def accepted_and_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidates (source, payload_json, ...) split by rejection_reason."""
-    judged = rows.withColumn("rejection_reason", rejection_reason(F.col("source"), F.col("payload_json")))
-    return judged.where("rejection_reason IS NULL").drop("rejection_reason"), judged.where("rejection_reason IS NOT NULL")
+    found = judged(rows)
+    return found.where("rejection_reason IS NULL").drop("rejection_reason"), found.where("rejection_reason IS NOT NULL")
 
 
 def latest_snapshots(files: DataFrame, keys: list[str], retrieved: str, digest: str) -> DataFrame:
