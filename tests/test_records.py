@@ -37,3 +37,36 @@ def test_a_field_alone_counts_as_it_is(spark):
     payloads = ['{"tender_no": "1", "amount_tax_exclusive": 0, "summary": 0}', '{"tender_no": 0, "atom_id": "2", "amount_tax_exclusive": ""}']
     rows = records.tender_records(spark.createDataFrame([("placsp", p) for p in payloads], "source string, payload_json string"))
     assert sorted((r.tender_id, r.amount, r.summary) for r in rows.collect()) == [("1", 0.0, "0"), ("2", None, "")]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+@pytest.fixture(scope="module")
+def some(spark):
+    rows = [("ted", '{"ND": "1", "TI": "nube", "PD": "2024-01-02", "amount": "x"}'), ("ted", '{"ND": "1", "TI": " "}'), ("boe", '{"item_id": "", "title": "red", "publication_date": "2024-01-02"}')]
+    return records.tender_records(spark.createDataFrame(rows, "source string, payload_json string"))
+
+
+def test_quality_counts_scored_records_in_one_pass(some):
+    rows = records.scored(some)
+    once, apart = records.record_quality(rows), records.record_quality(rows, records.opportunity_rows(rows))
+    values = {r.metric: r.value for r in once.collect()}
+    assert values == {"records": 3, "title_null_share": 0.3333, "publication_date_null_share": 0.3333, "invalid_amount_share": 0.3333, "technology_match_share": 0.6667, "duplicate_keys": 1, "duplicate_share": 0}
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, apart.collect()))
+    assert _plan(once).count("logicalrdd") == 1
+
+
+def test_issues_and_bi_rows_make_records_once(some):
+    issues = records.record_issues(some)
+    assert "from_json" not in _plan(issues)
+    assert sorted(map(tuple, issues.collect())) == [("1", "required_title"), ("1", "unique_source_tender_id"), ("<missing>", "required_tender_id")]
+    rows = records.bi_rows(records.opportunity_rows(records.scored(some)))
+    assert "from_json" not in _plan(rows)
+    assert [r.technology_score for r in rows.collect()] == [1, 1, 0]
+
+
+def test_acceptance_judges_each_payload_once(spark):
+    plan = _plan(catalogue.queries()["acceptance"](spark, SF))
+    assert "union" not in plan and "repartition" in plan  # one file is spread over all cores
