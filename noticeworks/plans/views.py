@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions import codes
 from noticeworks.operators import builds, enrich
-from noticeworks.session import table
+from noticeworks.session import in_parts, table
 
 
 def _opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    parts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("procedure_id")).agg(F.array_sort(F.collect_set(F.lpad((F.col("l_partkey") % 400).cast("string"), 9, "0"))).alias("cpv_codes"))
+    items = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("procedure_id"), F.lpad((F.col("l_partkey") % 400).cast("string"), 9, "0").alias("_code"))
+    parts = in_parts(items, "procedure_id").groupBy("procedure_id").agg(F.array_sort(F.collect_set("_code")).alias("cpv_codes"))
     rows = o.select(
         F.col("o_orderkey").alias("procedure_id"),
         F.when(F.col("o_custkey") % 4 != 0, F.concat(F.lit("B"), F.col("o_custkey").cast("string"))).alias("buyer_id"),
@@ -26,9 +27,12 @@ def _opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(parts, "procedure_id", "left").withColumn("cpv_codes", F.coalesce("cpv_codes", none))
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.lpad((2 * F.col("p_partkey")).cast("string"), 9, "0").alias("code"), F.col("p_name").alias("label"))
+
+
 def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = table(spark, sf_dir, "part").select(F.lpad((2 * F.col("p_partkey")).cast("string"), 9, "0").alias("code"), F.col("p_name").alias("label"))
-    return enrich.with_dimension(enrich.exploded_codes(_opportunities(spark, sf_dir)), enrich.dimension(dim), "cpv_code", "code", "cpv_matched")
+    return enrich.with_dimension(enrich.exploded_codes(_opportunities(spark, sf_dir)), enrich.dimension(_labels(spark, sf_dir)), "cpv_code", "code", "cpv_matched")
 
 
 def codes_posexplode_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +58,7 @@ def buyer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.code_summary(_codes(spark, sf_dir))
+    return enrich.code_summary(enrich.exploded_codes(_opportunities(spark, sf_dir)), _labels(spark, sf_dir))
 
 
 def monthly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticeworks import catalogue
-from noticeworks.operators import records
+from noticeworks.operators import enrich, records
+from noticeworks.session import in_parts
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +71,11 @@ def test_issues_and_bi_rows_make_records_once(some):
 def test_acceptance_judges_each_payload_once(spark):
     plan = _plan(catalogue.queries()["acceptance"](spark, SF))
     assert "union" not in plan and "repartition" in plan  # one file is spread over all cores
+
+
+def test_code_summary_takes_labels_last_and_holds_bounded_parts(spark):
+    rows = spark.createDataFrame([(1, "B1", "A", "1.50"), (1, "B1", "B", "1.50"), (2, None, "A", "2.00")], "procedure_id long, buyer_id string, cpv_code string, v string")
+    labels = spark.createDataFrame([("A", "first"), ("C", "third")], "code string, label string")
+    found = enrich.code_summary(rows.withColumn("estimated_value", F.col("v").cast("decimal(20,2)")), labels)
+    assert sorted((r.cpv_code, r.label, r.opportunities_count, r.buyers_count, str(r.total_estimated_value)) for r in found.collect()) == [("A", "first", 2, 1, "3.50"), ("B", None, 1, 1, "1.50")]
+    assert in_parts(spark.range(1000), "id", rows=100).rdd.getNumPartitions() == 10
