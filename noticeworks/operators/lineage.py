@@ -63,11 +63,36 @@ def pair_count(rows: DataFrame, window: int) -> DataFrame:
     return both.agg((F.coalesce(F.sum(F.col("n") * (F.col("_all") - F.col("_own"))), F.lit(0)) / 2).cast("long").alias("pairs"))
 
 
-def rare_tokens(weights: DataFrame, threshold: float) -> DataFrame:
-    """Of ``legacy.tfidf``'s weights with ``df``, those of each record's rarest tokens, up to which
-    the rest of its vector reaches the threshold."""
-    rest = W.partitionBy("block", "key").orderBy(F.desc("df"), F.desc("token")).rowsBetween(W.unboundedPreceding, 0)
-    return weights.withColumn("_rest", F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest))).where(F.col("_rest") >= threshold - _SLACK).drop("_rest")
+def vectors(some: DataFrame, threshold: float) -> DataFrame:
+    """From records with each key once: key, block, source, at, ``vector`` (array of token and w, as
+    of ``legacy.tfidf``) and ``rare``: its rarest tokens, up to which the rest of the vector reaches
+    the threshold, of those that another record of the block has too.
+
+    Tokens are shuffled to be counted by block, to meet their counts and to go back to their
+    record; what follows is done within its row.
+    """
+    words = some.select("block", "key", text.tokens(F.col("title")).alias("_t"))
+    times = lambda t: F.size("_t") - F.size(F.array_remove("_t", t))
+    each = words.select("block", "key", F.inline(F.transform(F.array_distinct("_t"), lambda t: F.struct(t.alias("token"), times(t).alias("tf")))))
+    df = each.groupBy("block", "token").agg(F.count("*").alias("df"))
+    met = each.join(df, ["block", "token"]).groupBy("key").agg(F.collect_list(F.struct("df", "token", "tf")).alias("_v"))
+    n = some.groupBy("block").agg(F.count("*").alias("n"))
+    rows = met.join(some.select("key", "block", "source", "at").join(n, "block"), "key")
+    weight = lambda x: (1 + x["tf"]) * F.log((1 + F.col("n")) / (1 + x["df"])) + 1
+    often_first = F.reverse(F.array_sort("_v"))  # by df, then token
+    rows = rows.select("key", "block", "source", "at", F.transform(often_first, lambda x: F.struct(x["token"].alias("token"), x["df"].alias("df"), weight(x).alias("w"))).alias("_v"))
+    total = lambda v: F.aggregate(v, F.lit(0.0), lambda s, x: s + x["w"] * x["w"])
+    rows = rows.withColumn("_norm", F.sqrt(total(F.col("_v"))))
+    rows = rows.withColumn("_v", F.transform("_v", lambda x: F.struct(x["token"].alias("token"), x["df"].alias("df"), (x["w"] / F.col("_norm")).alias("w"))))
+
+    def longer(state: Column, x: Column) -> Column:
+        rest = state["rest"] + x["w"] * x["w"]
+        here = (F.sqrt(rest) >= threshold - _SLACK) & (x["df"] > 1)
+        return F.struct(rest.alias("rest"), F.when(here, F.concat(state["rare"], F.array(x["token"]))).otherwise(state["rare"]).alias("rare"))
+
+    none = F.struct(F.lit(0.0).alias("rest"), F.array().cast("array<string>").alias("rare"))
+    vector = F.transform("_v", lambda x: F.struct(x["token"].alias("token"), x["w"].alias("w")))
+    return rows.select("key", "block", "source", "at", vector.alias("vector"), F.aggregate("_v", none, longer)["rare"].alias("rare"))
 
 
 def similar_pairs(rows: DataFrame, window: int, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -78,18 +103,20 @@ def similar_pairs(rows: DataFrame, window: int, threshold: float) -> tuple[DataF
     """
     if not threshold > 0:
         raise ValueError("a threshold above 0 is needed: titles without a token in common aren't compared")
-    some = cut(involved(rows, window))
-    weights = cut(legacy.tfidf(some, "block", "key", "title"))
-    often = weights.groupBy("block", "token").agg(F.count("*").alias("df"))
-    rare = rare_tokens(weights.join(often, ["block", "token"]), threshold)
+    some = involved(rows, window).select("key", "block", "source", "at", "title")
+    # records without a rare token that another has meet none
+    weighed = cut(vectors(cut(some), threshold).where(F.size("rare") > 0))
     # a record meets those of its own bucket of days and of the next one
-    dated = some.select("block", "key", "source", "at", F.floor(F.col("at") / max(window, 1)).alias("bucket"))
-    placed = rare.select("block", "key", "token").join(dated, ["block", "key"])
+    placed = weighed.select("block", "key", "source", "at", F.floor(F.col("at") / max(window, 1)).alias("bucket"), F.explode("rare").alias("token"))
     a = placed.select("block", "token", F.col("key").alias("a"), F.col("source").alias("sa"), F.col("at").alias("at_a"), F.explode(F.array("bucket", F.col("bucket") + 1)).alias("bucket"))
     b = placed.select("block", "token", F.col("key").alias("b"), F.col("source").alias("sb"), F.col("at").alias("at_b"), "bucket")
     met = a.join(b, ["block", "token", "bucket"]).where((F.col("sa") != F.col("sb")) & (F.abs(F.col("at_a") - F.col("at_b")) <= window))
     pairs = cut(met.select("block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return legacy.similarities(pairs, weights).where(F.col("similarity") >= threshold), pairs
+    of = lambda k: weighed.select(F.col("key").alias(k), F.col("vector").alias(f"v{k}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    cosine = money.let(F.map_from_entries("vb"), lambda m: F.aggregate("va", F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(m[x["token"]], F.lit(0.0))))
+    found = both.select("block", "a", "b", F.round(cosine, 12).alias("similarity"))
+    return found.where(F.col("similarity") >= threshold), pairs
 
 
 def duplicate_groups(rows: DataFrame, window: int = 7, threshold: float = 0.75) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticeworks import catalogue
-from noticeworks.operators import enrich, records
+from noticeworks.operators import enrich, lineage, records
 from noticeworks.session import in_parts
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +79,11 @@ def test_code_summary_takes_labels_last_and_holds_bounded_parts(spark):
     found = enrich.code_summary(rows.withColumn("estimated_value", F.col("v").cast("decimal(20,2)")), labels)
     assert sorted((r.cpv_code, r.label, r.opportunities_count, r.buyers_count, str(r.total_estimated_value)) for r in found.collect()) == [("A", "first", 2, 1, "3.50"), ("B", None, 1, 1, "1.50")]
     assert in_parts(spark.range(1000), "id", rows=100).rdd.getNumPartitions() == 10
+
+
+def test_vectors_hold_a_record_and_its_rare_shared_tokens(spark):
+    rows = [("b", "k1", "x", 1, "red red azul uno"), ("b", "k2", "y", 2, "red azul dos"), ("c", "k3", "x", 1, "red uno")]
+    found = lineage.vectors(spark.createDataFrame(rows, "block string, key string, source string, at int, title string"), 0.1)
+    got = {r.key: ({x.token for x in r.vector}, set(r.rare), sum(x.w**2 for x in r.vector)) for r in found.collect()}
+    assert {k: v[:2] for k, v in got.items()} == {"k1": ({"red", "azul", "uno"}, {"red", "azul"}), "k2": ({"red", "azul", "dos"}, {"red", "azul"}), "k3": ({"red", "uno"}, set())}
+    assert all(abs(v[2] - 1) < 1e-9 for v in got.values())
