@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticeworks import catalogue
-from noticeworks.operators import enrich, lineage, records
+from noticeworks.operators import enrich, events, lineage, records
 from noticeworks.session import in_parts
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +87,8 @@ def test_vectors_hold_a_record_and_its_rare_shared_tokens(spark):
     got = {r.key: ({x.token for x in r.vector}, set(r.rare), sum(x.w**2 for x in r.vector)) for r in found.collect()}
     assert {k: v[:2] for k, v in got.items()} == {"k1": ({"red", "azul", "uno"}, {"red", "azul"}), "k2": ({"red", "azul", "dos"}, {"red", "azul"}), "k3": ({"red", "uno"}, set())}
     assert all(abs(v[2] - 1) < 1e-9 for v in got.values())
+
+
+def test_columns_are_projected_before_the_generator(spark):
+    plan = _plan(events._once(spark.range(3), a=F.col("id") + 1).select("a", (F.col("a") * 2).alias("b")))
+    assert "generate inline(array(_made" in plan
